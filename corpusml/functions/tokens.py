@@ -119,7 +119,7 @@ def parse_int(text) -> Column:
     """String -> bigint; surrounding blanks allowed, anything else fails the
     job (independent of the session's ANSI setting)."""
     text = _col(text)
-    parsed = F.trim(text).try_cast("bigint")
+    parsed = F.regexp_replace(text, r"^\s+|\s+$", "").try_cast("bigint")
     return F.when(text.isNotNull() & parsed.isNull(),
                   F.raise_error(F.concat(F.lit("not an integer: '"), text, F.lit("'")))
                   ).otherwise(parsed)

@@ -27,15 +27,16 @@ def _address(offset: Column) -> Column:
 
 def hex_dump(text, bytes_per_line: int = BYTES_PER_LINE) -> Column:
     """UTF-8 bytes of ``text`` as lines ``AAAAAAAA XX XX ...`` (upper case),
-    ``bytes_per_line`` bytes per line, addresses from ``BASE_ADDRESS``."""
-    hexed = F.hex(F.encode(_col(text), "UTF-8"))
-    width = 2 * bytes_per_line
-    n_lines = F.ceil(F.length(hexed) / F.lit(width)).cast("int")
-    lines = F.transform(
-        F.sequence(F.lit(0), n_lines - 1),
-        lambda i: F.concat(_address(i * bytes_per_line),
-                           F.regexp_replace(F.substring(hexed, i * width + 1, width), "(..)", " $1")))
-    return F.when(n_lines > 0, F.array_join(lines, "\n")).otherwise(F.lit(""))
+    ``bytes_per_line`` bytes per line, addresses from ``BASE_ADDRESS``.
+
+    Linear in the text: one pass puts a blank before every byte, one pass
+    cuts the result into fixed-width lines, then each line gets its address
+    (no per-line ``substring``, which would rescan the string from its start).
+    """
+    spaced = F.regexp_replace(F.hex(F.encode(_col(text), "UTF-8")), "(..)", " $1")
+    chunks = F.regexp_extract_all(spaced, F.lit(f".{{1,{3 * bytes_per_line}}}"), 0)
+    lines = F.transform(chunks, lambda line, i: F.concat(_address(i * bytes_per_line), line))
+    return F.array_join(lines, "\n")
 
 
 def asm_listing(text) -> Column:

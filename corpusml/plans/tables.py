@@ -25,8 +25,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def ensure_parallelism(df: DataFrame, key: str) -> DataFrame:
+    """Hash-spread rows over the cluster when the scan yields fewer
+    partitions than there are cores (a table stored as one row group is
+    read by one task).  Decided at plan time; a large table, already split
+    into many partitions, is left untouched (no shuffle)."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, key)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents")
+    """The documents table, spread for the CPU-heavy tokenizers."""
+    return ensure_parallelism(table(spark, sf_dir, "documents"), "doc_id")
 
 
 def is_test(id_col: str = "id"):
