@@ -123,3 +123,16 @@ def parse_int(text) -> Column:
     return F.when(text.isNotNull() & parsed.isNull(),
                   F.raise_error(F.concat(F.lit("not an integer: '"), text, F.lit("'")))
                   ).otherwise(parsed)
+
+
+def explode_tokens(df, tokens, alias: str = "term", keep=()):
+    """One row per token: ``[*keep, alias]``.
+
+    Uses ``explode_outer`` and drops the null row of an empty list
+    afterwards.  Plain ``explode`` lets the optimizer infer a
+    ``size(tokens) > 0`` filter and push it below the projection, which
+    evaluates the whole tokenizer twice (and, below a repartition, in the
+    scan task); tokens are never null, so the result is the same.
+    """
+    return (df.select(*keep, F.explode_outer(_col(tokens)).alias(alias))
+            .where(F.col(alias).isNotNull()))

@@ -24,6 +24,8 @@ from pyspark.ml.classification import NaiveBayes
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusml.functions.tokens import explode_tokens
+
 
 def naive_bayes(features_col: str = "features", label_col: str = "indexedLabel",
                 smoothing: float = 1.0) -> NaiveBayes:
@@ -53,7 +55,7 @@ def nb_parameters(train: DataFrame, vocabulary: DataFrame, n_terms: int,
         (F.ln(F.col("n_docs") + lam)
          - F.ln(F.sum("n_docs").over(all_classes) + F.count(F.lit(1)).over(all_classes) * lam)
          ).alias("pi"))
-    toks = train.select(F.col(label_col).alias("ix"), F.explode(features).alias("term"))
+    toks = explode_tokens(train, features, "term", keep=(F.col(label_col).alias("ix"),))
     toks = toks.join(F.broadcast(vocabulary.select("term")), "term", "left_semi")
     if weights is None:
         ct = toks.groupBy("ix", "term").agg(F.count(F.lit(1)).cast("double").alias("tf"))

@@ -18,6 +18,8 @@ from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusml.functions.tokens import explode_tokens
+
 DEFAULT_VOCAB_SIZE = 1 << 18
 
 
@@ -28,7 +30,7 @@ def term_stats(df: DataFrame, features: str = "features") -> DataFrame:
     tagged = F.concat(
         F.transform(toks, lambda t: F.struct(t.alias("term"), F.lit(False).alias("first"))),
         F.transform(F.array_distinct(toks), lambda t: F.struct(t.alias("term"), F.lit(True).alias("first"))))
-    e = df.select(F.explode(tagged).alias("e"))
+    e = explode_tokens(df, tagged, "e")
     return e.groupBy(F.col("e.term").alias("term")).agg(
         F.count(F.when(~F.col("e.first"), True)).alias("tf"),
         F.count(F.when(F.col("e.first"), True)).alias("df"))
@@ -87,7 +89,7 @@ def term_counts(df: DataFrame, vocabulary: DataFrame | None = None, features: st
     (id, term), which map-side aggregation already completes inside the
     task holding the document.
     """
-    e = df.select(id_col, *keep, F.explode(features).alias("term"))
+    e = explode_tokens(df, features, "term", keep=(id_col, *keep))
     if vocabulary is not None:
         e = e.join(F.broadcast(vocabulary.select("term")), "term", "left_semi")
     return e.groupBy(id_col, *keep, "term").agg(F.count(F.lit(1)).alias("cnt"))

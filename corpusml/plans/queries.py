@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusml.functions.tokens import ngrams
+from corpusml.functions.tokens import explode_tokens, ngrams
 from corpusml.operators.bayes import nb_parameters
 from corpusml.operators.evaluate import accuracy, preview
 from corpusml.operators.labels import index_labels, label_decoder, label_dictionary, label_indexer
@@ -47,7 +47,7 @@ def _r(c, digits: int = ROUND):
 
 
 def _token_counts(corpus: DataFrame) -> DataFrame:
-    return (corpus.select(F.explode("features").alias("token"))
+    return (explode_tokens(corpus, "features", "token")
             .groupBy("token").agg(F.count(F.lit(1)).alias("cnt")))
 
 
@@ -142,7 +142,7 @@ def ngram_counts(spark, sf_dir):
     grams = c.select(F.explode(F.array(*[
         F.struct(F.lit(n).cast("bigint").alias("n"), ngrams("features", n).alias("g"))
         for n in (1, 2, 3)])).alias("s"))
-    return (grams.select("s.n", F.explode("s.g").alias("gram"))
+    return (explode_tokens(grams, "s.g", "gram", keep=(F.col("s.n").alias("n"),))
             .groupBy("n", "gram").agg(F.count(F.lit(1)).alias("cnt")))
 
 

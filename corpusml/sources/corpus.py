@@ -70,9 +70,20 @@ def _texts(spark: SparkSession, hashes: DataFrame, base: str, kind: str,
     if n <= max_listed_paths:
         if n == 0:
             return spark.createDataFrame([], "hash string, text string"), True
-        paths = [f"{base}/{kind}/{r['hash']}.{kind}" for r in hashes.collect()]
-        scan = spark.read.text(paths, wholetext=True)
-        return scan.select(name.alias("hash"), F.col("value").alias("text")), True
+        listed = [r["hash"] for r in hashes.collect()]
+        paths = [f"{base}/{kind}/{h}.{kind}" for h in listed]
+        scan = spark.read.text(paths, wholetext=True)  # fails on a missing path
+        docs = scan.select(name.alias("hash"), F.col("value").alias("text"))
+        # File scans skip zero-length files.  A metadata-only pass (no file
+        # content is read) tells which listed files are non-empty; the rest
+        # (at most max_listed_paths names) become empty documents.
+        sizes = spark.read.format("binaryFile").load(paths).select(
+            F.regexp_extract(F.col("_metadata.file_name"), rf"^(.*)\.{kind}$", 1).alias("hash"))
+        non_empty = {r["hash"] for r in sizes.collect()}
+        empty = [(h, "") for h in listed if h not in non_empty]
+        if empty:
+            docs = docs.unionByName(spark.createDataFrame(empty, "hash string, text string"))
+        return docs, True
     scan = spark.read.option("pathGlobFilter", f"*.{kind}").text(f"{base}/{kind}", wholetext=True)
     docs = scan.select(name.alias("hash"), F.col("value").alias("text"))
     url = F.concat(F.lit(f"{base}/{kind}/"), F.col("hash"), F.lit(f".{kind}"))
