@@ -25,15 +25,18 @@ DEFAULT_VOCAB_SIZE = 1 << 18
 
 def term_stats(df: DataFrame, features: str = "features") -> DataFrame:
     """``[term string, tf bigint, df bigint]``: corpus count and number of
-    rows (documents) containing the term."""
+    rows (documents) containing the term.
+
+    One pass: ``posexplode(tokens ++ array_distinct(tokens))``; a position
+    past the token count marks a row of the distinct half, which counts
+    towards ``df``.  No per-token struct is built.
+    """
     toks = F.col(features)
-    tagged = F.concat(
-        F.transform(toks, lambda t: F.struct(t.alias("term"), F.lit(False).alias("first"))),
-        F.transform(F.array_distinct(toks), lambda t: F.struct(t.alias("term"), F.lit(True).alias("first"))))
-    e = explode_tokens(df, tagged, "e")
-    return e.groupBy(F.col("e.term").alias("term")).agg(
-        F.count(F.when(~F.col("e.first"), True)).alias("tf"),
-        F.count(F.when(F.col("e.first"), True)).alias("df"))
+    both = df.select(F.size(toks).alias("_n"),
+                     F.posexplode_outer(F.concat(toks, F.array_distinct(toks))).alias("_pos", "term"))
+    return (both.where(F.col("term").isNotNull())
+            .groupBy("term").agg(F.count(F.when(F.col("_pos") < F.col("_n"), True)).alias("tf"),
+                                 F.count(F.when(F.col("_pos") >= F.col("_n"), True)).alias("df")))
 
 
 def _threshold(value: float | None, n_docs_fn) -> float | None:

@@ -58,11 +58,18 @@ def _persist(df: DataFrame, cache: bool) -> DataFrame:
 
 def fit_naive_bayes(train: DataFrame, *, idf: bool = False, ngram: int = 1, min_df: float = 1.0,
                     vocab_size: int = DEFAULT_VOCAB_SIZE, smoothing: float = 1.0,
-                    label_col: str = "label", cache: bool = True) -> FittedClassifier:
-    """Label index -> n-gram -> counts (-> idf) -> multinomial NB."""
+                    label_col: str = "label", cache: bool = False) -> FittedClassifier:
+    """Label index -> n-gram -> counts (-> idf) -> multinomial NB.
+
+    ``cache`` persists the labelled token table for the fits (one
+    tokenization instead of two); off by default: the token lists are as
+    large as the texts, and re-running the JVM tokenizer was measured
+    cheaper than building and reading that cache."""
     indexer = label_indexer(label_col).fit(train)
-    prep = FeaturePipeline().add(NGram(n=int(ngram))).add(
-        OrderedCountVectorizer(minDF=min_df, vocabSize=vocab_size))
+    prep = FeaturePipeline()
+    if int(ngram) != 1:  # NGram(n=1) is the identity
+        prep.add(NGram(n=int(ngram)))
+    prep.add(OrderedCountVectorizer(minDF=min_df, vocabSize=vocab_size))
     if idf:
         prep.add(IDF())
     tokens = _persist(indexer.transform(train), cache)

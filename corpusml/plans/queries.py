@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusml.functions.tokens import explode_tokens, ngrams
+from corpusml.functions.tokens import add_ngrams, explode_tokens
 from corpusml.operators.bayes import nb_parameters
 from corpusml.operators.evaluate import accuracy, preview
 from corpusml.operators.labels import index_labels, label_decoder, label_dictionary, label_indexer
@@ -139,9 +139,10 @@ def lowercase_effect(spark, sf_dir):
 def ngram_counts(spark, sf_dir):
     """H7: 1-, 2- and 3-grams of byte tokens."""
     c = tb.corpus(spark, sf_dir, "bytes")
+    c = add_ngrams(add_ngrams(c, 2, "features", "g2"), 3, "features", "g3")
     grams = c.select(F.explode(F.array(*[
-        F.struct(F.lit(n).cast("bigint").alias("n"), ngrams("features", n).alias("g"))
-        for n in (1, 2, 3)])).alias("s"))
+        F.struct(F.lit(n).cast("bigint").alias("n"), F.col(g).alias("g"))
+        for n, g in ((1, "features"), (2, "g2"), (3, "g3"))])).alias("s"))
     return (explode_tokens(grams, "s.g", "gram", keep=(F.col("s.n").alias("n"),))
             .groupBy("n", "gram").agg(F.count(F.lit(1)).alias("cnt")))
 
@@ -155,7 +156,7 @@ def _train(spark, sf_dir, kind="bytes"):
 @query
 def vocabulary_topk(spark, sf_dir):
     """Top-k byte bigrams of the training split with minDF."""
-    train = _train(spark, sf_dir).select("id", ngrams("features", 2).alias("features"))
+    train = add_ngrams(_train(spark, sf_dir), 2)
     v = build_vocabulary(train, min_df=VOCAB_MIN_DF, vocab_size=VOCAB_TOP_K)
     return v.select(F.col("ix").cast("bigint").alias("ix"), "term", "tf", "df")
 
