@@ -15,10 +15,11 @@ from pyspark.ml import Estimator
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusml.functions.tokens import explode_tokens
+from corpusml.operators.ranking import global_rank
 
 DEFAULT_VOCAB_SIZE = 1 << 18
 
@@ -51,8 +52,8 @@ def build_vocabulary(df: DataFrame, features: str = "features", min_df: float =
 
     ``min_df`` / ``max_df``: absolute document counts when >= 1, fractions
     of the number of rows otherwise.  At most ``vocab_size`` terms are kept
-    (top-k: each partition keeps its own k best before the merge, so no
-    global sort of all terms happens).
+    (exact distributed ranking, see ``global_rank``: no task ever holds more
+    than its own range of terms).
     """
     stats = term_stats(df, features)
     n_docs = _memo(lambda: df.count())
@@ -62,10 +63,9 @@ def build_vocabulary(df: DataFrame, features: str = "features", min_df: float =
         stats = stats.where(F.col("df") >= lo)
     if hi is not None:
         stats = stats.where(F.col("df") <= hi)
-    top = stats.orderBy(F.col("tf").desc(), F.col("term").asc()).limit(vocab_size)
-    # ``top`` holds at most vocab_size rows: numbering them in one partition is bounded.
-    rank = Window.orderBy(F.col("tf").desc(), F.col("term").asc())
-    return top.select((F.row_number().over(rank) - 1).alias("ix"), "term", "tf", "df")
+    order = [F.col("tf").desc(), F.col("term").asc()]
+    ranked = global_rank(stats, order, "ix", limit=vocab_size)
+    return ranked.select(F.col("ix").cast("int").alias("ix"), "term", "tf", "df")
 
 
 def _memo(fn):

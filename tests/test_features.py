@@ -94,3 +94,18 @@ def test_index_labels_equals_string_indexer_skip(spark):
     a = sorted(map(tuple, ml.transform(test).collect()))
     b = sorted(map(tuple, index_labels(test, label_dictionary(train)).select("id", "label", "indexedLabel").collect()))
     assert a == b == [(10, 3, 0.0), (13, 1, 1.0)]
+
+
+def test_global_rank_matches_sort(spark):
+    import random
+    from corpusml.operators.ranking import global_rank
+    rng = random.Random(5)
+    rows = [(f"t{i:05d}", rng.randrange(20)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "term string, tf long")
+    want = [t for t, _ in sorted(rows, key=lambda r: (-r[1], r[0]))]
+    for parts in (1, 7):
+        got = global_rank(df, [F.col("tf").desc(), F.col("term").asc()], "ix", num_partitions=parts).collect()
+        assert [r.term for r in sorted(got, key=lambda r: r.ix)] == want
+        assert sorted(r.ix for r in got) == list(range(3000))
+    top = global_rank(df, [F.col("tf").desc(), F.col("term").asc()], "ix", limit=100).collect()
+    assert sorted(r.term for r in top) == sorted(want[:100])
