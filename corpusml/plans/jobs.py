@@ -74,9 +74,10 @@ def fit_naive_bayes(train: DataFrame, *, idf: bool = False, ngram: int = 1, min_
         prep.add(IDF())
     tokens = _persist(indexer.transform(train), cache)
     try:
-        vectors = prep.fit(tokens)
+        vectors = prep.fit(tokens, cache_vectors=True)
         model = naive_bayes(smoothing=smoothing).fit(vectors)
     finally:
+        prep.release()
         if cache:
             tokens.unpersist()
     return FittedClassifier(indexer, prep, model, label_col)
@@ -90,17 +91,19 @@ def fit_random_forest(train: DataFrame, *, min_df: float = 10.0, vocab_size: int
 
     The training rows are laid out by ``pinned_layout`` first, so the same
     data gives the same forest whatever the input split."""
-    tokens = _persist(train, cache)
+    prep = FeaturePipeline().add(OrderedCountVectorizer(minDF=min_df, vocabSize=vocab_size))
+    counts = prep.fit(train).withColumnRenamed("features", "tokenCounts")
+    indexer = label_indexer(label_col).fit(counts)
+    # The forest reads its input several times (metadata, split candidates,
+    # binned points): keep the laid-out count vectors, not the token lists.
+    laid_out = _persist(pinned_layout(indexer.transform(counts).select(id_col, "tokenCounts", "indexedLabel"),
+                                      num_partitions, id_col), cache)
     try:
-        prep = FeaturePipeline().add(OrderedCountVectorizer(minDF=min_df, vocabSize=vocab_size))
-        counts = prep.fit(tokens).withColumnRenamed("features", "tokenCounts")
-        indexer = label_indexer(label_col).fit(counts)
-        laid_out = pinned_layout(indexer.transform(counts), num_partitions, id_col)
         model = random_forest("tokenCounts", "indexedLabel", num_trees, max_depth, min_info_gain,
                               seed).fit(laid_out)
     finally:
         if cache:
-            tokens.unpersist()
+            laid_out.unpersist()
     return FittedClassifier(indexer, _CountsAs(prep, "tokenCounts"), model, label_col)
 
 
