@@ -64,6 +64,10 @@ def nb_parameters(train: DataFrame, vocabulary: DataFrame, n_terms: int,
               .groupBy("ix", "term").agg(F.sum("w").alias("tf")))
     logden = ct.groupBy("ix").agg(
         F.ln(F.sum("tf") + float(n_terms) * lam).alias("_logden"))
+    # One row per class on the right side of both joins: every class is a
+    # hot key on the left (a class may hold a third of all rows), so the
+    # class table is broadcast instead of shuffling the left side by class.
+    logden = F.broadcast(logden)
     classes = priors.join(logden, "ix", "left").select(
         "ix", "n_docs", "pi",
         (F.lit(math.log(lam)) - F.coalesce(F.col("_logden"), F.lit(math.log(n_terms * lam))))

@@ -36,4 +36,6 @@ def index_labels(df: DataFrame, dictionary: DataFrame, label_col: str = "label",
                  output_col: str = "indexedLabel") -> DataFrame:
     """Inner join with the dictionary = ``StringIndexer(handleInvalid='skip')``."""
     d = dictionary.select(F.col("label").alias("_label"), F.col("ix").alias(output_col))
-    return df.join(d, F.col(label_col).cast("string") == F.col("_label")).drop("_label")
+    # One row per class (the same list StringIndexer keeps on the driver);
+    # each label is a hot key of ``df``, so the dictionary is broadcast.
+    return df.join(F.broadcast(d), F.col(label_col).cast("string") == F.col("_label")).drop("_label")

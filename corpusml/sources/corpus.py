@@ -61,9 +61,12 @@ def _texts(spark: SparkSession, hashes: DataFrame, base: str, kind: str,
     """``[hash, text]`` for each distinct hash, from one whole-file scan.
 
     Up to ``max_listed_paths`` hashes the scan gets the explicit path list
-    (only those files are opened; a missing file fails the read).  Beyond
-    that the ``{base}/{kind}`` directory is scanned and matched on the file
-    name; a hash without a file then fails the job when it is reached.
+    (only those files are opened; a missing file fails the read; a
+    zero-length file is an empty document).  Beyond that the
+    ``{base}/{kind}`` directory is scanned and matched on the file name (a
+    shuffle join; texts move only in this mode); a hash without a file then
+    fails the job when it is reached.  File scans skip zero-length files,
+    so in this mode an empty file counts as missing.
     """
     name = F.regexp_extract(F.col("_metadata.file_name"), rf"^(.*)\.{kind}$", 1)
     n = hashes.count()
