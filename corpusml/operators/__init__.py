@@ -1,7 +1,9 @@
 """Operators: vocabulary, vectors, weighting, labels, models, evaluation."""
 
 from corpusml.operators.bayes import naive_bayes, nb_parameters
-from corpusml.operators.evaluate import accuracy, correct, predictions, preview, top_score
+from corpusml.operators.evaluate import (
+    accuracy, correct, predictions, preview, top_score, write_predictions,
+)
 from corpusml.operators.forest import pinned_layout, random_forest
 from corpusml.operators.labels import (
     index_labels, label_decoder, label_dictionary, label_indexer,
@@ -17,5 +19,5 @@ __all__ = [
     "DEFAULT_VOCAB_SIZE", "FeaturePipeline", "OrderedCountVectorizer", "accuracy", "build_vocabulary",
     "correct", "idf_weights", "index_labels", "label_decoder", "label_dictionary", "label_indexer",
     "naive_bayes", "nb_parameters", "pinned_layout", "predictions", "preview", "random_forest",
-    "term_counts", "term_stats", "tfidf", "top_score", "vocabulary_terms",
+    "term_counts", "term_stats", "tfidf", "top_score", "vocabulary_terms", "write_predictions",
 ]

@@ -31,6 +31,17 @@ def predictions(df: DataFrame, id_col: str = "id", class_col: str = "predictedCl
     return df.select(id_col, cls.alias(class_col)).orderBy(id_col)
 
 
+def write_predictions(df: DataFrame, path: str, id_col: str = "id",
+                      class_col: str = "predictedClass", mode: str = "error") -> None:
+    """Write one predicted class per line, in id order, as text files.
+
+    ``orderBy`` range-partitions the rows, so part files hold consecutive id
+    ranges: reading them in name order gives the whole ordered list.  Every
+    task writes its own range; nothing passes through the driver."""
+    (df.orderBy(id_col).select(F.col(class_col).cast("string").alias("value"))
+     .write.mode(mode).text(path))
+
+
 def preview(df: DataFrame, n: int = 20, id_col: str = "id") -> DataFrame:
     """The first ``n`` rows by id (a top-k: each partition keeps n rows)."""
     return df.orderBy(id_col).limit(n)

@@ -122,3 +122,16 @@ def test_unseen_test_label_is_skipped(spark, files):
     acc = nb_job(spark, f"{scratch}/train_x", f"{scratch}/train_y", f"{scratch}/test_x", f"{scratch}/test_y9",
                  base=root)
     assert acc.first()[0] == pytest.approx(1.0)  # the row labelled 9 left the denominator
+
+
+def test_write_predictions_in_id_order(spark, corpus, scratch):
+    from corpusml.operators import write_predictions
+    import glob
+    train, test = tb.split(corpus)
+    scored = fit_naive_bayes(train).score(test.drop("label")).repartition(5)
+    write_predictions(scored, f"{scratch}/pred")
+    lines = []
+    for part in sorted(glob.glob(f"{scratch}/pred/part-*")):
+        lines += open(part).read().splitlines()
+    want = [r.predictedClass for r in scored.orderBy("id").collect()]
+    assert lines == want

@@ -130,3 +130,15 @@ def test_default_opcodes():
     assert len(DEFAULT_OPCODES) > 300
     assert {"mov", "lea", "jz", "mul", "not", "push", "call", "cmovnz", "setnle", "stosd"} <= set(DEFAULT_OPCODES)
     assert list(DEFAULT_OPCODES) == sorted(set(DEFAULT_OPCODES))
+
+
+def test_byte_capture_form_equals_lookbehind(spark):
+    from corpusml.functions.tokens import BYTE_PATTERN
+    rng = random.Random(11)
+    alphabet = ["AB", "0F", "??", " ", "  ", "ABC", "\n", "00401000", "a1", "G7", "9"]
+    rows = [("".join(rng.choice(alphabet) + rng.choice([" ", ""]) for _ in range(60)),) for _ in range(200)]
+    df = spark.createDataFrame(rows, "t string")
+    for low in (False, True):
+        out = df.select(byte_tokens("t", low).alias("a"),
+                        F.regexp_extract_all(F.lower("t") if low else F.col("t"), F.lit(BYTE_PATTERN), 0).alias("b"))
+        assert all(r.a == r.b for r in out.collect())
