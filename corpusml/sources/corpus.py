@@ -69,11 +69,11 @@ def _texts(spark: SparkSession, hashes: DataFrame, base: str, kind: str,
     so in this mode an empty file counts as missing.
     """
     name = F.regexp_extract(F.col("_metadata.file_name"), rf"^(.*)\.{kind}$", 1)
-    n = hashes.count()
-    if n <= max_listed_paths:
-        if n == 0:
+    # One bounded collect decides the mode: at most max_listed_paths + 1 names.
+    listed = [r["hash"] for r in hashes.limit(max_listed_paths + 1).collect()]
+    if len(listed) <= max_listed_paths:
+        if not listed:
             return spark.createDataFrame([], "hash string, text string"), True
-        listed = [r["hash"] for r in hashes.collect()]
         paths = [f"{base}/{kind}/{h}.{kind}" for h in listed]
         scan = spark.read.text(paths, wholetext=True)  # fails on a missing path
         docs = scan.select(name.alias("hash"), F.col("value").alias("text"))
