@@ -135,3 +135,12 @@ def test_write_predictions_in_id_order(spark, corpus, scratch):
         lines += open(part).read().splitlines()
     want = [r.predictedClass for r in scored.orderBy("id").collect()]
     assert lines == want
+
+
+def test_naive_bayes_independent_of_layout(spark, corpus):
+    train, test = tb.split(corpus)
+    outs = []
+    for parts in (1, 5):
+        fitted = fit_naive_bayes(train.repartition(parts), idf=True)
+        outs.append(sorted((r.id, r.predictedClass) for r in fitted.score(test.drop("label")).collect()))
+    assert outs[0] == outs[1]

@@ -142,3 +142,15 @@ def test_byte_capture_form_equals_lookbehind(spark):
         out = df.select(byte_tokens("t", low).alias("a"),
                         F.regexp_extract_all(F.lower("t") if low else F.col("t"), F.lit(BYTE_PATTERN), 0).alias("b"))
         assert all(r.a == r.b for r in out.collect())
+
+
+def test_tokens_only_listed_words(spark):
+    """Property: every asm/joint token is a segment title, a byte pair or a listed word."""
+    from corpusml.plans import tables as tb
+    vocab = set(DEFAULT_OPCODES)
+    for kind in ("asm", "joint"):
+        c = tb.corpus(spark, "/root/testdata/sf0.001", kind)
+        toks = {r.t for r in c.select(F.explode("features").alias("t")).distinct().collect()}
+        assert toks
+        for t in toks:
+            assert t in vocab or t.endswith(":") or re.fullmatch(r"[0-9A-F]{2} [0-9A-F]{2}", t), (kind, t)
