@@ -15,7 +15,8 @@ from pyspark.ml import Estimator
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
-from pyspark.sql import DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusml.functions.tokens import explode_tokens
@@ -46,14 +47,24 @@ def _threshold(value: float | None, n_docs_fn) -> float | None:
     return float(value) if value >= 1.0 else float(value) * n_docs_fn()
 
 
+# Candidate tables up to this many terms are ranked by one window in one
+# task; larger ones use the distributed ``global_rank``.
+MAX_LOCAL_RANK = 1_000_000
+
+
 def build_vocabulary(df: DataFrame, features: str = "features", min_df: float = 1.0,
                      max_df: float | None = None, vocab_size: int = DEFAULT_VOCAB_SIZE) -> DataFrame:
     """``[ix int, term, tf, df]`` ordered by ``(tf desc, term asc)``.
 
     ``min_df`` / ``max_df``: absolute document counts when >= 1, fractions
-    of the number of rows otherwise.  At most ``vocab_size`` terms are kept
-    (exact distributed ranking, see ``global_rank``: no task ever holds more
-    than its own range of terms).
+    of the number of rows otherwise.  At most ``vocab_size`` terms are kept.
+
+    The candidate table (one row per term) is cached and counted: up to
+    ``MAX_LOCAL_RANK`` rows it is ranked by a single window (a checked,
+    bounded single task); beyond that by ``global_rank`` (range partitions +
+    offsets, no task holds more than its own range).  The returned
+    vocabulary (at most ``vocab_size`` rows) is cached; ``unpersist()`` it
+    when done.
     """
     stats = term_stats(df, features)
     n_docs = _memo(lambda: df.count())
@@ -63,9 +74,21 @@ def build_vocabulary(df: DataFrame, features: str = "features", min_df: float =
         stats = stats.where(F.col("df") >= lo)
     if hi is not None:
         stats = stats.where(F.col("df") <= hi)
-    order = [F.col("tf").desc(), F.col("term").asc()]
-    ranked = global_rank(stats, order, "ix", limit=vocab_size)
-    return ranked.select(F.col("ix").cast("int").alias("ix"), "term", "tf", "df")
+    stats = stats.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        n_terms = stats.count()
+        order = [F.col("tf").desc(), F.col("term").asc()]
+        if n_terms <= MAX_LOCAL_RANK:
+            ranked = stats.withColumn("ix", F.row_number().over(Window.orderBy(*order)) - 1) \
+                          .where(F.col("ix") < vocab_size)
+        else:
+            ranked = global_rank(stats, order, "ix", limit=vocab_size)
+        vocab = ranked.select(F.col("ix").cast("int").alias("ix"), "term", "tf", "df") \
+                      .persist(StorageLevel.MEMORY_AND_DISK)
+        vocab.count()
+    finally:
+        stats.unpersist()
+    return vocab
 
 
 def _memo(fn):
@@ -143,6 +166,7 @@ class OrderedCountVectorizer(Estimator, HasInputCol, HasOutputCol):
         vocab = build_vocabulary(dataset, self.getInputCol(), self.getOrDefault(self.minDF),
                                  max_df, self.getOrDefault(self.vocabSize))
         terms = vocabulary_terms(vocab)
+        vocab.unpersist()
         if not terms:
             raise ValueError("empty vocabulary: minDF/maxDF leave no term in the training data")
         return CountVectorizerModel.from_vocabulary(

@@ -109,3 +109,15 @@ def test_global_rank_matches_sort(spark):
         assert sorted(r.ix for r in got) == list(range(3000))
     top = global_rank(df, [F.col("tf").desc(), F.col("term").asc()], "ix", limit=100).collect()
     assert sorted(r.term for r in top) == sorted(want[:100])
+
+
+def test_vocabulary_paths_agree(spark, monkeypatch):
+    """The single-task window (small candidate tables) and the distributed
+    ranking (large ones) give the same vocabulary."""
+    import corpusml.operators.vocabulary as V
+    from corpusml.plans import tables as tb
+    train = tb.split(tb.corpus(spark, "/root/testdata/sf0.001", "bytes"))[0]
+    small = [tuple(r) for r in V.build_vocabulary(train, vocab_size=50).orderBy("ix").collect()]
+    monkeypatch.setattr(V, "MAX_LOCAL_RANK", 0)
+    large = [tuple(r) for r in V.build_vocabulary(train, vocab_size=50).orderBy("ix").collect()]
+    assert small == large and len(small) == 50
