@@ -170,3 +170,20 @@ def test_missing_document_fails(spark, dataset):
         load_corpus(spark, f"{scratch}/bad_x", None, root, "bytes").collect()
     with pytest.raises(Exception, match="document not found"):
         load_corpus(spark, f"{scratch}/bad_x", None, root, "bytes", max_listed_paths=0).collect()
+
+
+def test_hot_hash_in_manifest(spark, dataset):
+    """One hash on most manifest lines: every line keeps its own document."""
+    scratch, root = dataset
+    hashes = ["h1"] * 900 + ["h2"] * 50 + ["h1"] * 50
+    write(f"{scratch}/hot_x", "".join(h + "\n" for h in hashes))
+    man = read_manifest(spark, f"{scratch}/hot_x")
+    for limit in (100, 0):
+        rows = read_documents(spark, man, root, "bytes", max_listed_paths=limit).select("id", "hash").collect()
+        assert sorted((r.id, r.hash) for r in rows) == list(enumerate(hashes))
+
+
+def test_read_lines_several_files(spark, scratch):
+    write(f"{scratch}/d/a.txt", "a0\na1\n")
+    write(f"{scratch}/d/b.txt", "b0\n")
+    assert lines_of(spark, f"{scratch}/d") == [(0, "a0"), (1, "a1"), (2, "b0")]
