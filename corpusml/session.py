@@ -3,7 +3,8 @@
 Library functions never create a session: they take the caller's.  On a
 cluster, ``spark.checkpoint.dir`` names the shared folder for lineage cuts;
 ``checkpoint_dir`` reads it and only invents a local folder when it is
-unset (local runs and tests).
+unset on a ``local[...]`` master (local runs and tests); on a cluster an
+unset folder is an error, never a machine-local default.
 """
 
 from __future__ import annotations
@@ -42,6 +43,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local"):
+        # A machine-local folder would not survive the loss of the executor
+        # that wrote it: a cluster must name a shared one.
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, S3, ...) for this cluster")
     local = tempfile.mkdtemp(prefix="corpusml-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(local)
     return local
