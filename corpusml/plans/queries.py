@@ -13,7 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusml.functions.tokens import add_ngrams, explode_tokens
+from corpusml.functions.tokens import add_ngrams, byte_tokens, explode_tokens, parse_int
+from corpusml.functions.views import hex_dump
 from corpusml.operators.bayes import nb_parameters
 from corpusml.operators.evaluate import accuracy, preview
 from corpusml.operators.labels import index_labels, label_decoder, label_dictionary, label_indexer
@@ -21,6 +22,7 @@ from corpusml.operators.vocabulary import build_vocabulary, term_counts
 from corpusml.operators.weighting import idf_weights, tfidf
 from corpusml.plans import tables as tb
 from corpusml.plans.jobs import fit_naive_bayes, fit_random_forest
+from corpusml.sources.corpus import document_url as url_of
 from corpusml.sources.lines import explode_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,15 +64,13 @@ def line_index(spark, sf_dir):
 @query
 def document_url(spark, sf_dir):
     """H1/H2: ``{base}/{kind}/{hash}.{kind}`` with a content hash."""
-    from corpusml.sources.corpus import document_url as url
     d = tb.documents(spark, sf_dir).select("doc_id", F.md5("text").alias("hash"))
-    return d.select("doc_id", "hash", url("hash", URL_BASE, "bytes").alias("url"))
+    return d.select("doc_id", "hash", url_of("hash", URL_BASE, "bytes").alias("url"))
 
 
 @query
 def int_parse(spark, sf_dir):
     """A2/H9: labels rendered as padded text lines, parsed back."""
-    from corpusml.functions.tokens import parse_int
     lab = tb.table(spark, sf_dir, "labels")
     line = F.concat(F.lit(" "), (F.col("quality") * 2 + F.col("toxic")).cast("string"), F.lit("\t"))
     return lab.select("doc_id", parse_int(line).alias("label"))
@@ -102,8 +102,6 @@ def corpus_union(spark, sf_dir):
     bench = tb.table(spark, sf_dir, "benchmark").select(F.lit("benchmark").alias("corpus"),
                                                         F.col("item_id").alias("id"), "text")
     both = docs.unionByName(bench)
-    from corpusml.functions.tokens import byte_tokens
-    from corpusml.functions.views import hex_dump
     return both.select("corpus", "id", F.size(byte_tokens(hex_dump("text"))).cast("bigint").alias("n_tokens"))
 
 
