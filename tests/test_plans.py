@@ -34,3 +34,12 @@ def test_scan_reads_only_needed_columns(plans):
 def test_token_counts_aggregate_map_side(plans):
     for name in ("byte_token_counts", "asm_token_counts", "ngram_counts"):
         assert "partial_count" in plans[name], name
+
+
+def test_scoring_adds_no_shuffle(plans):
+    """Vectorizing and scoring are per-row with broadcast models: the only
+    exchange in a prediction plan is the one spreading the one-row-group
+    input table over the cores."""
+    for name in ("nb_predict", "nb_predict_tfidf", "nb_predict_bigrams", "rf_predict"):
+        assert plans[name].count("Exchange hashpartitioning") <= 1, name
+        assert "SortMergeJoin" not in plans[name] or name == "rf_predict", name
