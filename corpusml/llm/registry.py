@@ -7,8 +7,9 @@ from collections.abc import Callable
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from corpusml.llm import packing
+from corpusml.llm import packing, simhash
 from corpusml.llm.common import importable_on_workers, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,3 +32,10 @@ def op1_best_fit_packing(spark, sf_dir):
     """All documents in sequences of at most 2048 tokens."""
     return packing.pack_documents(table(spark, sf_dir, "documents")).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query
+def op9_simhash_near_dedup(spark, sf_dir):
+    """Fingerprint and near-duplicate class of every document."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
