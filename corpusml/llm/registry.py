@@ -9,7 +9,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusml.llm import packing, simhash
+from corpusml.llm import decontaminate, linededup, packing, simhash
 from corpusml.llm.common import importable_on_workers, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,3 +39,22 @@ def op9_simhash_near_dedup(spark, sf_dir):
     """Fingerprint and near-duplicate class of every document."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op8_line_dedup(spark, sf_dir):
+    """Lines of every document that repeat an earlier three-line window."""
+    cut = linededup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_lines", "n_removed", "n_spans", F.sha2("text", 256).alias("kept_sha256"))
+
+
+ORACLES["op8_line_dedup"] = linededup.ORACLE
+
+
+@query
+def op10_benchmark_decontamination(spark, sf_dir):
+    """Benchmark windows found in every document."""
+    found = decontaminate.report(*decontaminate.contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_hit", "n_items",
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
