@@ -9,7 +9,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusml.llm import decontaminate, linededup, packing, simhash
+from corpusml.llm import decontaminate, linededup, packing, simhash, toxicity
 from corpusml.llm.common import importable_on_workers, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,3 +58,27 @@ def op10_benchmark_decontamination(spark, sf_dir):
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
     return found.select(F.col("id").alias("doc_id"), "n_words", "n_hit", "n_items",
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+#: Rows with this remainder of crc32(doc_id as text) modulo 3 are held out.
+HELD_OUT = 1
+TOXIC_FROM = 0.7
+
+
+def held_out(col: str = "doc_id"):
+    return F.crc32(F.col(col).cast("string").cast("binary")) % 3 == HELD_OUT
+
+
+def toxicity_model(spark, docs, sf_dir):
+    """The classifier, trained on labels of rows that are not held out."""
+    labels = table(spark, sf_dir, "labels").where(~held_out())
+    return toxicity.fit(docs.select("doc_id", "text"), labels)
+
+
+@query
+def op4_toxicity(spark, sf_dir):
+    """Toxicity score of every document."""
+    docs = table(spark, sf_dir, "documents")
+    score = toxicity.score_column(spark, toxicity_model(spark, docs, sf_dir))
+    scored = docs.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), score.alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= TOXIC_FROM).cast("int"))
