@@ -104,7 +104,8 @@ def near_links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         F.col("fp").bitwiseAND(F.lit(m)) for m in masks])).alias("choice", "bytes"))
     lists = materialize(postings.groupBy("choice", "bytes").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
                         .withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).drop("n"), "lists")
-    members = postings.join(lists, ["choice", "bytes"]).withColumn(
+    # A merge join at every size: ``lists`` grows with the corpus.
+    members = postings.join(lists.hint("merge"), ["choice", "bytes"]).withColumn(
         "own", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     groups = (members.withColumn("other", other)
