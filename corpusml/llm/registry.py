@@ -9,7 +9,9 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusml.llm import decontaminate, linededup, packing, simhash, toxicity
+from corpusml.llm import (
+    chat, decontaminate, linededup, packing, secrets, simhash, tokencount, topk, toxicity,
+)
 from corpusml.llm.common import importable_on_workers, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,3 +84,31 @@ def op4_toxicity(spark, sf_dir):
     score = toxicity.score_column(spark, toxicity_model(spark, docs, sf_dir))
     scored = docs.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), score.alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= TOXIC_FROM).cast("int"))
+
+
+@query
+def op2_topk_search(spark, sf_dir):
+    """The five best rows for every vector whose id is divisible by 50."""
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query
+def op5_secret_scan(spark, sf_dir):
+    """Secrets in every document."""
+    return secrets.scan(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans", "n_random")
+
+
+@query
+def op6_token_counts(spark, sf_dir):
+    """Unigram token count of every document."""
+    return tokencount.token_counts(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_chat_formatting(spark, sf_dir):
+    """Every conversation from the perspective of each participant."""
+    return chat.rotate(table(spark, sf_dir, "conversations"))
+
+
+ORACLES["op7_chat_formatting"] = chat.ORACLE
