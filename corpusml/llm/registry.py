@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusml.llm import (
-    chat, decontaminate, linededup, packing, secrets, simhash, tokencount, topk, toxicity,
+    chat, decontaminate, linededup, packing, secrets, simhash, suffixdedup, tokencount, topk, toxicity,
 )
 from corpusml.llm.common import importable_on_workers, table
 
@@ -112,3 +112,12 @@ def op7_chat_formatting(spark, sf_dir):
 
 
 ORACLES["op7_chat_formatting"] = chat.ORACLE
+
+
+@query
+def op3_suffix_array_dedup(spark, sf_dir):
+    """Bytes of every document in 400-byte strings that also start elsewhere."""
+    found = suffixdedup.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"),
+                        F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
