@@ -1,30 +1,69 @@
 """The corpus pipeline: toxicity filter, line dedup, SimHash near-dedup,
 benchmark decontamination, packing.
 
-Each stage takes ``(spark, docs, sf_dir)`` and works on all rows its
-predecessor kept; ``run`` writes every stage's result as Parquet to the
-shared checkpoint folder and rereads it as the next stage's documents.
+Each stage takes ``(spark, docs, sf_dir)``, calls one operator on all rows
+its predecessor kept and acts on its result; all but the last return the
+columns of ``documents``.  ``run`` writes every stage's result as Parquet to
+the shared checkpoint folder and rereads it as the next stage's documents.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from corpusml.llm import packing
-from corpusml.llm.common import importable_on_workers, materialize, table
+from corpusml.llm import decontaminate, linededup, packing, simhash, toxicity
+from corpusml.llm.common import importable_on_workers, materialize, table, text_or_empty
+from corpusml.llm.registry import TOXIC_FROM, toxicity_model
 
 #: A trained classifier and a tokenizer have no SQL form; the tests hold the
 #: stages against brute-force versions.
 ORACLE_SQL = None
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored below the toxicity threshold stay."""
+    importable_on_workers(spark)
+    model = toxicity_model(spark, docs, sf_dir)
+    scored = docs.withColumn("_toxicity", toxicity.score_column(spark, model))
+    return scored.where(F.col("_toxicity") < TOXIC_FROM).select(docs.columns)
+
+
+def cut_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later occurrences of three-line windows are cut; a document that
+    loses all its lines goes.  ``n_chars`` follows the text."""
+    importable_on_workers(spark)
+    cut = linededup.dedup_lines(docs)
+    changed = F.col("n_removed") > 0
+    kept = cut.where(F.col("n_removed") < F.col("n_lines"))
+    length = F.when(changed, F.length(text_or_empty("text"))).otherwise(F.col("n_chars"))
+    return kept.withColumn("n_chars", length.cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each SimHash class stays."""
+    importable_on_workers(spark)
+    return simhash.keep_one(docs, simhash.near_duplicates(docs))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain a benchmark window go."""
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Best-fit packing of everything kept into sequences of 2048 tokens."""
     importable_on_workers(spark)
     return packing.pack_documents(docs)
 
 
-STAGES = [("best-fit packing", pack)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line dedup", cut_repeated_lines),
+    ("simhash near-dedup", drop_near_duplicates),
+    ("benchmark decontamination", drop_contaminated),
+    ("best-fit packing", pack),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
