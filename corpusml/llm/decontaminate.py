@@ -99,8 +99,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     where a window of an item occurs."""
     windows = materialize(benchmark_windows(items, item_id, item_text, window, shingle), "windows")
     sizes = sorted(r["size"] for r in windows.select("size").distinct().collect())  # at most ``shingle`` rows
-    tokens = materialize(_window_tokens(windows, sizes) if sizes else
-                         windows.select("window", "length", shingles("window", 1).alias("tokens")), "tokens")
+    tokens = materialize(_window_tokens(windows, sizes or [shingle]), "tokens")
     wanted = tokens.select(F.explode("tokens.shingle").alias("shingle")).union(
         docs.sparkSession.createDataFrame([("",)], "shingle string")).distinct()
     wanted = materialize(wanted, "shingles")

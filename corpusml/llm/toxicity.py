@@ -17,7 +17,7 @@ only teach it noise and are left out.  Scoring is a pandas UDF over all rows;
 the model is a few megabytes whatever the data size.
 
 Defined cases: null text is an empty text; a text without words is one
-empty window (the network's bias); labels of null or unknown ids are
+empty window, which the network learns as not toxic; labels of null or unknown ids are
 ignored, of repeated labels the highest counts; without both classes in
 the sample every score is the share of positive rows (0 without rows);
 words over ``LONGEST`` bytes continue as further words.
@@ -370,7 +370,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             model.word_odds, model.known = odds, pos + neg >= SUPPORT
     chosen_windows = _training_windows(sample, model).toPandas()  # at most 1 + 4 windows for each pair of rows
     chosen_windows = chosen_windows.sort_values(["text", "toxic"], kind="stable")
-    return train(model, list(chosen_windows.text), chosen_windows.toxic.to_numpy())
+    # Nothing said is nothing toxic: empty windows among the negative ones.
+    empty = [""] * (1 + int((chosen_windows.toxic == 0).sum()) // 50)
+    return train(model, [*chosen_windows.text, *empty],
+                 np.append(chosen_windows.toxic.to_numpy(), np.zeros(len(empty))))
 
 
 def score_column(spark, model: Model, text_col: str = "text") -> Column:
