@@ -149,3 +149,32 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
     bad = materialize(bad, "contaminated")
     same = docs[id_col].eqNullSafe(bad["_id"]) & (F.xxhash64(text_or_empty(text_col)) == bad["_key"])
     return docs.join(bad, same, "left_anti")
+
+
+#: The same rows in DuckDB SQL, by comparing every window of every document.
+ORACLE = r"""
+WITH b AS (
+  SELECT coalesce(item_id::VARCHAR, '') AS item, regexp_extract_all(translate(text,
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark WHERE text IS NOT NULL),
+n AS (SELECT item, w, least(len(w), 10) AS size FROM b WHERE len(w) > 0),
+win AS (
+  SELECT DISTINCT item, size, unnest(list_transform(range(1, len(w) - size + 2),
+    lambda i: array_to_string(w[i:i + size - 1], ' '))) AS win FROM n),
+d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+dw AS (
+  SELECT doc_id, size, unnest(range(1, len(w) - size + 2)) AS at, unnest(list_transform(range(1, len(w) - size + 2),
+    lambda i: array_to_string(w[i:i + size - 1], ' '))) AS win
+  FROM d JOIN (SELECT DISTINCT size FROM win) ON len(w) >= size),
+hit AS (SELECT doc_id, dw.size, at, item FROM dw JOIN win ON dw.win = win.win AND dw.size = win.size),
+words AS (SELECT doc_id, count(DISTINCT p) AS n FROM (
+  SELECT doc_id, unnest(range(at, at + size)) AS p FROM (SELECT DISTINCT doc_id, at, size FROM hit)) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS list
+          FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(words.n, 0) AS n_hit, coalesce(items.n, 0) AS n_items,
+       sha256(coalesce(items.list, '')) AS items_sha256, words.n IS NOT NULL AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""

@@ -62,6 +62,9 @@ def op10_benchmark_decontamination(spark, sf_dir):
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+ORACLES["op10_benchmark_decontamination"] = decontaminate.ORACLE
+
+
 #: Rows with this remainder of crc32(doc_id as text) modulo 3 are held out.
 HELD_OUT = 1
 TOXIC_FROM = 0.7
@@ -92,6 +95,9 @@ def op2_topk_search(spark, sf_dir):
     return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+ORACLES["op2_topk_search"] = topk.ORACLE
+
+
 @query
 def op5_secret_scan(spark, sf_dir):
     """Secrets in every document."""

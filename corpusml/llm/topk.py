@@ -133,3 +133,16 @@ def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_
     rank = F.row_number().over(Window.partitionBy("query_row").orderBy(F.desc("score"), "id"))
     return merged.withColumn("rank", rank).where(F.col("rank") <= k).select(
         "query_id", "rank", F.col("id").alias(id_col), "score")
+
+
+#: The same rows in DuckDB SQL (k = 5, scale = 256, ids divisible by 50).
+ORACLE = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""

@@ -302,7 +302,7 @@ def test_decontamination_is_native(spark):
 @pytest.mark.parametrize("name", sorted(registry.ORACLES))
 def test_query_matches_oracle(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "embeddings", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF0001}/{t}.parquet')")
     got = registry.QUERIES[name](spark, SF0001)
     cur = con.execute(registry.ORACLES[name])
