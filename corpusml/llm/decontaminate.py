@@ -166,12 +166,12 @@ d AS (
     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
   FROM documents),
 dw AS (
-  SELECT doc_id, size, unnest(range(1, len(w) - size + 2)) AS at, unnest(list_transform(range(1, len(w) - size + 2),
+  SELECT doc_id, size, unnest(range(1, len(w) - size + 2)) AS pos, unnest(list_transform(range(1, len(w) - size + 2),
     lambda i: array_to_string(w[i:i + size - 1], ' '))) AS win
   FROM d JOIN (SELECT DISTINCT size FROM win) ON len(w) >= size),
-hit AS (SELECT doc_id, dw.size, at, item FROM dw JOIN win ON dw.win = win.win AND dw.size = win.size),
+hit AS (SELECT doc_id, dw.size, pos, item FROM dw JOIN win ON dw.win = win.win AND dw.size = win.size),
 words AS (SELECT doc_id, count(DISTINCT p) AS n FROM (
-  SELECT doc_id, unnest(range(at, at + size)) AS p FROM (SELECT DISTINCT doc_id, at, size FROM hit)) GROUP BY doc_id),
+  SELECT doc_id, unnest(range(pos, pos + size)) AS p FROM (SELECT DISTINCT doc_id, pos, size FROM hit)) GROUP BY doc_id),
 items AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS list
           FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id)
 SELECT doc_id, len(w) AS n_words, coalesce(words.n, 0) AS n_hit, coalesce(items.n, 0) AS n_items,
