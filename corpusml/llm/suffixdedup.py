@@ -22,8 +22,8 @@ common prefixes, one lane for each window.  Neighbours with ``LENGTH`` bytes
 in common are one class; it repeats if its windows count two or more.
 
 *Merging.*  Of a ``k`` spread over shards, every shard gives its classes as
-a sorted run of fingerprints; the runs are brought together by fingerprint
-and each entry is looked up by binary search among those of other shards.
+sorted runs of fingerprints, cut into buckets; the runs of a bucket are
+brought together and each entry is looked up by binary search in them.
 
 Defined cases: null text is an empty text; matches never cross documents;
 texts shorter than ``LENGTH`` bytes lose nothing by themselves; repeated rows
@@ -48,7 +48,7 @@ from corpusml.llm.common import materialize, text_or_empty
 LENGTH = 400
 REACH = 256
 SHARD_BYTES = 2 << 20
-SHARD_WINDOWS = 512
+SHARD_WINDOWS = 4096
 CHUNK = 1 << 22
 PAD = 7
 _LOW = (1 << 24) - 1
@@ -164,11 +164,12 @@ def suffix_array(text: np.ndarray, end: np.ndarray, depth: int) -> tuple[np.ndar
     return sa, rank
 
 
-def common_prefixes(text: np.ndarray, end: np.ndarray, first: np.ndarray, sa: np.ndarray, most: int) -> np.ndarray:
+def common_prefixes(text: np.ndarray, end: np.ndarray, first: np.ndarray, sa: np.ndarray, most: int,
+                    least: int = 1) -> np.ndarray:
     """Kasai: bytes (at most ``most``) that each suffix of ``sa`` shares
     with the one before it.  Strings (starting at ``first``) are lanes that
     step through their suffixes together; a lane keeps its prefix, less one,
-    from suffix to suffix."""
+    from suffix to suffix.  Suffixes under ``least`` bytes are left at 0."""
     before = np.full(len(text), -1, dtype=np.int64)
     before[sa[1:]] = sa[:-1]
     size = end[first] - first
@@ -176,8 +177,8 @@ def common_prefixes(text: np.ndarray, end: np.ndarray, first: np.ndarray, sa: np
     start, size = first[lanes], size[lanes]
     held = np.zeros(len(lanes), dtype=np.int64)
     shared = np.zeros(len(text), dtype=np.int64)
-    for step in range(int(size[0]) if len(size) else 0):
-        n = int(np.searchsorted(-size, -step, side="left"))  # lanes longer than ``step``
+    for step in range(max(0, int(size[0]) - least + 1) if len(size) else 0):
+        n = int(np.searchsorted(-size, -step - least, side="right"))  # lanes with ``least`` bytes from here
         i = start[:n] + step
         j = before[i]
         held[:n] = np.maximum(held[:n] - 1, 0)
@@ -208,7 +209,7 @@ def shard_repeats(windows: list[bytes], counts: np.ndarray, spread: np.ndarray,
         end[a:a + n] = a + n
         owner[a:a + n] = k
     sa, _ = suffix_array(text, end, length)
-    joined = common_prefixes(text, end, first, sa, length) >= length
+    joined = common_prefixes(text, end, first, sa, length, length) >= length
     starts = end[sa] - sa >= length
     group = np.cumsum(~joined)
     weight = np.bincount(group, weights=counts[owner[sa]])
@@ -219,10 +220,13 @@ def shard_repeats(windows: list[bytes], counts: np.ndarray, spread: np.ndarray,
             (owner[sa[runs]], sa[runs] - first[owner[sa[runs]]], weight[group[runs]] > 1))
 
 
-SHARD_OUT = "shard long, k long, d long, a int, b int, fp binary, repeated boolean"
+SHARD_OUT = ("shard long, k long, d long, a int, b int, bucket int, "
+             "run struct<fp:binary,k:array<long>,d:array<long>,a:array<int>,repeated:array<boolean>>")
 
 
-def _sort_shard(length: int):
+def _sort_shard(length: int, buckets: int):
+    """One row for each range of repeated starts of a window, and for each
+    fingerprint bucket the shard's sorted run of classes in it."""
     def sort(group: pd.DataFrame) -> pd.DataFrame:
         group = group.drop_duplicates(["k", "d"]).sort_values(["k", "d"])
         shard, k, d = int(group["shard"].iloc[0]), group["k"].to_numpy(), group["d"].to_numpy()
@@ -237,40 +241,41 @@ def _sort_shard(length: int):
             for a, b in zip(np.append(0, cut).tolist(), np.append(cut, len(start)).tolist(), strict=True):
                 w = window[a]
                 rows.append((shard, k[w], d[w], int(start[a]), int(start[b - 1]) + 1, None, None))
-        digest = xxhash.xxh3_128_digest
-        for w, s, r in zip(run_window.tolist(), run_start.tolist(), repeated.tolist(), strict=True):
-            rows.append((shard, k[w], d[w], s, s + 1, digest(windows[w][s:s + length]), r))
-        return pd.DataFrame(rows, columns=["shard", "k", "d", "a", "b", "fp", "repeated"])
+        if len(run_window):
+            digest = xxhash.xxh3_128_digest
+            fps = np.array([digest(windows[w][x:x + length]) for w, x in zip(
+                run_window.tolist(), run_start.tolist(), strict=True)], dtype="V16")
+            bucket = fps.view("<u8")[::2] % np.uint64(buckets)
+            order = np.lexsort((fps.view(">u8")[1::2], fps.view(">u8")[::2], bucket))
+            cut = np.flatnonzero(np.diff(bucket[order])) + 1
+            for own in np.split(order, cut):
+                w = run_window[own]
+                rows.append((shard, None, None, None, None, int(bucket[own[0]]), {
+                    "fp": fps[own].tobytes(), "k": k[w].tolist(), "d": d[w].tolist(),
+                    "a": run_start[own].tolist(), "repeated": repeated[own].tolist()}))
+        # As objects: 64-bit integers beside nulls would become floats.
+        return pd.DataFrame(rows, columns=["shard", "k", "d", "a", "b", "bucket", "run"], dtype=object)
 
     return sort
 
 
-def _merge_runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Entries (a partition's, sorted by fingerprint) that another shard has
-    too, found by binary search among all entries."""
-    kept = pd.DataFrame()
-    for last, batch in _with_last(batches):
-        rows = pd.concat([kept, batch]) if len(kept) else batch
-        fps = rows["fp"].to_numpy(dtype="S16")
-        ready = len(fps) if last else int(np.searchsorted(fps, fps[-1]))  # the last run may go on
-        first, after = np.searchsorted(fps, fps[:ready], "left"), np.searchsorted(fps, fps[:ready], "right")
-        shards = rows["shard"].to_numpy()
-        elsewhere = shards[first] != shards[after - 1]  # a run is sorted by shard
-        once = ~rows["repeated"].to_numpy(dtype=bool)[:ready]
-        yield rows[:ready][elsewhere & once][["k", "d", "a", "b"]]
-        kept = rows[ready:]
-
-
-def _with_last(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[bool, pd.DataFrame]]:
-    held = None
-    for batch in batches:
-        if not len(batch):
-            continue
-        if held is not None:
-            yield False, held
-        held = batch
-    if held is not None:
-        yield True, held
+def _merge_runs(group: pd.DataFrame) -> pd.DataFrame:
+    """Entries of a bucket's sorted runs that another shard has too: each run
+    is looked up by binary search in all of them together."""
+    runs = [np.frombuffer(r["fp"], dtype=">u8").reshape(-1, 2) for r in group["run"]]
+    merged = np.concatenate(runs)
+    merged = merged[np.lexsort((merged[:, 1], merged[:, 0]))]
+    high = merged[:, 0].astype(np.uint64)
+    rows = []
+    for entries, run in zip(runs, group["run"], strict=True):
+        own = entries[:, 0].astype(np.uint64)
+        first, after = np.searchsorted(high, own, "left"), np.searchsorted(high, own, "right")
+        for e in np.flatnonzero((after - first > 1) & ~np.array(run["repeated"], dtype=bool)).tolist():
+            # A shard has a class once: two equal entries are two shards.
+            if (merged[first[e]:after[e], 1] == entries[e, 1]).sum() > 1:
+                a = int(run["a"][e])
+                rows.append((int(run["k"][e]), int(run["d"][e]), a, a + 1))
+    return pd.DataFrame(rows, columns=["k", "d", "a", "b"])
 
 
 def repeated_starts(windows: DataFrame, length: int) -> DataFrame:
@@ -282,11 +287,10 @@ def repeated_starts(windows: DataFrame, length: int) -> DataFrame:
     dealt = windows.select(
         F.pmod(F.xxhash64("k", F.pmod(F.xxhash64("d"), parts)), F.lit(shards)).alias("shard"), "k", "d", "n",
         (parts > 1).alias("spread"), "bytes")
-    sorted_out = materialize(dealt.groupBy("shard").applyInPandas(_sort_shard(length), SHARD_OUT), "shards")
-    runs = sorted_out.where("fp IS NOT NULL")
-    merged = (runs.repartition("fp").sortWithinPartitions("fp", "shard")
-              .mapInPandas(_merge_runs, "k long, d long, a int, b int"))
-    return sorted_out.where("fp IS NULL").select("k", "d", "a", "b").unionByName(merged)
+    sorted_out = materialize(dealt.groupBy("shard").applyInPandas(_sort_shard(length, shards), SHARD_OUT), "shards")
+    merged = (sorted_out.where("run IS NOT NULL").groupBy("bucket")
+              .applyInPandas(_merge_runs, "k long, d long, a int, b int"))
+    return sorted_out.where("run IS NULL").select("k", "d", "a", "b").unionByName(merged)
 
 
 def _without(length: int):
