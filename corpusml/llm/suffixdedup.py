@@ -61,13 +61,19 @@ def reach_of(length: int) -> int:
     return min(REACH, length * 5 // 8)
 
 
+def _words(text: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as a number, first byte lowest."""
+    x = text.astype(np.uint64)
+    for shift, width in ((1, 8), (2, 16), (4, 32)):
+        x = x[:-shift] | (x[shift:] << np.uint64(width))
+    return x
+
+
 def _home_windows(data: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(anchor, first start, last start)`` of the home windows of a text
     of at most ``CHUNK + length`` bytes."""
     reach, starts = reach_of(length), len(data) - length + 1
-    x = np.frombuffer(data, dtype=np.uint8).astype(np.uint64)
-    for shift, width in ((1, 8), (2, 16), (4, 32)):
-        x = x[:-shift] | (x[shift:] << np.uint64(width))
+    x = _words(np.frombuffer(data, dtype=np.uint8))
     h = x * np.uint64(0x9E3779B97F4A7C15)
     h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
     # Place in the low bits, counted down: of equal hashes the last one wins.
@@ -170,6 +176,7 @@ def common_prefixes(text: np.ndarray, end: np.ndarray, first: np.ndarray, sa: np
     with the one before it.  Strings (starting at ``first``) are lanes that
     step through their suffixes together; a lane keeps its prefix, less one,
     from suffix to suffix.  Suffixes under ``least`` bytes are left at 0."""
+    words = _words(text)
     before = np.full(len(text), -1, dtype=np.int64)
     before[sa[1:]] = sa[:-1]
     size = end[first] - first
@@ -187,10 +194,11 @@ def common_prefixes(text: np.ndarray, end: np.ndarray, first: np.ndarray, sa: np
         going = np.flatnonzero(held[:n] < room)
         while len(going):
             at = held[going]
-            same = text[i[going] + at] == text[j[going] + at]
-            going = going[same]
-            held[going] += 1
-            going = going[held[going] < room[going]]
+            differ = words[i[going] + at] ^ words[j[going] + at]
+            # Equal low bytes: those below the lowest bit that differs (all eight of none).
+            held[going] += np.bitwise_count((differ & (~differ + np.uint64(1))) - np.uint64(1)) >> 3
+            going = going[(differ == 0) & (held[going] < room[going])]
+        held[:n] = np.minimum(held[:n], room)
         shared[i] = held[:n]
     return shared[sa]
 
