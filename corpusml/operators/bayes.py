@@ -21,7 +21,7 @@ from __future__ import annotations
 import math
 
 from pyspark.ml.classification import NaiveBayes
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusml.functions.tokens import explode_tokens
@@ -33,45 +33,43 @@ def naive_bayes(features_col: str = "features", label_col: str = "indexedLabel",
                       modelType="multinomial")
 
 
-def nb_parameters(train: DataFrame, vocabulary: DataFrame, n_terms: int,
+def nb_parameters(train: DataFrame, n_terms: int, vocabulary: DataFrame | None = None,
                   features: str = "features", label_col: str = "indexedLabel",
                   smoothing: float = 1.0, weights: DataFrame | None = None
                   ) -> tuple[DataFrame, DataFrame]:
     """``(classes, theta)`` from a labelled token table.
 
     classes: ``[ix, n_docs, pi, unseen_theta]``; theta: ``[ix, term, tf, theta]``.
-    ``n_terms`` is the vocabulary size V; ``weights`` (``[term, w]``, e.g.
-    idf) multiplies each count.
+    ``n_terms`` is the vocabulary size V; without ``vocabulary`` every term
+    belongs to it; ``weights`` (``[term, w]``, e.g. idf) multiplies each count.
 
     The label travels with the token list, so class-term sums need no join
     with the documents; hot terms are merged map-side by partial
-    aggregation; the vocabulary (bounded by ``vocab_size``) is broadcast.
+    aggregation.  The classes' document and token totals (one row per class,
+    as in the label list that the model keeps anyway) are collected and
+    enter ``theta`` as constants: a class is a hot key that is never joined.
     """
     lam = float(smoothing)
-    all_classes = Window.partitionBy()  # one row per class: a tiny window
-    docs = train.groupBy(F.col(label_col).alias("ix")).agg(F.count(F.lit(1)).alias("n_docs"))
-    priors = docs.select(
-        "ix", "n_docs",
-        (F.ln(F.col("n_docs") + lam)
-         - F.ln(F.sum("n_docs").over(all_classes) + F.count(F.lit(1)).over(all_classes) * lam)
-         ).alias("pi"))
-    toks = explode_tokens(train, features, "term", keep=(F.col(label_col).alias("ix"),))
-    toks = toks.join(F.broadcast(vocabulary.select("term")), "term", "left_semi")
+    spark = train.sparkSession
+    tokens = explode_tokens(train, features, "term", keep=(F.col(label_col).alias("ix"),))
+    if vocabulary is not None:
+        tokens = tokens.join(vocabulary.select("term"), "term", "left_semi")
     if weights is None:
-        ct = toks.groupBy("ix", "term").agg(F.count(F.lit(1)).cast("double").alias("tf"))
+        ct = tokens.groupBy("ix", "term").agg(F.count(F.lit(1)).cast("double").alias("tf"))
+        total = F.count(F.lit(1)).cast("double")
     else:
-        ct = (toks.join(F.broadcast(weights.select("term", "w")), "term")
-              .groupBy("ix", "term").agg(F.sum("w").alias("tf")))
-    logden = ct.groupBy("ix").agg(
-        F.ln(F.sum("tf") + float(n_terms) * lam).alias("_logden"))
-    # One row per class on the right side of both joins: every class is a
-    # hot key on the left (a class may hold a third of all rows), so the
-    # class table is broadcast instead of shuffling the left side by class.
-    logden = F.broadcast(logden)
-    classes = priors.join(logden, "ix", "left").select(
-        "ix", "n_docs", "pi",
-        (F.lit(math.log(lam)) - F.coalesce(F.col("_logden"), F.lit(math.log(n_terms * lam))))
-        .alias("unseen_theta"))
-    theta = ct.join(logden, "ix").select(
-        "ix", "term", "tf", (F.ln(F.col("tf") + lam) - F.col("_logden")).alias("theta"))
-    return classes, theta
+        tokens = tokens.join(weights.select("term", "w"), "term")
+        ct = tokens.groupBy("ix", "term").agg(F.sum("w").alias("tf"))
+        total = F.sum("w")
+    docs = {r["ix"]: r["n"] for r in train.groupBy(F.col(label_col).alias("ix")).agg(
+        F.count(F.lit(1)).alias("n")).collect()}
+    sums = {r["ix"]: r["n"] for r in tokens.groupBy("ix").agg(total.alias("n")).collect()}
+    all_docs = sum(docs.values()) + len(docs) * lam
+    logden = {ix: math.log(sums.get(ix, 0.0) + n_terms * lam) for ix in docs if sums.get(ix, 0.0) + n_terms * lam > 0}
+    classes = spark.createDataFrame(
+        [(ix, n, math.log(n + lam) - math.log(all_docs), math.log(lam) - logden[ix]) for ix, n in docs.items()],
+        "ix double, n_docs long, pi double, unseen_theta double")
+    if not logden:
+        return classes, ct.withColumn("theta", F.lit(None).cast("double"))
+    known = F.create_map(*[F.lit(x) for pair in logden.items() for x in pair])
+    return classes, ct.select("ix", "term", "tf", (F.ln(F.col("tf") + lam) - known[F.col("ix")]).alias("theta"))

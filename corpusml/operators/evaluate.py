@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,8 +44,3 @@ def write_predictions(df: DataFrame, path: str, id_col: str = "id",
 def preview(df: DataFrame, n: int = 20, id_col: str = "id") -> DataFrame:
     """The first ``n`` rows by id (a top-k: each partition keeps n rows)."""
     return df.orderBy(id_col).limit(n)
-
-
-def top_score(raw_col: str = "rawPrediction"):
-    """Largest entry of a score vector (JVM-side vector -> array)."""
-    return F.array_max(vector_to_array(F.col(raw_col)))

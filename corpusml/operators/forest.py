@@ -2,9 +2,9 @@
 
 A fixed seed alone does not make ``RandomForestClassifier`` reproducible:
 bagging samples per partition, so another partition layout grows another
-forest.  ``pinned_layout`` hash-partitions by document id into a fixed
-number of partitions and sorts inside each, which fixes the layout for any
-input split; the partition count should grow with the data at scale.
+forest.  ``pinned_layout`` hash-partitions by document id and sorts inside
+each partition, which fixes the layout for any input split; the number of
+partitions follows from the number of rows, not from a session setting.
 """
 
 from __future__ import annotations
@@ -12,9 +12,15 @@ from __future__ import annotations
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.sql import DataFrame
 
+ROWS_PER_PARTITION = 1000
+
+
+def layout_partitions(n_rows: int, rows_per_partition: int = ROWS_PER_PARTITION) -> int:
+    return max(1, -(-n_rows // rows_per_partition))
+
 
 def pinned_layout(df: DataFrame, num_partitions: int | None = None, key: str = "id") -> DataFrame:
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or layout_partitions(df.select(key).count())
     return df.repartition(n, key).sortWithinPartitions(key)
 
 

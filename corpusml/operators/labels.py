@@ -7,7 +7,7 @@ null or absent from the dictionary are removed (``handleInvalid='skip'``).
 
 from __future__ import annotations
 
-from pyspark.ml.feature import IndexToString, StringIndexer
+from pyspark.ml.feature import IndexToString, StringIndexer, StringIndexerModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,8 +34,13 @@ def label_dictionary(df: DataFrame, label_col: str = "label") -> DataFrame:
 
 def index_labels(df: DataFrame, dictionary: DataFrame, label_col: str = "label",
                  output_col: str = "indexedLabel") -> DataFrame:
-    """Inner join with the dictionary = ``StringIndexer(handleInvalid='skip')``."""
-    d = dictionary.select(F.col("label").alias("_label"), F.col("ix").alias(output_col))
-    # One row per class (the same list StringIndexer keeps on the driver);
-    # each label is a hot key of ``df``, so the dictionary is broadcast.
-    return df.join(F.broadcast(d), F.col(label_col).cast("string") == F.col("_label")).drop("_label")
+    """``StringIndexer(handleInvalid='skip')`` with a given dictionary.
+
+    The dictionary becomes the model's label list (one entry per class), so
+    rows are indexed where they are: a label is a hot key that is never
+    joined or shuffled."""
+    labels = [r["label"] for r in dictionary.orderBy("ix").select("label").collect()]
+    if not labels:
+        return df.where(F.lit(False)).withColumn(output_col, F.lit(None).cast("double"))
+    return StringIndexerModel.from_labels(labels, inputCol=label_col, outputCol=output_col,
+                                          handleInvalid="skip").transform(df)

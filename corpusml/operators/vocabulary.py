@@ -15,8 +15,7 @@ from pyspark.ml import Estimator
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusml.functions.tokens import explode_tokens
@@ -47,48 +46,31 @@ def _threshold(value: float | None, n_docs_fn) -> float | None:
     return float(value) if value >= 1.0 else float(value) * n_docs_fn()
 
 
-# Candidate tables up to this many terms are ranked by one window in one
-# task; larger ones use the distributed ``global_rank``.
-MAX_LOCAL_RANK = 1_000_000
+def filtered_stats(df: DataFrame, features: str = "features", min_df: float = 1.0,
+                   max_df: float | None = None) -> DataFrame:
+    """``term_stats`` with document-frequency bounds: absolute counts when
+    >= 1, fractions of the number of rows otherwise.  Every term that
+    passes is kept; nothing is capped."""
+    stats = term_stats(df, features)
+    n_docs = _memo(lambda: df.count())
+    lo, hi = _threshold(min_df, n_docs), _threshold(max_df, n_docs)
+    if lo is not None and lo > 1:
+        stats = stats.where(F.col("df") >= lo)
+    return stats if hi is None else stats.where(F.col("df") <= hi)
 
 
 def build_vocabulary(df: DataFrame, features: str = "features", min_df: float = 1.0,
                      max_df: float | None = None, vocab_size: int = DEFAULT_VOCAB_SIZE) -> DataFrame:
-    """``[ix int, term, tf, df]`` ordered by ``(tf desc, term asc)``.
+    """``[ix int, term, tf, df]`` ordered by ``(tf desc, term asc)``: the at
+    most ``vocab_size`` terms of a count-vector model.
 
-    ``min_df`` / ``max_df``: absolute document counts when >= 1, fractions
-    of the number of rows otherwise.  At most ``vocab_size`` terms are kept.
-
-    The candidate table (one row per term) is cached and counted: up to
-    ``MAX_LOCAL_RANK`` rows it is ranked by a single window (a checked,
-    bounded single task); beyond that by ``global_rank`` (range partitions +
-    offsets, no task holds more than its own range).  The returned
-    vocabulary (at most ``vocab_size`` rows) is cached; ``unpersist()`` it
-    when done.
-    """
-    stats = term_stats(df, features)
-    n_docs = _memo(lambda: df.count())
-    lo = _threshold(min_df, n_docs)
-    hi = _threshold(max_df, n_docs)
-    if lo is not None:
-        stats = stats.where(F.col("df") >= lo)
-    if hi is not None:
-        stats = stats.where(F.col("df") <= hi)
-    stats = stats.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        n_terms = stats.count()
-        order = [F.col("tf").desc(), F.col("term").asc()]
-        if n_terms <= MAX_LOCAL_RANK:
-            ranked = stats.withColumn("ix", F.row_number().over(Window.orderBy(*order)) - 1) \
-                          .where(F.col("ix") < vocab_size)
-        else:
-            ranked = global_rank(stats, order, "ix", limit=vocab_size)
-        vocab = ranked.select(F.col("ix").cast("int").alias("ix"), "term", "tf", "df") \
-                      .persist(StorageLevel.MEMORY_AND_DISK)
-        vocab.count()
-    finally:
-        stats.unpersist()
-    return vocab
+    The candidates (one row per term) are ranked by ``global_rank`` whatever
+    their number.  The result is a model parameter of bounded size, held by
+    the driver: nothing stays cached or checkpointed."""
+    stats = filtered_stats(df, features, min_df, max_df)
+    with global_rank(stats, [F.col("tf").desc(), F.col("term").asc()], "ix", limit=vocab_size) as ranked:
+        rows = ranked.select(F.col("ix").cast("int").alias("ix"), "term", "tf", "df").collect()
+    return df.sparkSession.createDataFrame(sorted(rows), "ix int, term string, tf long, df long")
 
 
 def _memo(fn):
@@ -108,19 +90,27 @@ def vocabulary_terms(vocabulary: DataFrame) -> list[str]:
 
 def term_counts(df: DataFrame, vocabulary: DataFrame | None = None, features: str = "features",
                 id_col: str = "id", keep: tuple[str, ...] = ()) -> DataFrame:
-    """Long form of count vectors: ``[id, *keep, term, cnt bigint]``.
-
-    Out-of-vocabulary tokens are dropped.  The vocabulary has at most
-    ``vocab_size`` rows, so it is broadcast; the count is grouped by
-    (id, term), which map-side aggregation already completes inside the
-    task holding the document.
-    """
+    """Long form of token lists: ``[id, *keep, term, cnt bigint]``, grouped
+    by (id, term); out-of-vocabulary tokens are dropped.  ``vector_counts``
+    gives the same from count vectors without a shuffle."""
     e = explode_tokens(df, features, "term", keep=(id_col, *keep))
     if vocabulary is not None:
-        e = e.join(F.broadcast(vocabulary.select("term")), "term", "left_semi")
+        e = e.join(vocabulary.select("term"), "term", "left_semi")
     return e.groupBy(id_col, *keep, "term").agg(F.count(F.lit(1)).alias("cnt"))
 
 
+def vector_counts(df: DataFrame, terms: list[str], vector_col: str, id_col: str = "id",
+                  value_col: str = "cnt", as_type: str = "bigint") -> DataFrame:
+    """``[id, term, value]``: one row per stored entry of a sparse vector
+    column, ``terms`` naming the dimensions (the model's vocabulary).
+    Row by row: no shuffle and no join."""
+    named = F.array(*[F.lit(t) for t in terms])
+    entries = df.select(id_col, F.unwrap_udt(vector_col).alias("_v")).select(
+        id_col, F.explode(F.arrays_zip("_v.indices", "_v.values")).alias("_e"))
+    return entries.select(id_col, F.element_at(named, F.col("_e.indices") + 1).alias("term"),
+                          F.col("_e.values").cast(as_type).alias(value_col))
+
+
 class OrderedCountVectorizer(Estimator, HasInputCol, HasOutputCol):
     """Count-vector estimator with a deterministic vocabulary order.
 
@@ -166,7 +156,6 @@ class OrderedCountVectorizer(Estimator, HasInputCol, HasOutputCol):
         vocab = build_vocabulary(dataset, self.getInputCol(), self.getOrDefault(self.minDF),
                                  max_df, self.getOrDefault(self.vocabSize))
         terms = vocabulary_terms(vocab)
-        vocab.unpersist()
         if not terms:
             raise ValueError("empty vocabulary: minDF/maxDF leave no term in the training data")
         return CountVectorizerModel.from_vocabulary(

@@ -18,9 +18,6 @@ def idf_weights(vocabulary: DataFrame, n_docs: int) -> DataFrame:
 
 
 def tfidf(counts: DataFrame, idf: DataFrame) -> DataFrame:
-    """Long-form counts ``[..., term, cnt]`` times idf: adds ``tfidf``.
-
-    ``idf`` has one row per vocabulary term (bounded by ``vocab_size``), so
-    it is broadcast and the counts are not shuffled."""
-    return counts.join(F.broadcast(idf.select("term", "idf")), "term") \
+    """Long-form counts ``[..., term, cnt]`` times idf: adds ``tfidf``."""
+    return counts.join(idf.select("term", "idf"), "term") \
                  .withColumn("tfidf", F.col("cnt") * F.col("idf"))

@@ -21,11 +21,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from corpusml.operators.bayes import naive_bayes
 from corpusml.operators.evaluate import accuracy, predictions
-from corpusml.operators.forest import pinned_layout, random_forest
+from corpusml.operators.forest import layout_partitions, pinned_layout, random_forest
 from corpusml.operators.labels import label_decoder, label_indexer
 from corpusml.operators.pipeline import FeaturePipeline
 from corpusml.operators.vocabulary import DEFAULT_VOCAB_SIZE, OrderedCountVectorizer
-from corpusml.sources.corpus import load_corpus
+from corpusml.sources.corpus import labelled_manifest, load_corpus
 
 
 @dataclass
@@ -57,15 +57,18 @@ def _persist(df: DataFrame, cache: bool) -> DataFrame:
 
 
 def fit_naive_bayes(train: DataFrame, *, idf: bool = False, ngram: int = 1, min_df: float = 1.0,
-                    vocab_size: int = DEFAULT_VOCAB_SIZE, smoothing: float = 1.0,
-                    label_col: str = "label", cache: bool = False) -> FittedClassifier:
+                    vocab_size: int = DEFAULT_VOCAB_SIZE, smoothing: float = 1.0, label_col: str = "label",
+                    cache: bool = False, labels: DataFrame | None = None) -> FittedClassifier:
     """Label index -> n-gram -> counts (-> idf) -> multinomial NB.
 
+    ``labels``: the training labels as a table of their own (a labelled
+    manifest), so that indexing them opens no document.
+
     ``cache`` persists the labelled token table for the fits (one
     tokenization instead of two); off by default: the token lists are as
     large as the texts, and re-running the JVM tokenizer was measured
     cheaper than building and reading that cache."""
-    indexer = label_indexer(label_col).fit(train)
+    indexer = label_indexer(label_col).fit(train.select(label_col) if labels is None else labels)
     prep = FeaturePipeline()
     if int(ngram) != 1:  # NGram(n=1) is the identity
         prep.add(NGram(n=int(ngram)))
@@ -86,14 +89,19 @@ def fit_naive_bayes(train: DataFrame, *, idf: bool = False, ngram: int = 1, min_
 def fit_random_forest(train: DataFrame, *, min_df: float = 10.0, vocab_size: int = DEFAULT_VOCAB_SIZE,
                       num_trees: int = 20, max_depth: int = 10, min_info_gain: float = 0.0,
                       seed: int = 12345, num_partitions: int | None = None, label_col: str = "label",
-                      id_col: str = "id", cache: bool = True) -> FittedClassifier:
+                      id_col: str = "id", cache: bool = True, labels: DataFrame | None = None) -> FittedClassifier:
     """Counts (minDF 10, no n-gram, no idf) -> label index -> random forest.
 
     The training rows are laid out by ``pinned_layout`` first, so the same
-    data gives the same forest whatever the input split."""
+    data gives the same forest whatever the input split; the number of
+    partitions is kept in ``extra["layout_partitions"]``.  ``labels``: the
+    training labels ``[id, label]`` as a table of their own, which is then
+    read for the label index and the row count instead of the documents."""
     prep = FeaturePipeline().add(OrderedCountVectorizer(minDF=min_df, vocabSize=vocab_size))
     counts = prep.fit(train).withColumnRenamed("features", "tokenCounts")
-    indexer = label_indexer(label_col).fit(counts)
+    thin = train.select(id_col, label_col) if labels is None else labels
+    indexer = label_indexer(label_col).fit(thin)
+    num_partitions = num_partitions or layout_partitions(indexer.transform(thin).count())
     # The forest reads its input several times (metadata, split candidates,
     # binned points): keep the laid-out count vectors, not the token lists.
     laid_out = _persist(pinned_layout(indexer.transform(counts).select(id_col, "tokenCounts", "indexedLabel"),
@@ -104,7 +112,8 @@ def fit_random_forest(train: DataFrame, *, min_df: float = 10.0, vocab_size: int
     finally:
         if cache:
             laid_out.unpersist()
-    return FittedClassifier(indexer, _CountsAs(prep, "tokenCounts"), model, label_col)
+    return FittedClassifier(indexer, _CountsAs(prep, "tokenCounts"), model, label_col,
+                            {"layout_partitions": num_partitions})
 
 
 @dataclass
@@ -127,24 +136,31 @@ def _finish(spark: SparkSession, scored: DataFrame, labelled: bool, label_col: s
 
 def nb_job(spark: SparkSession, train_x, train_y, test_x, test_y=None, *, idf: bool = False,
            ngram: int = 1, base="./data", kind: str = "bytes", lowercase: bool = False,
-           vocabulary=None, aliases=None) -> DataFrame:
+           vocabulary=None, aliases=None, min_df: float = 1.0, vocab_size: int = DEFAULT_VOCAB_SIZE,
+           cache: bool = False, table: str | None = None) -> DataFrame:
     """Naive Bayes job.  Accuracy ``[accuracy]`` when ``test_y`` is given,
-    else ``[id, predictedClass int]`` ordered by id."""
-    train = load_corpus(spark, train_x, train_y, base, kind, vocabulary, lowercase, aliases)
-    test = load_corpus(spark, test_x, test_y, base, kind, vocabulary, lowercase, aliases)
-    fitted = fit_naive_bayes(train, idf=idf, ngram=ngram)
+    else ``[id, predictedClass int]`` ordered by id.  ``table``: an ingested
+    corpus (``ingest_documents``)."""
+    train = load_corpus(spark, train_x, train_y, base, kind, vocabulary, lowercase, aliases, table)
+    test = load_corpus(spark, test_x, test_y, base, kind, vocabulary, lowercase, aliases, table)
+    fitted = fit_naive_bayes(train, idf=idf, ngram=ngram, min_df=min_df, vocab_size=vocab_size, cache=cache,
+                             labels=labelled_manifest(spark, train_x, train_y))
     scored = fitted.score(test, labelled=test_y is not None)
     return _finish(spark, scored, test_y is not None, "label", "predictedClass")
 
 
 def rf_job(spark: SparkSession, train_x, train_y, test_x, test_y=None, *, base="./data",
            lowercase: bool = False, vocabulary=None, aliases=None, min_df: float = 10.0,
-           num_partitions: int | None = None) -> DataFrame:
-    """Random forest job on joint tokens.  Accuracy (evaluator form:
+           num_partitions: int | None = None, vocab_size: int = DEFAULT_VOCAB_SIZE,
+           table: str | None = None) -> DataFrame:
+    """Random forest job on joint token counts.  Accuracy (evaluator form:
     ``prediction`` vs ``indexedLabel``) when ``test_y`` is given, else
     ``[id, predictedClass int]`` ordered by id."""
-    train = load_corpus(spark, train_x, train_y, base, "joint", vocabulary, lowercase, aliases)
-    test = load_corpus(spark, test_x, test_y, base, "joint", vocabulary, lowercase, aliases)
-    fitted = fit_random_forest(train, min_df=min_df, num_partitions=num_partitions)
+    bags = {"base": base, "kind": "joint", "vocabulary": vocabulary, "lowercase": lowercase, "aliases": aliases,
+            "table": table, "ordered": False}
+    train = load_corpus(spark, train_x, train_y, **bags)
+    test = load_corpus(spark, test_x, test_y, **bags)
+    fitted = fit_random_forest(train, min_df=min_df, num_partitions=num_partitions, vocab_size=vocab_size,
+                               labels=labelled_manifest(spark, train_x, train_y))
     scored = fitted.score(test, labelled=test_y is not None)
     return _finish(spark, scored, test_y is not None, "indexedLabel", "prediction")

@@ -10,11 +10,11 @@ arg-max window.  Tables: the driver's parquet views (``documents``,
 
 from __future__ import annotations
 
-from corpusml.functions.opcodes import DEFAULT_OPCODES
 from corpusml.functions.views import BASE_ADDRESS, BYTES_PER_LINE
-from corpusml.plans.queries import ROUND, URL_BASE, VOCAB_MIN_DF, VOCAB_TOP_K
+from corpusml.plans.queries import COUNT_MIN_DF, ROUND, URL_BASE, VOCAB_MIN_DF, VOCAB_TOP_K
+from corpusml.plans.tables import LISTING_WORDS
 
-OPS = "|".join(DEFAULT_OPCODES)
+OPS = "|".join(LISTING_WORDS)
 NL = "chr(10)"
 
 
@@ -91,6 +91,9 @@ def token_counts(kind: str, lowercase: bool = False) -> str:
   SELECT unnest({TOKENS[kind]('text', lowercase)}) AS token FROM documents) GROUP BY token"""
 
 
+COUNT_VOCABULARY = f"""vocab AS (SELECT term FROM (SELECT id, unnest(toks) AS term FROM train)
+          GROUP BY term HAVING count(DISTINCT id) >= {COUNT_MIN_DF})"""
+
 CLASSES = """classes AS (SELECT label, count(*) AS n,
                    CAST(row_number() OVER (ORDER BY count(*) DESC, label) - 1 AS DOUBLE) AS ix
             FROM train WHERE label IS NOT NULL GROUP BY label)"""
@@ -153,6 +156,11 @@ def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["line_index"] = f"""SELECT doc_id, CAST(generate_subscripts(l, 1) - 1 AS BIGINT) AS line_no,
        unnest(l) AS line FROM (SELECT doc_id, {_lines()} AS l FROM documents)"""
+    q["global_line_index"] = f"""WITH l AS (
+  SELECT doc_id, generate_subscripts(l, 1) AS n, unnest(l) AS line FROM (SELECT doc_id, {_lines()} AS l FROM documents))
+SELECT row_number() OVER (ORDER BY doc_id, n) - 1 AS id, line FROM l"""
+    q["manifest_scan"] = """SELECT row_number() OVER (ORDER BY doc_id) - 1 AS id, md5(text) AS hash, n_chars AS label
+FROM documents"""
     q["document_url"] = f"""SELECT doc_id, md5(text) AS hash,
        '{URL_BASE}/bytes/' || md5(text) || '.bytes' AS url FROM documents"""
     q["int_parse"] = """SELECT doc_id, CAST(trim(' ' || CAST(quality * 2 + toxic AS VARCHAR) || chr(9), ' ' || chr(9))
@@ -179,20 +187,36 @@ st AS (SELECT term, count(*) AS tf, count(DISTINCT id) AS df
        FROM (SELECT id, unnest(toks) AS term FROM train) GROUP BY term)
 SELECT CAST(row_number() OVER (ORDER BY tf DESC, term) - 1 AS BIGINT) AS ix, term, tf, df
 FROM st WHERE df >= {VOCAB_MIN_DF} ORDER BY tf DESC, term LIMIT {VOCAB_TOP_K}"""
-    q["term_counts"] = f"""WITH {corpus_cte()}
-SELECT id, term, count(*) AS cnt FROM (SELECT id, unnest(toks) AS term FROM train) GROUP BY id, term"""
+    q["term_counts"] = f"""WITH {corpus_cte()},
+{COUNT_VOCABULARY}
+SELECT id, term, count(*) AS cnt FROM (SELECT id, unnest(toks) AS term FROM doc) JOIN vocab USING (term)
+GROUP BY id, term"""
+    q["rf_features"] = f"""WITH {corpus_cte('joint')},
+{COUNT_VOCABULARY}
+SELECT id, term, count(*) AS cnt FROM (SELECT id, unnest(toks) AS term FROM doc) JOIN vocab USING (term)
+GROUP BY id, term"""
     idf = f"""WITH {corpus_cte()},
 m AS (SELECT count(*) AS m FROM train),
 st AS (SELECT term, count(DISTINCT id) AS df FROM (SELECT id, unnest(toks) AS term FROM train) GROUP BY term),
 idf AS (SELECT term, df, ln(((SELECT m FROM m) + 1.0) / (df + 1.0)) AS idf FROM st)"""
     q["idf_weights"] = f"{idf}\nSELECT term, df, round(idf, {ROUND}) AS idf FROM idf"
     q["tfidf"] = f"""{idf},
-tc AS (SELECT id, term, count(*) AS cnt FROM (SELECT id, unnest(toks) AS term FROM train) GROUP BY id, term)
-SELECT tc.id, tc.term, round(tc.cnt * idf.idf, {ROUND}) AS tfidf FROM tc JOIN idf USING (term)"""
+tc AS (SELECT id, term, count(*) AS cnt FROM (SELECT id, unnest(toks) AS term FROM doc) GROUP BY id, term)
+SELECT tc.id, tc.term, round(tc.cnt * idf.idf, {ROUND}) AS tfidf FROM tc JOIN idf USING (term)
+WHERE idf.df >= {COUNT_MIN_DF}"""
     q["label_index"] = f"WITH {corpus_cte()},\n{CLASSES}\nSELECT label, n, ix FROM classes"
     q["label_decode"] = f"""WITH {corpus_cte()},
 {CLASSES}
-SELECT t.id, c.ix AS indexedLabel, c.label AS decoded FROM test t JOIN classes c ON t.label = c.label"""
+SELECT t.id, c.ix AS indexedLabel, c.label AS decoded FROM doc t JOIN classes c ON t.label = c.label"""
+    q["rf_label_index"] = f"""WITH {corpus_cte()},
+{CLASSES}
+SELECT t.label, c.ix AS indexedLabel, count(*) AS n FROM doc t JOIN classes c ON t.label = c.label GROUP BY ALL"""
+    q["unseen_class_skip"] = f"""WITH doc AS (SELECT doc_id AS id,
+    CASE WHEN doc_id % 5 = 0 AND doc_id % 3 = 0 THEN 'new' ELSE lang END AS label FROM documents),
+train AS (SELECT * FROM doc WHERE id % 5 <> 0),
+test AS (SELECT * FROM doc WHERE id % 5 = 0),
+{CLASSES}
+SELECT t.id, t.label, c.ix AS indexedLabel FROM test t JOIN classes c ON t.label = c.label"""
     q["unseen_label_skip"] = """WITH doc AS (SELECT d.doc_id AS id, CAST(l.quality AS BIGINT) AS label
              FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id),
 train AS (SELECT * FROM doc WHERE id % 5 <> 0),
@@ -214,6 +238,8 @@ FROM ct JOIN den d ON ct.ix = d.ix"""
     q["nb_predict_tfidf"] = nb_predict(idf=True)
     q["nb_predict_bigrams"] = nb_predict(idf=True, ngram=2)
     q["nb_predict_asm"] = nb_predict(kind="asm")
+    q["ordered_predictions"] = f"""SELECT row_number() OVER (ORDER BY id) - 1 AS line, predictedClass
+FROM ({nb_predict()})"""
     q["nb_accuracy"] = nb_accuracy()
     q["evaluator_accuracy"] = nb_accuracy(idf=True, ngram=2, evaluator=True)
     q["token_preview"] = f"""WITH {corpus_cte('joint')}

@@ -8,22 +8,26 @@ built; the returned plan is lazy).  The DuckDB form of each one lives in
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+from pyspark.ml.feature import IDF
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusml.functions.tokens import add_ngrams, byte_tokens, explode_tokens, parse_int
 from corpusml.functions.views import hex_dump
 from corpusml.operators.bayes import nb_parameters
-from corpusml.operators.evaluate import accuracy, preview
+from corpusml.operators.evaluate import accuracy, predictions, preview, write_predictions
 from corpusml.operators.labels import index_labels, label_decoder, label_dictionary, label_indexer
-from corpusml.operators.vocabulary import build_vocabulary, term_counts
-from corpusml.operators.weighting import idf_weights, tfidf
+from corpusml.operators.vocabulary import OrderedCountVectorizer, build_vocabulary, filtered_stats, vector_counts
+from corpusml.operators.weighting import idf_weights
 from corpusml.plans import tables as tb
 from corpusml.plans.jobs import fit_naive_bayes, fit_random_forest
+from corpusml.session import checkpoint_dir
 from corpusml.sources.corpus import document_url as url_of
-from corpusml.sources.lines import explode_lines
+from corpusml.sources.corpus import labelled_manifest
+from corpusml.sources.lines import explode_lines, read_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -32,7 +36,7 @@ REGISTRY: dict[str, Query] = {}
 URL_BASE = "hdfs://corpus/data"
 VOCAB_MIN_DF = 2
 VOCAB_TOP_K = 1000
-RF_MIN_DF = 10
+RF_MIN_DF = COUNT_MIN_DF = 10
 ROUND = 6
 
 
@@ -61,6 +65,31 @@ def line_index(spark, sf_dir):
     return explode_lines(tb.documents(spark, sf_dir), "text", ["doc_id"])
 
 
+def _files(spark) -> str:
+    """A fresh folder for text files, shared by all executors."""
+    return f"{checkpoint_dir(spark)}/corpusml-files-{uuid.uuid4().hex}"
+
+
+@query
+def global_line_index(spark, sf_dir):
+    """All lines of all documents, written as text files in order and
+    numbered across files and splits by the line reader."""
+    folder = _files(spark)
+    lines = explode_lines(tb.documents(spark, sf_dir), "text", ["doc_id"])
+    lines.orderBy("doc_id", "line_no").select(F.col("line").alias("value")).write.text(folder)
+    return read_lines(spark, folder)
+
+
+@query
+def manifest_scan(spark, sf_dir):
+    """A manifest and a label file, read back and joined by line."""
+    folder = _files(spark)
+    docs = tb.documents(spark, sf_dir).select("doc_id", F.md5("text").alias("hash"), "n_chars")
+    docs.orderBy("doc_id").select("hash").write.text(f"{folder}/x")
+    docs.orderBy("doc_id").select(F.concat(F.col("n_chars").cast("string"), F.lit(" "))).write.text(f"{folder}/y")
+    return labelled_manifest(spark, f"{folder}/x", f"{folder}/y")
+
+
 @query
 def document_url(spark, sf_dir):
     """H1/H2: ``{base}/{kind}/{hash}.{kind}`` with a content hash."""
@@ -78,20 +107,20 @@ def int_parse(spark, sf_dir):
 
 @query
 def labelled_corpus(spark, sf_dir):
-    """Byte-token corpus joined with the label table."""
-    corpus = tb.corpus(spark, sf_dir, "bytes")
+    """Byte-token corpus joined with the label table.  Tokens
+    are counted next to the scan, so that only ``(id, count)`` meets the
+    labels, whatever join Spark picks."""
+    counts = tb.corpus(spark, sf_dir, "bytes").select("id", F.size("features").cast("bigint").alias("n_tokens"))
     lab = tb.table(spark, sf_dir, "labels").withColumnRenamed("doc_id", "id")
-    return corpus.join(lab, "id").select("id", F.size("features").cast("bigint").alias("n_tokens"),
-                                         "quality", "toxic")
+    return counts.join(lab, "id").select("id", "n_tokens", "quality", "toxic")
 
 
 @query
 def manifest_restrict(spark, sf_dir):
     """Only the documents listed by a manifest (here: the label table)."""
-    docs = tb.documents(spark, sf_dir)
-    listed = tb.table(spark, sf_dir, "labels").select("doc_id")
-    return docs.join(listed, "doc_id", "left_semi").select(
-        F.col("doc_id").alias("id"), F.md5("text").alias("hash"), "n_chars")
+    docs = tb.documents(spark, sf_dir).select(F.col("doc_id").alias("id"), F.md5("text").alias("hash"), "n_chars")
+    listed = tb.table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"))
+    return docs.join(listed, "id", "left_semi")
 
 
 @query
@@ -128,9 +157,11 @@ def joint_token_counts(spark, sf_dir):
 @query
 def lowercase_effect(spark, sf_dir):
     """H6: the three tokenizers on lower-cased text."""
-    parts = [_token_counts(tb.corpus(spark, sf_dir, k, lowercase=True)).select(
-        F.lit(k).alias("kind"), "token", "cnt") for k in ("bytes", "asm", "joint")]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    kinds = F.array(*[F.struct(F.lit(k).alias("kind"), tb.token_column(k, lowercase=True).alias("tokens"))
+                      for k in ("bytes", "asm", "joint")])
+    views = tb.documents(spark, sf_dir).select(F.explode(kinds).alias("v"))
+    return (explode_tokens(views, "v.tokens", "token", keep=(F.col("v.kind").alias("kind"),))
+            .groupBy("kind", "token").agg(F.count(F.lit(1)).alias("cnt")))
 
 
 @query
@@ -159,28 +190,43 @@ def vocabulary_topk(spark, sf_dir):
     return v.select(F.col("ix").cast("bigint").alias("ix"), "term", "tf", "df")
 
 
+def _vectors(spark, sf_dir, kind="bytes"):
+    """Count vectors of every document (train and test) under the training
+    vocabulary with minDF, and the fitted model: other tokens drop out."""
+    both = tb.corpus(spark, sf_dir, kind)
+    model = OrderedCountVectorizer(inputCol="features", outputCol="counts", minDF=COUNT_MIN_DF).fit(tb.split(both)[0])
+    return model.transform(both).select("id", "counts"), model
+
+
 @query(name="term_counts")
 def term_counts_long(spark, sf_dir):
-    """Count vectors of the training split in long form."""
-    train = _train(spark, sf_dir)
-    return term_counts(train, build_vocabulary(train), id_col="id")
+    """Count vectors of all documents in long form."""
+    vectors, model = _vectors(spark, sf_dir)
+    return vector_counts(vectors, model.vocabulary, "counts")
 
 
 @query(name="idf_weights")
 def idf_weights_q(spark, sf_dir):
-    """D3: smoothed idf of the training vocabulary."""
+    """D3: smoothed idf of all training terms."""
     train = _train(spark, sf_dir)
-    w = idf_weights(build_vocabulary(train), train.count())
-    return w.select("term", "df", _r(F.col("idf")).alias("idf"))
+    n_docs = tb.split(tb.labels_of(spark, sf_dir))[0].count()
+    return idf_weights(filtered_stats(train), n_docs).select("term", "df", _r(F.col("idf")).alias("idf"))
 
 
 @query(name="tfidf")
 def tfidf_long(spark, sf_dir):
-    """Tf x idf per (document, term) of the training split."""
-    train = _train(spark, sf_dir)
-    vocab = build_vocabulary(train)
-    w = tfidf(term_counts(train, vocab), idf_weights(vocab, train.count()))
-    return w.select("id", "term", _r(F.col("tfidf")).alias("tfidf"))
+    """Tf x idf per (document, term) of all documents."""
+    vectors, model = _vectors(spark, sf_dir)
+    idf = IDF(inputCol="counts", outputCol="weights").fit(tb.split(vectors)[0])
+    long = vector_counts(idf.transform(vectors), model.vocabulary, "weights", value_col="w", as_type="double")
+    return long.select("id", "term", _r(F.col("w")).alias("tfidf"))
+
+
+@query
+def rf_features(spark, sf_dir):
+    """The forest's input, joint token counts with minDF."""
+    vectors, model = _vectors(spark, sf_dir, "joint")
+    return vector_counts(vectors, model.vocabulary, "counts")
 
 
 # ---- labels ------------------------------------------------------------------
@@ -188,22 +234,22 @@ def tfidf_long(spark, sf_dir):
 @query
 def label_index(spark, sf_dir):
     """Label dictionary (frequency desc, ties by label)."""
-    return label_dictionary(_train(spark, sf_dir), "label")
+    return label_dictionary(tb.split(tb.labels_of(spark, sf_dir))[0], "label")
 
 
 @query
 def label_decode(spark, sf_dir):
-    """Index the test labels, decode the index back."""
-    train, test = tb.split(tb.corpus(spark, sf_dir, "bytes"))
-    ix = label_indexer("label").fit(train)
-    out = label_decoder(ix.labels, "indexedLabel", "decoded").transform(ix.transform(test))
+    """Index all labels by the training dictionary, decode them back."""
+    both = tb.labels_of(spark, sf_dir)
+    ix = label_indexer("label").fit(tb.split(both)[0])
+    out = label_decoder(ix.labels, "indexedLabel", "decoded").transform(ix.transform(both))
     return out.select("id", "indexedLabel", "decoded")
 
 
 @query
 def unseen_label_skip(spark, sf_dir):
     """Test rows whose label is null or unseen in training are removed."""
-    docs = tb.documents(spark, sf_dir).select(F.col("doc_id").alias("id"))
+    docs = tb.labels_of(spark, sf_dir).select("id")
     lab = tb.table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"),
                                                    F.col("quality").cast("bigint").alias("label"))
     rows = docs.join(lab, "id", "left")
@@ -212,15 +258,31 @@ def unseen_label_skip(spark, sf_dir):
     return index_labels(test, d, "label").select("id", "label", "indexedLabel")
 
 
+@query
+def unseen_class_skip(spark, sf_dir):
+    """A class that only the test split has is removed from it."""
+    only_test = tb.is_test() & (F.col("id") % 3 == 0)
+    rows = tb.labels_of(spark, sf_dir).withColumn("label", F.when(only_test, F.lit("new")).otherwise(F.col("label")))
+    train, test = tb.split(rows)
+    return index_labels(test, label_dictionary(train, "label"), "label").select("id", "label", "indexedLabel")
+
+
+@query
+def rf_label_index(spark, sf_dir):
+    """D4/I6 as the forest job does it: the indexer on all labelled rows."""
+    both = tb.labels_of(spark, sf_dir)
+    indexed = label_indexer("label").fit(tb.split(both)[0]).transform(both)
+    return indexed.groupBy("label", "indexedLabel").agg(F.count(F.lit(1)).alias("n"))
+
+
 # ---- naive Bayes ---------------------------------------------------------------
 
 def _nb_tables(spark, sf_dir):
     train = _train(spark, sf_dir)
-    d = label_dictionary(train, "label")
+    d = label_dictionary(tb.split(tb.labels_of(spark, sf_dir))[0], "label")
     labelled = index_labels(train, d, "label")
-    vocab = build_vocabulary(train)
-    n_terms = vocab.count()
-    classes, theta = nb_parameters(labelled, vocab, n_terms)
+    n_terms = explode_tokens(train, "features", "term").agg(F.count_distinct("term")).first()[0]
+    classes, theta = nb_parameters(labelled, n_terms)
     return d, classes, theta
 
 
@@ -243,7 +305,8 @@ def nb_theta(spark, sf_dir):
 
 def _nb_scored(spark, sf_dir, kind="bytes", idf=False, ngram=1, labelled=False):
     train, test = tb.split(tb.corpus(spark, sf_dir, kind))
-    fitted = fit_naive_bayes(train, idf=idf, ngram=ngram)
+    thin = tb.split(tb.labels_of(spark, sf_dir))[0]
+    fitted = fit_naive_bayes(train, idf=idf, ngram=ngram, labels=thin)
     if not labelled:
         test = test.drop("label")
     return fitted.score(test, labelled=labelled)
@@ -277,6 +340,14 @@ def nb_predict_asm(spark, sf_dir):
     return _nb_predictions(_nb_scored(spark, sf_dir, kind="asm"))
 
 
+@query
+def ordered_predictions(spark, sf_dir):
+    """Predictions written in id order, read back by line."""
+    folder = _files(spark)
+    write_predictions(predictions(_nb_scored(spark, sf_dir)), folder)
+    return read_lines(spark, folder).select(F.col("id").alias("line"), F.col("line").alias("predictedClass"))
+
+
 @query
 def nb_accuracy(spark, sf_dir):
     """Mean of (label == predictedClass)."""
@@ -293,16 +364,18 @@ def evaluator_accuracy(spark, sf_dir):
 @query
 def token_preview(spark, sf_dir):
     """First 20 training rows of the joint corpus by id."""
-    train = _train(spark, sf_dir, "joint")
-    return preview(train, 20).select("id", F.size("features").cast("bigint").alias("n_tokens"),
-                                     F.array_join("features", " ").alias("tokens"))
+    train = tb.split(tb.labels_of(spark, sf_dir))[0]
+    first = preview(train.select("id"), 20)  # only these are read and tokenized
+    docs = tb.documents(spark, sf_dir).join(first.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi")
+    return tb.corpus(spark, sf_dir, "joint", docs=docs).select(
+        "id", F.size("features").cast("bigint").alias("n_tokens"), F.array_join("features", " ").alias("tokens"))
 
 
 # ---- random forest ------------------------------------------------------------
 
 def _rf_scored(spark, sf_dir, labelled):
     train, test = tb.split(tb.corpus(spark, sf_dir, "joint"))
-    fitted = fit_random_forest(train, min_df=RF_MIN_DF)
+    fitted = fit_random_forest(train, min_df=RF_MIN_DF, labels=tb.split(tb.labels_of(spark, sf_dir))[0])
     if not labelled:
         test = test.drop("label")
     return fitted.score(test, labelled=labelled)

@@ -12,33 +12,48 @@ Train / test split used by every query: ``doc_id % 5 <> 0`` trains,
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusml.functions.tokens import join_token_lists, joint_tokens, with_line_break
 from corpusml.functions.views import asm_listing, hex_dump
-from corpusml.sources.corpus import joint_corpus, tokenize
+from corpusml.sources.corpus import tokenize
 
 TEST_FOLDS = 5
+# The word vocabulary of the listing view (frequent short words
+# of the four languages in ``documents``).
+LISTING_WORDS = (
+    "a and are as at be by das de der des die du el en for from il in is la las le les los mit of on para por que "
+    "sur the to un una und une von was with zu"
+).split()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def ensure_parallelism(df: DataFrame, key: str) -> DataFrame:
-    """Hash-spread rows over the cluster when the scan yields fewer
-    partitions than there are cores (a table stored as one row group is
-    read by one task).  Decided at plan time; a large table, already split
-    into many partitions, is left untouched (no shuffle)."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+def split_scan(df: DataFrame, key: str) -> DataFrame:
+    """``df`` read in as many slices as there are cores if its scan has
+    fewer partitions (a table stored as one row group is one task).  Slices
+    are filters on the scan, so nothing is shuffled and no layout is
+    promised to later operators; a table of many partitions is left alone."""
+    n = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= n:
         return df
-    return df.repartition(target, key)
+    share = F.pmod(F.coalesce(F.col(key), F.lit(0)), F.lit(n))
+    return reduce(DataFrame.unionAll, [df.where(share == k) for k in range(n)])
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents table, spread for the CPU-heavy tokenizers."""
-    return ensure_parallelism(table(spark, sf_dir, "documents"), "doc_id")
+    """The documents table, read in parallel for the CPU-heavy tokenizers."""
+    return split_scan(table(spark, sf_dir, "documents"), "doc_id")
+
+
+def labels_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``[id, label]`` of all documents: no text is read."""
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("lang").alias("label"))
 
 
 def is_test(id_col: str = "id"):
@@ -49,24 +64,18 @@ def split(df: DataFrame, id_col: str = "id") -> tuple[DataFrame, DataFrame]:
     return df.where(~is_test(id_col)), df.where(is_test(id_col))
 
 
-def bytes_view(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """``[id, *keep, text]`` with text = hex dump of the document."""
-    return docs.select(F.col("doc_id").alias("id"), *keep, hex_dump("text").alias("text"))
-
-
-def asm_view(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """``[id, *keep, text]`` with text = listing of the document's lines."""
-    return docs.select(F.col("doc_id").alias("id"), *keep, asm_listing("text").alias("text"))
-
-
 def corpus(spark: SparkSession, sf_dir: str, kind: str = "bytes", lowercase: bool = False,
-           vocabulary=None, docs: DataFrame | None = None) -> DataFrame:
-    """``[id, label, features]`` for the whole ``documents`` table."""
+           vocabulary=LISTING_WORDS, docs: DataFrame | None = None) -> DataFrame:
+    """``[id, label, features]`` for the whole ``documents`` table.  Both
+    views of a document come from one row: the joint kind needs no join."""
     docs = documents(spark, sf_dir) if docs is None else docs
-    keep = (F.col("lang").alias("label"),)
-    if kind == "joint":
-        b = bytes_view(docs, keep)
-        a = asm_view(docs)
-        return joint_corpus(b, a, "id", vocabulary, lowercase, keep=("label",))
-    view = bytes_view(docs, keep) if kind == "bytes" else asm_view(docs, keep)
-    return view.select("id", "label", tokenize("text", kind, vocabulary, lowercase).alias("features"))
+    return docs.select(F.col("doc_id").alias("id"), F.col("lang").alias("label"),
+                       token_column(kind, vocabulary, lowercase).alias("features"))
+
+
+def token_column(kind: str, vocabulary=LISTING_WORDS, lowercase: bool = False, text: str = "text") -> Column:
+    """Tokens of a text column seen as ``kind``."""
+    if kind != "joint":
+        return tokenize(hex_dump(text) if kind == "bytes" else asm_listing(text), kind, vocabulary, lowercase)
+    return join_token_lists(joint_tokens(with_line_break(hex_dump(text)), vocabulary, lowercase),
+                            joint_tokens(asm_listing(text), vocabulary, lowercase))

@@ -1,12 +1,13 @@
 """Sources: line-numbered files, manifests, labels, document files, corpora."""
 
 from corpusml.sources.corpus import (
-    KINDS, document_url, joint_corpus, load_corpus, normalize_base, read_documents, read_labels,
-    read_manifest, tokenize,
+    KINDS, document_url, ingest_documents, joint_corpus, joint_token_bags, labelled_manifest, load_corpus,
+    normalize_base, read_documents, read_labels, read_manifest, scan_documents, tokenize,
 )
 from corpusml.sources.lines import explode_lines, read_lines, split_lines
 
 __all__ = [
-    "KINDS", "document_url", "explode_lines", "joint_corpus", "load_corpus", "normalize_base",
-    "read_documents", "read_labels", "read_lines", "read_manifest", "split_lines", "tokenize",
+    "KINDS", "document_url", "explode_lines", "ingest_documents", "joint_corpus", "joint_token_bags",
+    "labelled_manifest", "load_corpus", "normalize_base", "read_documents", "read_labels", "read_lines",
+    "read_manifest", "scan_documents", "split_lines", "tokenize",
 ]

@@ -16,16 +16,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusml.functions.tokens import (
-    asm_tokens, byte_tokens, joint_tokens, join_token_lists, parse_int, with_line_break,
+    asm_tokens, byte_tokens, explode_tokens, joint_tokens, join_token_lists, parse_int, with_line_break,
 )
 from corpusml.sources.lines import read_lines
 
 KINDS = ("bytes", "asm", "joint")
 URL_SCHEME = re.compile(r"^[a-zA-Z0-9]+:")
-# Manifests up to this many distinct hashes are turned into an explicit path
-# list (only those files are opened); larger ones scan the kind directory and
-# join on the hash taken from the file name.
-MAX_LISTED_PATHS = 100_000
 
 
 def normalize_base(base, aliases: Mapping[str, str] | None = None) -> str:
@@ -56,68 +52,78 @@ def read_labels(spark: SparkSession, path) -> DataFrame:
     return read_lines(spark, path).select("id", parse_int("line").alias("label"))
 
 
-def _texts(spark: SparkSession, hashes: DataFrame, base: str, kind: str,
-           max_listed_paths: int) -> tuple[DataFrame, bool]:
-    """``[hash, text]`` for each distinct hash, from one whole-file scan.
-
-    Up to ``max_listed_paths`` hashes the scan gets the explicit path list
-    (only those files are opened; a missing file fails the read; a
-    zero-length file is an empty document).  Beyond that the
-    ``{base}/{kind}`` directory is scanned and matched on the file name (a
-    shuffle join; texts move only in this mode); a hash without a file then
-    fails the job when it is reached.  File scans skip zero-length files,
-    so in this mode an empty file counts as missing.
-    """
-    name = F.regexp_extract(F.col("_metadata.file_name"), rf"^(.*)\.{kind}$", 1)
-    # One bounded collect decides the mode: at most max_listed_paths + 1 names.
-    listed = [r["hash"] for r in hashes.limit(max_listed_paths + 1).collect()]
-    if len(listed) <= max_listed_paths:
-        if not listed:
-            return spark.createDataFrame([], "hash string, text string"), True
-        paths = [f"{base}/{kind}/{h}.{kind}" for h in listed]
-        scan = spark.read.text(paths, wholetext=True)  # fails on a missing path
-        docs = scan.select(name.alias("hash"), F.col("value").alias("text"))
-        # File scans skip zero-length files.  A metadata-only pass (no file
-        # content is read) tells which listed files are non-empty; the rest
-        # (at most max_listed_paths names) become empty documents.
-        sizes = spark.read.format("binaryFile").load(paths).select(
-            F.regexp_extract(F.col("_metadata.file_name"), rf"^(.*)\.{kind}$", 1).alias("hash"))
-        non_empty = {r["hash"] for r in sizes.collect()}
-        empty = [(h, "") for h in listed if h not in non_empty]
-        if empty:
-            docs = docs.unionByName(spark.createDataFrame(empty, "hash string, text string"))
-        return docs, True
-    scan = spark.read.option("pathGlobFilter", f"*.{kind}").text(f"{base}/{kind}", wholetext=True)
-    docs = scan.select(name.alias("hash"), F.col("value").alias("text"))
-    url = F.concat(F.lit(f"{base}/{kind}/"), F.col("hash"), F.lit(f".{kind}"))
-    checked = hashes.join(docs, "hash", "left").withColumn(
-        "text", F.when(F.col("text").isNull(),
-                       F.raise_error(F.concat(F.lit("document not found: "), url)))
-        .otherwise(F.col("text")))
-    return checked, False
-
-
-def _expand(per_hash: DataFrame, wanted: DataFrame, listed: bool) -> DataFrame:
-    """Give every manifest line its document (duplicate hashes repeat it).
-
-    In the listed case the manifest side is bounded (it produced the path
-    list), so it is broadcast and the per-document rows are never shuffled."""
-    return per_hash.join(F.broadcast(wanted) if listed else wanted, "hash")
+def _glob_escaped(path: str) -> str:
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
+def scan_documents(spark: SparkSession, base, kind: str) -> DataFrame:
+    """``[hash, text]`` of every non-empty ``{base}/{kind}/{hash}.{kind}``.
+
+    A plan that needs no text reads none: content is a column of its own and
+    is pruned like any other.  File names are taken as they are (blanks,
+    ``%`` and glob characters have no meaning)."""
+    base = normalize_base(base)
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", f"*.{kind}")
+             .load(_glob_escaped(f"{base}/{kind}")))
+    return files.select(F.regexp_extract("path", rf"(?s)([^/]*)\.{kind}$", 1).alias("hash"),
+                        F.col("content").cast("string").alias("text"))
+
+
+def ingest_documents(spark: SparkSession, base, table_path: str, kinds: Iterable[str] = ("bytes", "asm"),
+                     files_per_partition: int = 10_000) -> None:
+    """Write the document files once as a Parquet table ``[hash, text]`` in
+    ``{table_path}/kind=...``, so that later runs neither list nor open
+    millions of small files.  Each task writes the files that it has read."""
+    for kind in kinds:
+        (scan_documents(spark, base, kind).write.option("maxRecordsPerFile", files_per_partition)
+         .parquet(f"{table_path}/kind={kind}"))
+
+
+def _empty_documents(spark: SparkSession, unscanned: DataFrame, base: str, kind: str) -> DataFrame:
+    """``[hash, text]`` of listed documents that the scan has not: Spark's
+    file scans skip files of length 0, so each such file is looked up and
+    must exist with length 0; anything else is an error.  Names come to the
+    driver one block at a time, never all at once."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    empty = []
+    for row in unscanned.toLocalIterator():
+        url = f"{base}/{kind}/{row['hash']}.{kind}"
+        path = jvm.org.apache.hadoop.fs.Path(f"{base}/{kind}", f"./{row['hash']}.{kind}")
+        fs = path.getFileSystem(conf)
+        if not fs.exists(path):
+            raise FileNotFoundError(f"document not found: {url}")
+        if fs.getFileStatus(path).getLen():
+            raise ValueError(f"document cannot be scanned (hidden or nested file): {url}")
+        empty.append((row["hash"], ""))
+    return spark.createDataFrame(empty, "hash string, text string")
+
+
+def _texts(spark: SparkSession, hashes: DataFrame, base: str, kind: str, table: str | None) -> DataFrame:
+    """``[hash, text]`` with a row for each distinct listed hash, whatever
+    the number of hashes: one scan of the documents, joined on the name.  A
+    listed document that does not exist fails here, before any text is
+    read; a zero-length file is an empty document."""
+    docs = (spark.read.parquet(f"{table}/kind={kind}").select("hash", "text") if table
+            else scan_documents(spark, base, kind))
+    unscanned = hashes.join(docs.select("hash"), "hash", "left_anti")  # names only: no content is read
+    return docs.unionByName(_empty_documents(spark, unscanned, base, kind))
 
 
 def read_documents(spark: SparkSession, manifest: DataFrame, base="./data", kind: str = "bytes",
-                   aliases: Mapping[str, str] | None = None,
-                   max_listed_paths: int = MAX_LISTED_PATHS) -> DataFrame:
-    """``DataFrame[id, hash, url, text]``: one row per manifest line that
+                   aliases: Mapping[str, str] | None = None, table: str | None = None) -> DataFrame:
+    """``DataFrame[id, hash, url, text, ...]``: one row per manifest line that
     names a document (blank lines match nothing; duplicates give one row
-    per line).  ``kind`` is ``bytes`` or ``asm``."""
+    per line).  Further columns of ``manifest`` (labels) are kept.  ``kind``
+    is ``bytes`` or ``asm``; ``table`` is an ingested corpus to read instead
+    of the files (zero-length files are still looked up at ``base``)."""
     if kind not in ("bytes", "asm"):
         raise ValueError(f"kind must be 'bytes' or 'asm', got {kind!r}")
     base = normalize_base(base, aliases)
-    wanted = manifest.where(F.col("hash") != "").select("id", "hash")
-    texts, listed = _texts(spark, wanted.select("hash").distinct(), base, kind, max_listed_paths)
+    wanted = manifest.where(F.col("hash") != "")
+    texts = _texts(spark, wanted.select("hash").distinct(), base, kind, table)
     url = F.concat(F.lit(f"{base}/{kind}/"), F.col("hash"), F.lit(f".{kind}"))
-    return _expand(texts, wanted, listed).select("id", "hash", url.alias("url"), "text")
+    extra = [c for c in wanted.columns if c not in ("id", "hash")]
+    return wanted.join(texts, "hash").select("id", "hash", url.alias("url"), "text", *extra)
 
 
 def tokenize(text, kind: str, vocabulary: Iterable[str] | None = None,
@@ -145,32 +151,62 @@ def joint_corpus(bytes_docs: DataFrame, asm_docs: DataFrame, key: str = "id",
     return b.join(a, key).select(key, *keep, join_token_lists("_b", "_a").alias("features"))
 
 
+def joint_token_bags(bytes_docs: DataFrame, asm_docs: DataFrame, key: str = "hash",
+                     vocabulary: Iterable[str] | None = None, lowercase: bool = False) -> DataFrame:
+    """``[key, features]``: the joint tokens of each document as a bag (the
+    order is lost), for models that only count.
+
+    Joint counts are the sums of both sides' counts, so every side is
+    counted next to its scan and only ``(key, token, count)`` rows are
+    shuffled: neither texts nor token lists."""
+    b = bytes_docs.select(key, joint_tokens(with_line_break("text"), vocabulary, lowercase).alias("_t"))
+    a = asm_docs.select(key, joint_tokens("text", vocabulary, lowercase).alias("_t"))
+    sides = [explode_tokens(x, "_t", "token", keep=(key,)) for x in (b, a)]
+    counts = sides[0].unionByName(sides[1]).groupBy(key, "token").agg(F.count(F.lit(1)).alias("n"))
+    bags = counts.groupBy(key).agg(F.flatten(F.collect_list(
+        F.array_repeat("token", F.col("n").cast("int")))).alias("features"))
+    keys = bytes_docs.select(key).join(asm_docs.select(key), key, "left_semi")
+    return keys.join(bags, key, "left").select(
+        key, F.coalesce("features", F.array().cast("array<string>")).alias("features"))
+
+
+def labelled_manifest(spark: SparkSession, manifest, labels=None) -> DataFrame:
+    """``[id, hash(, label)]``: the manifest's lines that name a document,
+    with their labels (inner join on ``id``: surplus lines on either side
+    drop out) -- before any document is opened."""
+    man = manifest if isinstance(manifest, DataFrame) else read_manifest(spark, manifest)
+    wanted = man.where(F.col("hash") != "").select("id", "hash")
+    if labels is None:
+        return wanted
+    return wanted.join(labels if isinstance(labels, DataFrame) else read_labels(spark, labels), "id")
+
+
 def load_corpus(spark: SparkSession, manifest, labels=None, base="./data", kind: str = "bytes",
                 vocabulary: Iterable[str] | None = None, lowercase: bool = False,
-                aliases: Mapping[str, str] | None = None,
-                max_listed_paths: int = MAX_LISTED_PATHS) -> DataFrame:
+                aliases: Mapping[str, str] | None = None, table: str | None = None,
+                ordered: bool = True) -> DataFrame:
     """Labelled (or unlabelled) token corpus.
 
     bytes / asm -> ``[id, url, features]``; joint -> ``[id, features]``;
-    plus ``label bigint`` when ``labels`` is given (inner join on ``id``:
-    surplus lines on either side drop out).  Caching is left to the caller.
+    plus ``label bigint`` when ``labels`` is given.  Labels join the
+    manifest first, so only labelled documents are read and tokenized.
+    ``table``: an ingested corpus (``ingest_documents``).  ``ordered=False``
+    gives joint tokens as bags (``joint_token_bags``).  Caching is left to
+    the caller.
     """
     if kind not in KINDS:
         raise ValueError(f"kind must be one of {KINDS}, got {kind!r}")
-    man = manifest if isinstance(manifest, DataFrame) else read_manifest(spark, manifest)
-    if kind == "joint":
-        base_url = normalize_base(base, aliases)
-        wanted = man.where(F.col("hash") != "").select("id", "hash")
-        hashes = wanted.select("hash").distinct()
-        b, listed = _texts(spark, hashes, base_url, "bytes", max_listed_paths)
-        a, _ = _texts(spark, hashes, base_url, "asm", max_listed_paths)
-        per_hash = joint_corpus(b, a, key="hash", vocabulary=vocabulary, lowercase=lowercase)
-        x = _expand(per_hash, wanted, listed).select("id", "features")
+    wanted = labelled_manifest(spark, manifest, labels)
+    label = [] if labels is None else ["label"]
+    if kind != "joint":
+        docs = read_documents(spark, wanted, base, kind, aliases, table)
+        return docs.select("id", "url", tokenize("text", kind, vocabulary, lowercase).alias("features"), *label)
+    base_url = normalize_base(base, aliases)
+    hashes = wanted.select("hash").distinct()
+    listed = [_texts(spark, hashes, base_url, side, table).join(hashes, "hash", "left_semi")
+              for side in ("bytes", "asm")]
+    if ordered:
+        per_hash = joint_corpus(*listed, key="hash", vocabulary=vocabulary, lowercase=lowercase)
     else:
-        docs = read_documents(spark, man, base, kind, aliases, max_listed_paths)
-        x = docs.select("id", "url", tokenize("text", kind, vocabulary, lowercase).alias("features"))
-    if labels is None:
-        return x
-    y = labels if isinstance(labels, DataFrame) else read_labels(spark, labels)
-    return x.join(y, "id")
-
+        per_hash = joint_token_bags(*listed, vocabulary=vocabulary, lowercase=lowercase)
+    return wanted.join(per_hash, "hash").select("id", "features", *label)

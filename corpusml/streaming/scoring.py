@@ -1,8 +1,9 @@
 """Incremental scoring of document files as they arrive.
 
-The reference has no streaming operator.  What carries over unchanged is
-prediction: tokenizers are column expressions and fitted models transform
-row by row, so the batch scoring plan runs as-is on a file-source stream.
+Tokenizers are column expressions and fitted models transform row by row,
+so the batch scoring plan runs as it is on a file-source stream.  Spark's
+file streams skip files of length 0: an empty document gives no row here
+(the batch job, which has a manifest to compare with, scores it).
 No state is kept (nothing to watermark); each micro-batch reads only new
 files and the query's checkpoint location makes it restartable after a
 failure.  The joint kind needs two files per document and therefore a

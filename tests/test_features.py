@@ -8,8 +8,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from corpusml.operators import (
-    FeaturePipeline, OrderedCountVectorizer, build_vocabulary, idf_weights, index_labels,
-    label_dictionary, label_indexer, term_counts, term_stats, tfidf, vocabulary_terms,
+    FeaturePipeline, OrderedCountVectorizer, build_vocabulary, filtered_stats, idf_weights, index_labels,
+    label_dictionary, label_indexer, term_counts, term_stats, tfidf, vector_counts, vocabulary_terms,
 )
 
 
@@ -96,28 +96,44 @@ def test_index_labels_equals_string_indexer_skip(spark):
     assert a == b == [(10, 3, 0.0), (13, 1, 1.0)]
 
 
+def test_vector_counts_equal_token_counts(spark, docs):
+    model = OrderedCountVectorizer(inputCol="features", outputCol="v", minDF=2).fit(docs)
+    long = vector_counts(model.transform(docs), model.vocabulary, "v")
+    assert dict(long.dtypes) == {"id": "bigint", "term": "string", "cnt": "bigint"}
+    assert sorted(map(tuple, long.collect())) == sorted(map(tuple, term_counts(docs, build_vocabulary(docs, min_df=2)).collect()))
+    assert "Exchange" not in long._jdf.queryExecution().executedPlan().toString()
+
+
 def test_global_rank_matches_sort(spark):
     import random
     from corpusml.operators.ranking import global_rank
     rng = random.Random(5)
     rows = [(f"t{i:05d}", rng.randrange(20)) for i in range(3000)]
     df = spark.createDataFrame(rows, "term string, tf long")
+    order = [F.col("tf").desc(), F.col("term").asc()]
     want = [t for t, _ in sorted(rows, key=lambda r: (-r[1], r[0]))]
     for parts in (1, 7):
-        got = global_rank(df, [F.col("tf").desc(), F.col("term").asc()], "ix", num_partitions=parts).collect()
+        with global_rank(df, order, "ix", num_partitions=parts) as ranked:
+            got = ranked.collect()
         assert [r.term for r in sorted(got, key=lambda r: r.ix)] == want
         assert sorted(r.ix for r in got) == list(range(3000))
-    top = global_rank(df, [F.col("tf").desc(), F.col("term").asc()], "ix", limit=100).collect()
+    with global_rank(df, order, "ix", limit=100) as ranked:
+        top = ranked.collect()
     assert sorted(r.term for r in top) == sorted(want[:100])
 
 
-def test_vocabulary_paths_agree(spark, monkeypatch):
-    """The single-task window (small candidate tables) and the distributed
-    ranking (large ones) give the same vocabulary."""
-    import corpusml.operators.vocabulary as V
-    from corpusml.plans import tables as tb
-    train = tb.split(tb.corpus(spark, "/root/testdata/sf0.001", "bytes"))[0]
-    small = [tuple(r) for r in V.build_vocabulary(train, vocab_size=50).orderBy("ix").collect()]
-    monkeypatch.setattr(V, "MAX_LOCAL_RANK", 0)
-    large = [tuple(r) for r in V.build_vocabulary(train, vocab_size=50).orderBy("ix").collect()]
-    assert small == large and len(small) == 50
+def test_vocabulary_leaves_nothing_behind(spark, docs):
+    import glob
+
+    from corpusml.session import checkpoint_dir
+    folder = checkpoint_dir(spark).removeprefix("file:")
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    vocab = build_vocabulary(docs)
+    assert [r.ix for r in vocab.orderBy("ix").collect()] == [0, 1, 2, 3]
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+    assert not glob.glob(f"{folder}/corpusml-rank-*")
+
+
+def test_filtered_stats_have_no_cap(docs):
+    assert sorted(r.term for r in filtered_stats(docs).collect()) == ["a", "b", "c", "d"]
+    assert sorted(r.term for r in filtered_stats(docs, min_df=2).collect()) == ["b", "c"]

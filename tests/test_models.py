@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 
 from conftest import SF001, make_dataset, write
 from corpusml.operators import (
-    accuracy, build_vocabulary, index_labels, label_dictionary, nb_parameters, predictions,
+    accuracy, build_vocabulary, index_labels, label_dictionary, label_indexer, nb_parameters, predictions,
 )
 from corpusml.plans import tables as tb
 from corpusml.plans.jobs import fit_naive_bayes, fit_random_forest, nb_job, rf_job
+from corpusml.sources import ingest_documents, labelled_manifest
 
 
 @pytest.fixture(scope="module")
@@ -21,14 +22,16 @@ def corpus(spark):
     c.unpersist()
 
 
-def test_nb_parameters_equal_ml_model(spark, corpus):
+@pytest.mark.parametrize("listed", [True, False])
+def test_nb_parameters_equal_ml_model(spark, corpus, listed):
     train, _ = tb.split(corpus)
     fitted = fit_naive_bayes(train)
     model = fitted.model
     vocab = fitted.features.model.stages[-1].vocabulary
     d = label_dictionary(train)
     labelled = index_labels(train, d)
-    classes, theta = nb_parameters(labelled, build_vocabulary(train), len(vocab))
+    vocabulary = build_vocabulary(train) if listed else None
+    classes, theta = nb_parameters(labelled, len(vocab), vocabulary)
     pi = {int(r.ix): r.pi for r in classes.collect()}
     unseen = {int(r.ix): r.unseen_theta for r in classes.collect()}
     for c, p in pi.items():
@@ -76,6 +79,20 @@ def test_forest_reproducible_across_layouts(spark):
     assert runs[0] == runs[1] == runs[2]
 
 
+def test_forest_layout_follows_the_rows(spark):
+    """The number of partitions is the data's, not the session's."""
+    train, test = tb.split(tb.corpus(spark, SF001, "asm"))
+    layouts = []
+    for partitions in ("3", "11"):
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        try:
+            fitted = fit_random_forest(train, num_trees=3, max_depth=3)
+            layouts.append((fitted.extra, sorted(map(tuple, fitted.score(test).select("id", "prediction").collect()))))
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert layouts[0] == layouts[1] and layouts[0][0] == {"layout_partitions": 1}
+
+
 @pytest.fixture()
 def files(scratch):
     """A tiny two-class corpus on disk."""
@@ -114,6 +131,18 @@ def test_rf_job_end_to_end(spark, files):
     assert 0.0 <= acc.first()[0] <= 1.0
     pred = rf_job(spark, f"{scratch}/train_x", f"{scratch}/train_y", f"{scratch}/test_x", base=root, min_df=2)
     assert pred.columns == ["id", "predictedClass"] and pred.count() == len(truth)
+    ingest_documents(spark, root, f"{scratch}/table")
+    again = rf_job(spark, f"{scratch}/train_x", f"{scratch}/train_y", f"{scratch}/test_x", base=root, min_df=2,
+                   table=f"{scratch}/table")
+    assert again.collect() == pred.collect()
+
+
+def test_label_fit_opens_no_document(spark, files):
+    """The label index comes from the labelled manifest alone."""
+    scratch, root, _ = files
+    thin = labelled_manifest(spark, f"{scratch}/train_x", f"{scratch}/train_y")
+    plan = label_indexer("label").fit(thin).transform(thin)._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan and ".bytes" not in plan
 
 
 def test_unseen_test_label_is_skipped(spark, files):

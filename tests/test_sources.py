@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import ASM0, BYTES0, make_dataset, write
 from corpusml.sources import (
-    document_url, explode_lines, load_corpus, normalize_base, read_documents, read_labels,
+    document_url, explode_lines, ingest_documents, load_corpus, normalize_base, read_documents, read_labels,
     read_lines, read_manifest,
 )
 
@@ -99,11 +99,52 @@ def test_read_documents(spark, dataset):
     assert [(r.id, r.hash) for r in rows] == [(0, "h1"), (1, "h2"), (2, "h1"), (4, "h3")]
     assert rows[0].text == BYTES0 and rows[3].text == ""  # h3 is a zero-length file
     assert rows[1].url == f"file:{os.path.realpath(root)}/bytes/h2.bytes"
-    # directory scan (huge manifests): same rows for non-empty documents
-    write(f"{scratch}/ne_x", "h1\nh2\nh1\n\n")
-    man2 = read_manifest(spark, f"{scratch}/ne_x")
-    rows2 = read_documents(spark, man2, root, "bytes", max_listed_paths=0).orderBy("id").collect()
-    assert [(r.id, r.hash, r.text) for r in rows2] == [(r.id, r.hash, r.text) for r in rows[:3]]
+    # an ingested corpus gives the same rows
+    ingest_documents(spark, root, f"{scratch}/table")
+    again = read_documents(spark, man, root, "bytes", table=f"{scratch}/table").orderBy("id").collect()
+    assert again == rows
+
+
+ODD_NAMES = ["a b", "p%41", "p%20q", "1+1", "s*", "q?", "[x]", "{h1,h2}", "é🙂", "semi;colon", "back\\slash"]
+
+
+def test_odd_names_are_plain_names(spark, scratch):
+    """Blanks, percent signs, glob characters: files and base folder."""
+    root = make_dataset(f"{scratch}/d{{a}} [b] 100%/data", {n: (f"00401000 AA {i:02X}", "") for i, n in enumerate(ODD_NAMES)})
+    write(f"{scratch}/x", "".join(n + "\n" for n in ODD_NAMES))
+    docs = read_documents(spark, read_manifest(spark, f"{scratch}/x"), root, "bytes")
+    assert [(r.hash, r.text) for r in docs.orderBy("id").collect()] == [
+        (n, f"00401000 AA {i:02X}") for i, n in enumerate(ODD_NAMES)]
+
+
+@pytest.mark.parametrize("name", ["h*", "{h1,h2}", "h?", "[h]1", "nope", "../bytes/nope", ".hidden"])
+def test_names_of_no_document_fail(spark, dataset, name):
+    """Also when no text is needed."""
+    scratch, root = dataset
+    write(f"{root}/bytes/.hidden.bytes", "00 AA")
+    write(f"{scratch}/odd_x", f"h1\n{name}\n")
+    with pytest.raises((FileNotFoundError, ValueError), match="document (not found|cannot be scanned)"):
+        load_corpus(spark, f"{scratch}/odd_x", None, root, "bytes").count()
+
+
+def test_labels_alone_read_no_document(spark, scratch):
+    """A document of 3 GiB does not fit into a row; its label does."""
+    root = make_dataset(f"{scratch}/data", {"h1": (BYTES0, ASM0), "big": ("x", "x")})
+    with open(f"{root}/bytes/big.bytes", "r+b") as f:
+        f.truncate(3 << 30)  # sparse: takes no disk
+    write(f"{scratch}/x", "h1\nbig\n")
+    write(f"{scratch}/y", "1\n2\n")
+    corpus = load_corpus(spark, f"{scratch}/x", f"{scratch}/y", root, "bytes")
+    assert sorted(map(tuple, corpus.groupBy("label").count().collect())) == [(1, 1), (2, 1)]
+
+
+def test_unlabelled_documents_are_not_read(spark, dataset):
+    scratch, root = dataset
+    write(f"{scratch}/one_y", "3\n")
+    plan = load_corpus(spark, f"{scratch}/train_x", f"{scratch}/one_y", root, "bytes")._jdf.queryExecution().optimizedPlan()
+    lines = plan.toString().splitlines()
+    tokens = next(i for i, x in enumerate(lines) if "regexp_extract_all" in x)
+    assert any("Join" in x for x in lines[tokens:])  # tokens are made above the joins with labels and manifest
 
 
 def test_load_corpus_kinds(spark, dataset):
@@ -125,12 +166,9 @@ def test_load_corpus_kinds(spark, dataset):
     assert got[0] == ["56 8D", "44 24", "08 50", "8B F1", "E8 1C", "1B 00",
                       ".text:", "56 8D", "44 24", "lea", ".text:", "mov", ".rsrc:", "push", "call"]
     assert got[2] == got[0] and got[4] == []
-    # directory-scan path gives the same corpus (non-empty documents)
-    write(f"{scratch}/ne_x", "h1\nh2\nh1\n")
-    j1 = load_corpus(spark, f"{scratch}/ne_x", f"{scratch}/train_y", root, "joint", vocabulary=vocab)
-    j2 = load_corpus(spark, f"{scratch}/ne_x", f"{scratch}/train_y", root, "joint", vocabulary=vocab,
-                     max_listed_paths=0)
-    assert sorted(map(tuple, j2.collect())) == sorted(map(tuple, j1.collect()))
+    # as bags: the same tokens in any order, and no token list below a join or shuffle
+    bags = load_corpus(spark, f"{scratch}/train_x", f"{scratch}/train_y", root, "joint", vocabulary=vocab, ordered=False)
+    assert {r.id: sorted(r.features) for r in bags.collect()} == {i: sorted(f) for i, f in got.items()}
 
 
 def test_lowercase_reproduces_default_tokenizer(spark, dataset):
@@ -166,10 +204,9 @@ def test_empty_manifest(spark, dataset):
 def test_missing_document_fails(spark, dataset):
     scratch, root = dataset
     write(f"{scratch}/bad_x", "h1\nnope\n")
-    with pytest.raises(Exception):
-        load_corpus(spark, f"{scratch}/bad_x", None, root, "bytes").collect()
-    with pytest.raises(Exception, match="document not found"):
-        load_corpus(spark, f"{scratch}/bad_x", None, root, "bytes", max_listed_paths=0).collect()
+    for kind in ("bytes", "asm", "joint"):
+        with pytest.raises(FileNotFoundError, match="document not found"):
+            load_corpus(spark, f"{scratch}/bad_x", None, root, kind)
 
 
 def test_hot_hash_in_manifest(spark, dataset):
@@ -178,9 +215,8 @@ def test_hot_hash_in_manifest(spark, dataset):
     hashes = ["h1"] * 900 + ["h2"] * 50 + ["h1"] * 50
     write(f"{scratch}/hot_x", "".join(h + "\n" for h in hashes))
     man = read_manifest(spark, f"{scratch}/hot_x")
-    for limit in (100, 0):
-        rows = read_documents(spark, man, root, "bytes", max_listed_paths=limit).select("id", "hash").collect()
-        assert sorted((r.id, r.hash) for r in rows) == list(enumerate(hashes))
+    rows = read_documents(spark, man, root, "bytes").select("id", "hash").collect()
+    assert sorted((r.id, r.hash) for r in rows) == list(enumerate(hashes))
 
 
 def test_read_lines_several_files(spark, scratch):

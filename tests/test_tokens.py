@@ -147,7 +147,7 @@ def test_byte_capture_form_equals_lookbehind(spark):
 def test_tokens_only_listed_words(spark):
     """Property: every asm/joint token is a segment title, a byte pair or a listed word."""
     from corpusml.plans import tables as tb
-    vocab = set(DEFAULT_OPCODES)
+    vocab = set(tb.LISTING_WORDS)
     for kind in ("asm", "joint"):
         c = tb.corpus(spark, "/root/testdata/sf0.001", kind)
         toks = {r.t for r in c.select(F.explode("features").alias("t")).distinct().collect()}
