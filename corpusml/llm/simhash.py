@@ -144,12 +144,10 @@ def keep_one(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col
     """The rows of ``docs`` without near duplicates: of each component of
     ``found`` (from ``near_duplicates`` on the same rows) the row with the
     smallest id stays, ties by text hash, one of equal rows."""
-    kept = materialize(found.groupBy("root").agg(F.min(F.struct(
-        F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), "text_key")).alias("k"))
-        .select(F.col("k.id").alias("_id"), F.col("k.text_key").alias("_key")), "kept")
-    columns = docs.columns
-    keyed = docs.withColumn("_text_key", F.xxhash64(text_or_empty(text_col)))
-    first = F.row_number().over(Window.partitionBy(id_col, "_text_key").orderBy(F.lit(0)))
-    joined = keyed.join(kept, keyed[id_col].eqNullSafe(kept["_id"]) & (keyed["_text_key"] == kept["_key"]),
-                        "left_semi")
-    return joined.withColumn("_nth", first).where("_nth = 1").select(columns)
+    place = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), "text_key")
+    kept = materialize(found.groupBy("root").agg(F.min(place).alias("k")).select(
+        F.xxhash64("k.id", "k.text_key").alias("_place")), "kept")
+    keyed = docs.withColumn("_place", F.xxhash64(id_col, F.xxhash64(text_or_empty(text_col))))
+    # The window needs the join's own partitioning: texts are shuffled once.
+    nth = F.row_number().over(Window.partitionBy("_place").orderBy(F.lit(0)))
+    return keyed.join(kept, "_place", "left_semi").withColumn("_nth", nth).where("_nth = 1").select(docs.columns)
