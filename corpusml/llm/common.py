@@ -19,7 +19,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/corpusml-llm/{uuid.uuid4().hex}/{name}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    written.written_to = path
+    return written
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of ``materialize`` of which everything made from them
+    has been materialized too, so that nothing will ever read them again."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.written_to)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

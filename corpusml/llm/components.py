@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusml.llm.common import materialize
+from corpusml.llm.common import discard, materialize
 
 
 def _symmetric(links: DataFrame) -> DataFrame:
@@ -14,16 +14,19 @@ def _symmetric(links: DataFrame) -> DataFrame:
 
 def _star(links: DataFrame, name: str) -> DataFrame:
     """Large-star then small-star: every node's larger neighbours, then its
-    smaller ones, are linked to the least node that it sees."""
+    smaller ones, are linked to the least node that it sees.  ``links`` is
+    discarded."""
     around = _symmetric(links)
-    least = around.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-    large = (around.join(materialize(least, f"{name}_large"), "u").where("v > u")
-             .select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct())
-    large = materialize(large, f"{name}_links")
+    lowest = materialize(around.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")),
+                         f"{name}_lowest")
+    large = materialize(around.join(lowest, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+                        .where("u <> v").distinct(), f"{name}_large")
     # Every link now points from the larger to the smaller node.
-    least = materialize(large.groupBy("u").agg(F.min("v").alias("m")), f"{name}_small")
+    least = materialize(large.groupBy("u").agg(F.min("v").alias("m")), f"{name}_least")
     small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return small.where("u <> v").unionByName(least.select("u", F.col("m").alias("v"))).distinct()
+    stars = materialize(small.where("u <> v").unionByName(least.select("u", F.col("m").alias("v"))).distinct(), name)
+    discard(links, lowest, large, least)
+    return stars
 
 
 def component_roots(links: DataFrame) -> DataFrame:
@@ -37,7 +40,7 @@ def component_roots(links: DataFrame) -> DataFrame:
     current, step = materialize(links.select("u", "v").distinct(), "links"), 0
     before = state(current)
     while before[0]:
-        current = materialize(_star(current, f"star_{step}"), f"links_{step}")
+        current = _star(current, f"star_{step}")
         after, step = state(current), step + 1
         if after == before:
             break

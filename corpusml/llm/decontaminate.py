@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusml.llm.common import materialize, text_or_empty
+from corpusml.llm.common import discard, materialize, text_or_empty
 
 WINDOW = 10
 SHINGLE = 4
@@ -119,11 +119,14 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     expected = candidates.select("row", "window", "length", start.alias("start"), F.size("tokens").alias("needed"),
                                  F.explode("tokens").alias("t")).select(
         "row", "window", "length", "start", "needed", (F.col("start") + F.col("t.pos")).alias("pos"), "t.shingle")
-    verified = (materialize(expected, "candidates").join(places.drop("n_words"), ["row", "pos", "shingle"])
+    expected = materialize(expected, "candidates")
+    verified = (expected.join(places.drop("n_words"), ["row", "pos", "shingle"])
                 .groupBy("row", "window", "start", "length", "needed").agg(F.count(F.lit(1)).alias("n"))
                 .where("n = needed"))
-    hits = verified.select("row", "window", "start", "length").join(windows.select("item", "window"), "window")
-    return found.where("pos < 0").select("row", "id", "text_key", "n_words"), materialize(hits, "hits")
+    hits = materialize(verified.select("row", "window", "start", "length").join(
+        windows.select("item", "window"), "window"), "hits")
+    discard(windows, tokens, wanted, prefix, expected)
+    return found.where("pos < 0").select("row", "id", "text_key", "n_words"), hits
 
 
 def report(documents: DataFrame, hits: DataFrame) -> DataFrame:

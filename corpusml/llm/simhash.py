@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusml.llm.common import materialize, text_or_empty
+from corpusml.llm.common import discard, materialize, text_or_empty
 from corpusml.llm.components import component_roots
 
 SHINGLE_WORDS = 4
@@ -121,7 +121,9 @@ def near_links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
             found.append([{"u": signed[x], "v": signed[y]} for x, y in spanning_links(own, max_bits, shared)])
         return pd.Series(found)
 
-    return groups.select(F.explode(link("fps")).alias("l")).select("l.u", "l.v").distinct()
+    found = materialize(groups.select(F.explode(link("fps")).alias("l")).select("l.u", "l.v").distinct(), "near")
+    discard(lists)
+    return found
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -131,12 +133,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ``root`` the component's smallest fingerprint (as signed long)."""
     marked = materialize(fingerprints(docs, id_col, text_col, shingle_words), "fingerprints")
     classes = materialize(marked.groupBy("fp").agg(F.min(id_col).alias("least")), "classes")
-    roots = materialize(component_roots(near_links(classes.select("fp"), max_bits)), "roots")
+    near = near_links(classes.select("fp"), max_bits)
+    roots = materialize(component_roots(near), "roots")
     rooted = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     rooted = materialize(rooted, "rooted")
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = materialize(rooted.join(ids, "root").select("fp", "root", "component_id"), "named")
+    discard(classes, near, roots, rooted)
     return marked.join(named, "fp").select(id_col, "text_key", "fp", "root", "component_id")
 
 

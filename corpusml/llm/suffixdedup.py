@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusml.llm.common import materialize, text_or_empty
+from corpusml.llm.common import discard, materialize, text_or_empty
 
 LENGTH = 400
 REACH = 256
@@ -298,7 +298,9 @@ def repeated_starts(windows: DataFrame, length: int) -> DataFrame:
     sorted_out = materialize(dealt.groupBy("shard").applyInPandas(_sort_shard(length, shards), SHARD_OUT), "shards")
     merged = (sorted_out.where("run IS NOT NULL").groupBy("bucket")
               .applyInPandas(_merge_runs, "k long, d long, a int, b int"))
-    return sorted_out.where("run IS NULL").select("k", "d", "a", "b").unionByName(merged)
+    starts = materialize(sorted_out.where("run IS NULL").select("k", "d", "a", "b").unionByName(merged), "starts")
+    discard(sorted_out)
+    return starts
 
 
 def _without(length: int):
@@ -327,27 +329,29 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     scanned = materialize(scan(docs, id_col, text_col, length), "scan")
     occurrences = scanned.select("id", "key", F.explode("windows").alias("w")).select("id", "key", "w.*")
     twice = occurrences.groupBy("k").agg(F.count(F.lit(1)).alias("n_k")).where("n_k > 1").drop("n_k")
-    occurrences = materialize(occurrences.join(materialize(twice, "keys"), "k")
-                              .withColumn("place", F.xxhash64("id", "key", "lo")), "occurrences")
+    twice = materialize(twice, "keys")
+    occurrences = materialize(occurrences.join(twice, "k").withColumn("place", F.xxhash64("id", "key", "lo")), "occurrences")
     # One row per distinct window, with its count and one of its places.
     distinct = materialize(occurrences.groupBy("k", "d").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("at")),
                            "distinct")
     by_key = materialize(distinct.groupBy("k").agg(F.count(F.lit(1)).alias("n_windows")), "by_key")
-    distinct = materialize(distinct.join(by_key, "k"), "counted")
-    occurrences = occurrences.join(distinct, ["k", "d"]).withColumn(
+    counted = materialize(distinct.join(by_key, "k"), "counted")
+    marked = occurrences.join(counted, ["k", "d"]).withColumn(
         "sorted", (F.col("place") == F.col("at")) & (F.col("n_windows") > 1)).drop("place", "at")
-    by_row = materialize(occurrences.dropDuplicates(["id", "key", "lo"]).groupBy("id", "key").agg(
+    by_row = materialize(marked.dropDuplicates(["id", "key", "lo"]).groupBy("id", "key").agg(
         F.collect_list(F.struct("k", "d", "lo", "size", "n", "n_windows", "sorted")).alias("windows")), "by_row")
-    by_row = by_row.withColumnsRenamed({"id": "_id", "key": "_key"})
+    discard(twice, occurrences, distinct, by_key, counted)
     texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_or_empty(text_col)).alias("key"),
                         text_or_empty(text_col).alias("text"))
     same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key"))
-    candidates = materialize(texts.join(by_row, same).select("id", "key", "text", "windows"), "candidates")
+    renamed = by_row.withColumnsRenamed({"id": "_id", "key": "_key"})
+    candidates = materialize(texts.join(renamed, same).select("id", "key", "text", "windows"), "candidates")
     to_sort = candidates.select(F.encode("text", "UTF-8").alias("b"), F.explode(F.filter(
         "windows", lambda w: w["sorted"])).alias("w")).select(
         "w.k", "w.d", "w.n", "w.n_windows",
         F.substring("b", F.col("w.lo").cast("int") + 1, F.col("w.size") + (length - 1)).alias("bytes"))
-    starts = materialize(repeated_starts(materialize(to_sort, "windows"), length), "starts")
+    to_sort = materialize(to_sort, "windows")
+    starts = repeated_starts(to_sort, length)
     # Starts of each row: whole windows that occur twice, and those found in other windows.
     placed = candidates.select("id", "key", F.explode("windows").alias("w")).select(
         "id", "key", "w.k", "w.d", "w.lo", "w.size", "w.n")
@@ -360,6 +364,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     changed = candidates.join(found, same).select("_id", "_key", cut("text", "found").alias("c")).select(
         "_id", "_key", "c.*").dropDuplicates(["_id", "_key"])
     changed = materialize(changed, "changed")
+    discard(by_row, candidates, to_sort, starts)
     return scanned.drop("windows").join(changed, same, "left").select(
         F.col("id").alias(id_col), "n_bytes",
         F.coalesce("spans", F.array().cast("array<struct<start:long,end:long>>")).alias("spans"), "kept",
