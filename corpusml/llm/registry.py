@@ -1,12 +1,13 @@
 """Registered queries of the training-data operators: each applies its
-operator to its whole table with production parameters."""
+operator to its whole table with production parameters and derives the
+columns of its contract."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusml.llm import (
@@ -16,7 +17,16 @@ from corpusml.llm.common import importable_on_workers, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_topk_search": topk.ORACLE,
+    "op7_chat_formatting": chat.ORACLE,
+    "op8_line_dedup": linededup.ORACLE,
+    "op10_benchmark_decontamination": decontaminate.ORACLE,
+}
+
+#: Rows with this remainder of crc32(doc_id as text) modulo 3 are held out.
+HELD_OUT = 1
+TOXIC_FROM = 0.7
 
 
 def query(fn: Query) -> Query:
@@ -37,44 +47,25 @@ def op1_best_fit_packing(spark, sf_dir):
 
 
 @query
-def op9_simhash_near_dedup(spark, sf_dir):
-    """Fingerprint and near-duplicate class of every document."""
-    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-@query
-def op8_line_dedup(spark, sf_dir):
-    """Lines of every document that repeat an earlier three-line window."""
-    cut = linededup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return cut.select("doc_id", "n_lines", "n_removed", "n_spans", F.sha2("text", 256).alias("kept_sha256"))
-
-
-ORACLES["op8_line_dedup"] = linededup.ORACLE
+def op2_topk_search(spark, sf_dir):
+    """The five best rows for every vector whose id is divisible by 50."""
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
 @query
-def op10_benchmark_decontamination(spark, sf_dir):
-    """Benchmark windows found in every document."""
-    found = decontaminate.report(*decontaminate.contamination(
-        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
-    return found.select(F.col("id").alias("doc_id"), "n_words", "n_hit", "n_items",
-                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
-
-
-ORACLES["op10_benchmark_decontamination"] = decontaminate.ORACLE
-
-
-#: Rows with this remainder of crc32(doc_id as text) modulo 3 are held out.
-HELD_OUT = 1
-TOXIC_FROM = 0.7
+def op3_suffix_array_dedup(spark, sf_dir):
+    """Bytes of every document in 400-byte strings that also start elsewhere."""
+    found = suffixdedup.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"),
+                        F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
 
 
-def held_out(col: str = "doc_id"):
+def held_out(col: str = "doc_id") -> Column:
     return F.crc32(F.col(col).cast("string").cast("binary")) % 3 == HELD_OUT
 
 
-def toxicity_model(spark, docs, sf_dir):
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Model:
     """The classifier, trained on labels of rows that are not held out."""
     labels = table(spark, sf_dir, "labels").where(~held_out())
     return toxicity.fit(docs.select("doc_id", "text"), labels)
@@ -89,15 +80,6 @@ def op4_toxicity(spark, sf_dir):
     return scored.withColumn("predicted", (F.col("score") >= TOXIC_FROM).cast("int"))
 
 
-@query
-def op2_topk_search(spark, sf_dir):
-    """The five best rows for every vector whose id is divisible by 50."""
-    return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
-
-
-ORACLES["op2_topk_search"] = topk.ORACLE
-
-
 @query
 def op5_secret_scan(spark, sf_dir):
     """Secrets in every document."""
@@ -117,13 +99,24 @@ def op7_chat_formatting(spark, sf_dir):
     return chat.rotate(table(spark, sf_dir, "conversations"))
 
 
-ORACLES["op7_chat_formatting"] = chat.ORACLE
+@query
+def op8_line_dedup(spark, sf_dir):
+    """Lines of every document that repeat an earlier three-line window."""
+    cut = linededup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_lines", "n_removed", "n_spans", F.sha2("text", 256).alias("kept_sha256"))
 
 
 @query
-def op3_suffix_array_dedup(spark, sf_dir):
-    """Bytes of every document in 400-byte strings that also start elsewhere."""
-    found = suffixdedup.remove_repeats(table(spark, sf_dir, "documents"))
-    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
-    return found.select("doc_id", "n_bytes", removed.alias("n_removed"),
-                        F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+def op9_simhash_near_dedup(spark, sf_dir):
+    """Fingerprint and near-duplicate class of every document."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op10_benchmark_decontamination(spark, sf_dir):
+    """Benchmark windows found in every document."""
+    found = decontaminate.report(*decontaminate.contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_hit", "n_items",
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
