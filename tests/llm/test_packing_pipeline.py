@@ -75,6 +75,17 @@ def test_packing_cases(spark, tokenizer):
     assert all(len(r["ids"]) == r["length"] for r in with_ids)
 
 
+def test_ids_are_the_tokenizers_ids_on_odd_texts(tokenizer):
+    rng = np.random.default_rng(5)
+    code_points = np.concatenate([np.arange(9, 14), np.arange(28, 127), np.arange(160, 0x3000, 7),
+                                  np.arange(0x1F300, 0x1F640), [0x3000, 0x200B, 0xFFFD, 0x10FFFF]])
+    texts = ["".join(map(chr, rng.choice(code_points, 4000))) for _ in range(20)]
+    texts += [" " * 50000, "\n" * 30000, "x" * 50000, "\u6f22\u5b57" * 20000, "1234567890" * 3000, "don't I'LL we've  \t\n x",
+              "<|endoftext|>", "\x00\x01", "".join(rng.choice(list("abcdefgh"), 50000))]
+    bpe = packing.byte_bpe(packing.vocabulary_path())
+    assert all([*bpe.encode_ordinary(t), packing.SEPARATOR_ID] == tokenizer(t) for t in texts)
+
+
 @given(st.lists(st.integers(1, 40), max_size=120))
 @settings(max_examples=150, deadline=None)
 def test_plan_uses_the_histogram_once_and_fits(lengths):
