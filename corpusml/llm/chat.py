@@ -11,7 +11,7 @@ places are prefix sums over blocks of turns and then within a block.
 Only built-in DataFrame functions are used.
 
 Defined cases: repeated rows are one turn; turns with the same number
-follow each other by role, then text; a null turn comes first; null role
+follow each other by role, then the text's MD5; a null turn comes first; null role
 and text are empty; roles in ``INSTRUCTIONS`` are no participants (their
 turns are rendered as they are, in every perspective), so a conversation of
 instructions alone gives no rows; a null conversation id is a conversation;
@@ -38,25 +38,33 @@ def rotate(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
     """``[conv_col, perspective, position, turn_col, speaker, segment, start,
     mask_start, mask_end]``: ``start`` is the segment's first character in
     the rendered dialogue; the mask is empty (nulls) unless the perspective
-    speaks, and then covers the text and its end mark."""
-    role = F.coalesce(F.col(role_col), F.lit(""))
-    rows = turns.select(F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn"), role.alias("role"),
-                        F.coalesce(F.col(text_col), F.lit("")).alias("body")).distinct()
-    rows = rows.withColumn("block", F.coalesce(F.floor(F.col("turn") / BLOCK_TURNS), F.lit(-(1 << 62))))
-    rows = rows.withColumn("speaks", ~F.col("role").isin(*instructions))
+    speaks, and then covers the text and its end mark.
+
+    Places are worked out on rows without text; the texts are shuffled once
+    and meet their places there."""
+    conv, turn = F.col(conv_col), F.col(turn_col)
+    rows = turns.select(conv.alias("conv"), turn.alias("turn"), F.coalesce(F.col(role_col), F.lit("")).alias("role"),
+                        F.coalesce(F.col(text_col), F.lit("")).alias("body"))
+    # A turn is known by (k, h): conversation, number and role, and the text.
+    rows = rows.withColumn("h", F.md5("body")).withColumn(
+        "k", F.xxhash64("conv", F.col("conv").isNull(), "turn", F.col("turn").isNull(), "role"))
+    texts = rows.groupBy("k", "h").agg(F.first(_plain(F.col("body"))).alias("content"))
+
+    speaks = ~F.col("role").isin(*instructions)
     name = F.translate(_plain(F.col("role")), "\n\r", "  ")
-    as_other = F.concat(F.lit(OPEN), F.when(F.col("speaks"), F.concat(F.lit("user name="), name)).otherwise(name),
-                        F.lit("\n"))
-    rows = rows.select("*", as_other.alias("head"), _plain(F.col("body")).alias("content"))
+    as_other = F.concat(F.lit(OPEN), F.when(speaks, F.concat(F.lit("user name="), name)).otherwise(name), F.lit("\n"))
     own_head, tail = OPEN + "assistant\n", len(CLOSE)
+    thin = rows.select("k", "h", "conv", "turn", "role", F.length(_plain(F.col("body"))).alias("n_chars")).distinct()
+    block = F.coalesce(F.floor(F.col("turn") / BLOCK_TURNS), F.lit(-(1 << 62)))
+    thin = thin.withColumns({"block": block, "speaks": speaks, "head": as_other})
     # A turn's length for others, and how much that changes in its speaker's own perspective.
-    rows = rows.withColumn("size", F.length("head") + F.length("content") + tail).withColumn(
+    thin = thin.withColumn("size", F.length("head") + F.col("n_chars") + tail).withColumn(
         "change", F.lit(len(own_head)) - F.length("head"))
 
-    speakers = rows.where("speaks").groupBy("conv", F.col("role").alias("perspective")).agg(
+    speakers = thin.where("speaks").groupBy("conv", F.col("role").alias("perspective")).agg(
         F.count(F.lit(1)).alias("_n")).drop("_n")
-    blocks = rows.groupBy("conv", "block").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n"))
-    own = rows.where("speaks").groupBy("conv", "block", F.col("role").alias("perspective")).agg(
+    blocks = thin.groupBy("conv", "block").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n"))
+    own = thin.where("speaks").groupBy("conv", "block", F.col("role").alias("perspective")).agg(
         F.sum("change").alias("change"))
     # Blocks of a conversation in every perspective, with all that comes before them.
     by_block = (blocks.join(speakers, blocks["conv"].eqNullSafe(speakers["conv"])).drop(speakers["conv"]))
@@ -70,19 +78,18 @@ def rotate(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
         F.col("conv").alias("_conv"), F.col("block").alias("_block"), "perspective",
         F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("n_before"),
         F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("size_before"))
-    seen = rows.join(by_block, rows["conv"].eqNullSafe(by_block["_conv"]) & (rows["block"] == by_block["_block"]))
-    is_own = F.col("speaks") & (F.col("role") == F.col("perspective"))
-    seen = seen.withColumn("own", is_own).withColumn(
+    seen = thin.join(by_block, thin["conv"].eqNullSafe(by_block["_conv"]) & (thin["block"] == by_block["_block"]))
+    seen = seen.withColumn("own", F.col("speaks") & (F.col("role") == F.col("perspective"))).withColumn(
         "own_size", F.col("size") + F.when(F.col("own"), F.col("change")).otherwise(0))
-    order = Window.partitionBy("conv", "perspective", "block").orderBy("turn", "role", "body")
+    order = Window.partitionBy("conv", "perspective", "block").orderBy("turn", "role", "h")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
-    head = F.when(F.col("own"), F.lit(own_head)).otherwise(F.col("head"))
     placed = seen.select(
-        "conv", "perspective", "turn", "role", "own", head.alias("head"), "content",
+        "k", "h", "conv", "perspective", "turn", "role", "own",
+        F.when(F.col("own"), F.lit(own_head)).otherwise(F.col("head")).alias("head"),
         (F.col("n_before") + F.row_number().over(order) - 1).alias("position"),
         (F.col("size_before") + F.coalesce(F.sum("own_size").over(before), F.lit(0))).alias("start"))
     mask_start = F.when(F.col("own"), F.col("start") + F.length("head"))
-    return placed.select(
+    return placed.join(texts, ["k", "h"]).select(
         F.col("conv").alias(conv_col), "perspective", "position", F.col("turn").alias(turn_col),
         F.col("role").alias("speaker"), F.concat("head", "content", F.lit(CLOSE)).alias("segment"), "start",
         mask_start.alias("mask_start"),
@@ -104,7 +111,7 @@ s AS (
   SELECT *, row_number() OVER w - 1 AS position,
          coalesce(sum(length(head) + length(content) + 11) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
            AS start
-  FROM r WINDOW w AS (PARTITION BY conv_id, perspective ORDER BY turn NULLS FIRST, speaker, body))
+  FROM r WINDOW w AS (PARTITION BY conv_id, perspective ORDER BY turn NULLS FIRST, speaker, md5(body)))
 SELECT conv_id, perspective, position, turn, speaker, head || content || '<|im_end|>' || chr(10) AS segment,
        start::BIGINT AS start, CASE WHEN own THEN (start + length(head))::BIGINT END AS mask_start,
        CASE WHEN own THEN (start + length(head) + length(content) + 10)::BIGINT END AS mask_end
