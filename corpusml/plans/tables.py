@@ -22,6 +22,8 @@ from corpusml.functions.views import asm_listing, hex_dump
 from corpusml.sources.corpus import tokenize
 
 TEST_FOLDS = 5
+#: Slices of a table that is one scan task.
+MAX_SLICES = 16
 # The word vocabulary of the listing view (frequent short words
 # of the four languages in ``documents``).
 LISTING_WORDS = (
@@ -35,12 +37,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def split_scan(df: DataFrame, key: str) -> DataFrame:
-    """``df`` read in as many slices as there are cores if its scan has
-    fewer partitions (a table stored as one row group is one task).  Slices
-    are filters on the scan, so nothing is shuffled and no layout is
-    promised to later operators; a table of many partitions is left alone."""
-    n = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= n:
+    """``df`` read in several slices if it is one scan task's worth of data
+    at most and gives fewer partitions than there are cores (a table stored
+    as one row group is one task).  Slices are filters on the scan, so
+    nothing is shuffled and no layout is promised to later operators; each
+    reads the file, which ``MAX_SLICES`` and the size bound.  Any larger
+    table has a scan of many tasks and is left alone."""
+    spark = df.sparkSession
+    n = min(spark.sparkContext.defaultParallelism, MAX_SLICES)
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    task = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    if size > task or df.rdd.getNumPartitions() >= n:
         return df
     share = F.pmod(F.coalesce(F.col(key), F.lit(0)), F.lit(n))
     return reduce(DataFrame.unionAll, [df.where(share == k) for k in range(n)])
