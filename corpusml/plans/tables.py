@@ -22,8 +22,8 @@ from corpusml.functions.views import asm_listing, hex_dump
 from corpusml.sources.corpus import tokenize
 
 TEST_FOLDS = 5
-#: Slices of a table that is one scan task.
-MAX_SLICES = 16
+#: A table of up to one scan task's bytes (Spark's default) is read in so many slices at most.
+ONE_TASK_BYTES, MAX_SLICES = 128 << 20, 16
 # The word vocabulary of the listing view (frequent short words
 # of the four languages in ``documents``).
 LISTING_WORDS = (
@@ -45,10 +45,8 @@ def split_scan(df: DataFrame, key: str) -> DataFrame:
     table has a scan of many tasks and is left alone."""
     spark = df.sparkSession
     n = min(spark.sparkContext.defaultParallelism, MAX_SLICES)
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    task = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
-        spark.conf.get("spark.sql.files.maxPartitionBytes"))
-    if size > task or df.rdd.getNumPartitions() >= n:
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if size > ONE_TASK_BYTES or df.rdd.getNumPartitions() >= n:
         return df
     share = F.pmod(F.coalesce(F.col(key), F.lit(0)), F.lit(n))
     return reduce(DataFrame.unionAll, [df.where(share == k) for k in range(n)])
