@@ -38,6 +38,8 @@ SHINGLE_WORDS = 4
 MAX_BITS = 4
 SEED = 42
 BLOCK = 1024
+#: Postings that one task makes.
+TASK_POSTINGS = 500_000
 #: Bit i of a byte as byte lane i of a 64-bit word, to add up bits of 255 hashes at a time.
 LANES = np.array([sum(((b >> i) & 1) << (8 * i) for i in range(8)) for b in range(256)], dtype=np.uint64)
 
@@ -100,7 +102,9 @@ def near_links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     shared = 8 - max_bits
     masks = [sum(0xFF << (8 * p) for p in positions) for positions in combinations(range(8), shared)]
     masks = [m - (1 << 64) if m >> 63 else m for m in masks]
-    postings = distinct.select("fp", F.posexplode(F.array(*[
+    # The few bytes of a fingerprint become many postings: spread them first.
+    parts = max(1, -(-distinct.count() * len(masks) // TASK_POSTINGS))
+    postings = distinct.repartition(parts, "fp").select("fp", F.posexplode(F.array(*[
         F.col("fp").bitwiseAND(F.lit(m)) for m in masks])).alias("choice", "bytes"))
     lists = materialize(postings.groupBy("choice", "bytes").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
                         .withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).drop("n"), "lists")

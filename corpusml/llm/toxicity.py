@@ -46,7 +46,7 @@ SUPPORT = 5
 #: Standard errors by which log-odds are drawn towards 0.
 DOUBT = 1.64
 EPOCHS, BATCH, RATE = 6, 128, 0.01
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 18
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
