@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusml.llm import decontaminate, linededup, packing, simhash, toxicity
-from corpusml.llm.common import importable_on_workers, materialize, table, text_or_empty
+from corpusml.llm.common import prepare, materialize, table, text_or_empty
 from corpusml.llm.registry import TOXIC_FROM, toxicity_model
 
 #: A trained classifier and a tokenizer have no SQL form; the tests hold the
@@ -23,7 +23,7 @@ ORACLE_SQL = None
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below the toxicity threshold stay."""
-    importable_on_workers(spark)
+    prepare(spark)
     model = toxicity_model(spark, docs, sf_dir)
     scored = docs.withColumn("_toxicity", toxicity.score_column(spark, model))
     return scored.where(F.col("_toxicity") < TOXIC_FROM).select(docs.columns)
@@ -32,7 +32,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def cut_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later occurrences of three-line windows are cut; a document that
     loses all its lines goes.  ``n_chars`` follows the text."""
-    importable_on_workers(spark)
+    prepare(spark)
     cut = linededup.dedup_lines(docs)
     changed = F.col("n_removed") > 0
     kept = cut.where(F.col("n_removed") < F.col("n_lines"))
@@ -42,7 +42,7 @@ def cut_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash class stays."""
-    importable_on_workers(spark)
+    prepare(spark)
     return simhash.keep_one(docs, simhash.near_duplicates(docs))
 
 
@@ -53,7 +53,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Best-fit packing of everything kept into sequences of 2048 tokens."""
-    importable_on_workers(spark)
+    prepare(spark)
     return packing.pack_documents(docs)
 
 

@@ -40,11 +40,21 @@ def text_or_empty(col: str) -> Column:
     return F.coalesce(F.col(col), F.lit(""))
 
 
-def importable_on_workers(spark: SparkSession) -> None:
-    """Python workers get this checkout on their path (a cluster installs
-    the package or ships it with ``--py-files``; then this adds nothing)."""
+#: Rows of an Arrow batch; texts are long rows, and two copies of a batch are in memory at a time.
+BATCH_ROWS = 1000
+
+
+def prepare(spark: SparkSession) -> None:
+    """Session settings that the Python parts of these operators rely on.
+
+    Python workers get this checkout on their path (a cluster installs the
+    package or ships it with ``--py-files``; then this adds nothing), and
+    rows go to them in batches of at most ``BATCH_ROWS``."""
     root = str(Path(__file__).resolve().parents[2])
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in paths:
         env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(batch)) <= BATCH_ROWS:
+        spark.conf.set(batch, str(BATCH_ROWS))

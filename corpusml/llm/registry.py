@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from corpusml.llm import (
     chat, decontaminate, linededup, packing, secrets, simhash, suffixdedup, tokencount, topk, toxicity,
 )
-from corpusml.llm.common import importable_on_workers, table
+from corpusml.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -32,7 +32,7 @@ TOXIC_FROM = 0.7
 def query(fn: Query) -> Query:
     @wraps(fn)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        importable_on_workers(spark)
+        prepare(spark)
         return fn(spark, sf_dir)
 
     QUERIES[fn.__name__] = run
