@@ -17,9 +17,11 @@ dealt to shards of about ``SHARD_BYTES`` by ``k``; the windows of a ``k``
 with more than ``SHARD_WINDOWS`` are spread over several shards.  A shard is
 one suffix array: Larsson-Sadakane refinement (groups of equal prefixes are
 split by the group of the suffix ``h`` bytes on, ``h`` doubling, sorted
-suffixes are left alone) until ``LENGTH`` bytes are compared, then Kasai's
-common prefixes, one lane for each window.  Neighbours with ``LENGTH`` bytes
-in common are one class; it repeats if its windows count two or more.
+suffixes are left alone) until the longest window is compared, then Kasai's
+common prefixes, one lane for each window (what a lane keeps from suffix to
+suffix holds only if the order is that of whole suffixes, equal ones by
+place).  Neighbours with ``LENGTH`` bytes in common are one class; it repeats
+if its windows count two or more.
 
 *Merging.*  Of a ``k`` spread over shards, every shard gives its classes as
 sorted runs of fingerprints, cut into buckets; the runs of a bucket are
@@ -175,7 +177,8 @@ def common_prefixes(text: np.ndarray, end: np.ndarray, first: np.ndarray, sa: np
     """Kasai: bytes (at most ``most``) that each suffix of ``sa`` shares
     with the one before it.  Strings (starting at ``first``) are lanes that
     step through their suffixes together; a lane keeps its prefix, less one,
-    from suffix to suffix.  Suffixes under ``least`` bytes are left at 0."""
+    from suffix to suffix, so ``sa`` has to order whole suffixes.  Suffixes
+    under ``least`` bytes are left at 0."""
     words = _words(text)
     before = np.full(len(text), -1, dtype=np.int64)
     before[sa[1:]] = sa[:-1]
@@ -216,7 +219,7 @@ def shard_repeats(windows: list[bytes], counts: np.ndarray, spread: np.ndarray,
     for k, (a, n) in enumerate(zip(first.tolist(), size.tolist(), strict=True)):
         end[a:a + n] = a + n
         owner[a:a + n] = k
-    sa, _ = suffix_array(text, end, length)
+    sa, _ = suffix_array(text, end, int(size.max(initial=0)))
     joined = common_prefixes(text, end, first, sa, length, length) >= length
     starts = end[sa] - sa >= length
     group = np.cumsum(~joined)

@@ -103,6 +103,32 @@ def test_suffix_array_and_prefixes(strings):
         common(x, y) for x, y in zip(suffixes, suffixes[1:])]
 
 
+@pytest.mark.parametrize("spread", [False, True])
+def test_windows_that_share_more_than_the_first_doublings(spread):
+    """Windows of 656 bytes that share 448 to 600 and differ behind them, in
+    both orders: only strings found in two windows repeat."""
+    rng, length = random.Random(11), 400
+    some = lambda n: bytes(rng.choices(range(97, 101), k=n))
+    windows = []
+    for _ in range(150):
+        shared = some(rng.randrange(448, 600))
+        tails = [some(1), some(1)]
+        for lead in rng.sample(range(0, 656 - len(shared)), 2):
+            windows.append(some(lead) + shared + tails.pop() + some(655 - lead - len(shared)))
+    places = {}
+    for k, w in enumerate(windows):
+        for i in range(len(w) - length + 1):
+            places.setdefault(w[i:i + length], []).append((k, i))
+    want = sorted(p for own in places.values() if len(own) > 1 for p in own)
+    ones = np.ones(len(windows), dtype=np.int64)
+    (window, start), (run_window, run_start, repeated) = suffixdedup.shard_repeats(
+        windows, ones, np.full(len(windows), spread), length)
+    assert sorted(zip(window.tolist(), start.tolist())) == want
+    runs = {windows[w][x:x + length]: bool(r) for w, x, r in zip(run_window, run_start, repeated)}
+    assert runs == ({s: len(own) > 1 for s, own in places.items()} if spread else {})
+    assert len(run_window) == len(runs)
+
+
 @given(st.binary(max_size=300).map(lambda b: bytes(x % 2 for x in b)))
 @settings(max_examples=100, deadline=None)
 def test_home_windows_cover_every_start_once(data):
