@@ -23,6 +23,7 @@ the input are ignored.
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -40,7 +41,9 @@ CAPACITY = 2048
 SEPARATOR_ID = 0
 VOCABULARY = "byte_bpe_50k.tiktoken"
 PIECES = "piece int, start long, length long, ids_crc32 long, part int, local_rank long"
-ENCODE_CHARS = 1 << 20
+#: Runs of this much white space (``\s`` of the pattern) are encoded apart.
+LONG_SPACE = 1 << 16
+_SPACES = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % LONG_SPACE)
 
 
 @lru_cache(maxsize=2)
@@ -57,6 +60,21 @@ def byte_bpe(path: str):
                              special_tokens={})
 
 
+def encode_text(bpe, text: str) -> list[int]:
+    """The ids of ``text``.  The pattern's look-ahead overflows the regex
+    engine's stack on a million characters of white space, so long runs do
+    not go through it: a run is one pre-token to the end of the text, else up
+    to its last character, which opens the next pre-token."""
+    if len(text) < LONG_SPACE:
+        return bpe.encode_ordinary(text)
+    ids, at = [], 0
+    for run in _SPACES.finditer(text):
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        ids += bpe.encode_ordinary(text[at:run.start()]) + bpe._encode_single_piece(text[run.start():end])
+        at = end
+    return ids + bpe.encode_ordinary(text[at:])
+
+
 def vocabulary_path(name: str = VOCABULARY) -> str:
     import public_tokenizers
 
@@ -86,7 +104,7 @@ def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             keys = batch.column(0)
             rows: list[tuple] = []
             for i, text in enumerate(batch.column(1)):
-                ids = np.array(bpe.encode_ordinary(text.as_py()) + [SEPARATOR_ID], dtype="<u4")
+                ids = np.array(encode_text(bpe, text.as_py()) + [SEPARATOR_ID], dtype="<u4")
                 for piece, (start, n) in enumerate(piece_bounds(len(ids), capacity)):
                     own = ids[start:start + n]
                     rows.append((i, piece, start, n, zlib.crc32(own.tobytes()), seen[n],

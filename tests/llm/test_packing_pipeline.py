@@ -86,6 +86,19 @@ def test_ids_are_the_tokenizers_ids_on_odd_texts(tokenizer):
     assert all([*bpe.encode_ordinary(t), packing.SEPARATOR_ID] == tokenizer(t) for t in texts)
 
 
+def test_long_runs_of_white_space(spark, tokenizer):
+    n = 1_200_000
+    texts = [" " * n, "\n" * n, "a" + " " * n + "b", "a b" + "\n" * n + "\u6f22", " \t" * (n // 2) + "7",
+             "a" + "\r\n" * (n // 2) + " c" + "\u3000" * 70000 + ".", "x " * 40000 + " " * packing.LONG_SPACE + "y"]
+    for edge in (packing.LONG_SPACE - 1, packing.LONG_SPACE, packing.LONG_SPACE + 1):
+        texts += ["a" + " " * edge, " " * edge + "'s a", "1" + "\n" * edge + "  b", "a" + " " * edge + "\x1c" + " " * edge]
+    bpe = packing.byte_bpe(packing.vocabulary_path())
+    assert all([*packing.encode_text(bpe, t), packing.SEPARATOR_ID] == tokenizer(t) for t in texts)
+    two = dict(enumerate(texts[1:3]))
+    df = spark.createDataFrame([(k, v, "x", "y") for k, v in two.items()], DOCS)
+    check_packing(packing.pack_documents(df).collect(), two, tokenizer, packing.CAPACITY)
+
+
 @given(st.lists(st.integers(1, 40), max_size=120))
 @settings(max_examples=150, deadline=None)
 def test_plan_uses_the_histogram_once_and_fits(lengths):
