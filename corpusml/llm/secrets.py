@@ -3,10 +3,12 @@
 Base kinds are the leftmost non-overlapping matches of fixed patterns that
 pass a length test.  The method adds kind ``random``: a maximal run of key
 characters that a byte-level BPE vocabulary cannot shorten (few characters
-per token) and that is no known digest or identifier.
+per token) and that is no known digest or identifier.  Of a run that it can
+shorten, or that touches a base span, the parts between ``= / _ -`` are
+judged alike, so a readable path or key name hides nothing behind it.
 
 Defined cases: null text is an empty text; offsets are code points, ends
-exclusive; a random run that touches a base span adds nothing; repeated
+exclusive; a random span that touches a base span adds nothing; repeated
 rows are separate rows; an empty table gives no rows.
 """
 
@@ -32,14 +34,19 @@ KINDS = ("assign", "access", "hex", "random")
 ASSIGN_CHARS, ACCESS_CHARS = 8, 16
 
 #: Runs of key characters worth a look, and characters per token below which one is random.
-RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}")
+LEAST = 20
+RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}" % LEAST)
+PART = re.compile(r"[A-Za-z0-9+]+")
 CHARS_PER_TOKEN = 2.1
 # Known digests (hexadecimal, by length) and identifiers.
-KNOWN = re.compile(
+_DIGEST = (
     r"[0-9a-fA-F]{32}|[0-9a-fA-F]{40}|[0-9a-fA-F]{56}|[0-9a-fA-F]{64}|[0-9a-fA-F]{96}|[0-9a-fA-F]{128}"
-    r"|[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"  # UUID
-    r"|[0-9+/_=-]+"  # numbers, dates, rules
+    r"|[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")  # UUID
+KNOWN = re.compile(
+    _DIGEST
+    + r"|[0-9+/_=-]+"  # numbers, dates, rules
     r"|(sha(1|224|256|384|512)|md5)-[A-Za-z0-9+/=_-]+")
+KNOWN_PART = re.compile(rf"(?<![A-Za-z0-9+])({_DIGEST})(?![A-Za-z0-9+])")
 
 Span = tuple[str, int, int]
 
@@ -54,17 +61,79 @@ def base_spans(text: str) -> list[Span]:
     return found + [("hex", *m.span()) for m in HEX.finditer(text)]
 
 
+def random_parts(run: str, bpe, chars_per_token: float = CHARS_PER_TOKEN) -> list[tuple[int, int]]:
+    """``(start, end)`` of random stretches inside a readable run: parts
+    between separators that together stay below the ratio (separators are
+    neither characters nor tokens here) and reach ``LEAST`` characters."""
+    found = []
+
+    def judge(parts: list[tuple[int, int, float]]) -> None:
+        first = 0
+        while first < len(parts):
+            # From a part below the ratio on as long as the sum is, back to where it was largest.
+            total, most, last, k = 0.0, 0.0, first, first
+            while k < len(parts):
+                total += parts[k][2]
+                if total <= 0:
+                    break
+                if total >= most:
+                    most, last = total, k
+                k += 1
+            if most <= 0:
+                first += 1
+                continue
+            a, b = first, last
+            # A short stretch takes in neighbours that leave it below the ratio.
+            while parts[b][1] - parts[a][0] < LEAST:
+                sides = [(parts[x][2], x) for x in (a - 1, b + 1) if 0 <= x < len(parts)]
+                worth, x = max(sides, default=(-most, a))
+                if most + worth <= 0:
+                    break
+                most, a, b = most + worth, min(a, x), max(b, x)
+            start, end = parts[a][0], parts[b][1]
+            if end - start >= LEAST and not KNOWN.fullmatch(run, start, end):
+                found.append((start, end))
+            first = max(last, b) + 1
+
+    stretch, known = [], [m.span() for m in KNOWN_PART.finditer(run)]
+    for m in PART.finditer(run):
+        start, end = m.span()
+        while known and known[0][1] <= start:
+            known.pop(0)
+        if known and known[0][0] < end:
+            judge(stretch)
+            stretch = []
+        else:
+            stretch.append((start, end, chars_per_token * len(bpe.encode_ordinary(m[0])) - (end - start)))
+    judge(stretch)
+    return merged(found)
+
+
+def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans in order, overlapping ones as one."""
+    out: list[tuple[int, int]] = []
+    for start, end in sorted(spans):
+        if out and start < out[-1][1]:
+            out[-1] = (out[-1][0], max(end, out[-1][1]))
+        else:
+            out.append((start, end))
+    return out
+
+
 def random_spans(text: str, bpe, taken: list[Span], chars_per_token: float = CHARS_PER_TOKEN) -> list[Span]:
-    """Runs that the vocabulary hardly shortens, outside ``taken``."""
+    """Runs that the vocabulary hardly shortens, and such parts of the other
+    runs, outside ``taken``."""
     found = []
     for m in RUN.finditer(text):
         run, (start, end) = m[0], m.span()
-        if not any(c.isdigit() for c in run) or not any(c.isalpha() for c in run) or KNOWN.fullmatch(run):
+        if KNOWN.fullmatch(run):
             continue
-        if any(s < end and start < e for _, s, e in taken):
-            continue
-        if len(run) < chars_per_token * len(bpe.encode_ordinary(run)):
+        touched = any(s < end and start < e for _, s, e in taken)
+        if not touched and len(run) < chars_per_token * len(bpe.encode_ordinary(run)):
             found.append(("random", start, end))
+            continue
+        found += [("random", start + a, start + b) for a, b in random_parts(run, bpe, chars_per_token)
+                  if not any(s < start + b and start + a < e for _, s, e in taken)]
     return found
 
 

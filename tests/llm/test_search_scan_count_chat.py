@@ -2,7 +2,9 @@
 
 import hashlib
 import math
+import random
 import re
+import string
 
 import duckdb
 import numpy as np
@@ -10,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF001
-from corpusml.llm import chat, registry, secrets, tokencount, topk
+from corpusml.llm import chat, packing, registry, secrets, tokencount, topk
 
 DOCS = "doc_id long, text string, spans string, c string"
 
@@ -97,6 +99,43 @@ def test_secret_cases(spark):
     assert secrets.scan(df.limit(0)).collect() == []
 
 
+BEFORE = ["client_secret_for_production_environment=", "storage/accounts/production/access_keys/primary=",
+          "/api/v2/projects/production/services/authentication/callbacks/"]
+
+
+def random_of(text):
+    return secrets.random_spans(text, packing.byte_bpe(packing.vocabulary_path()), secrets.base_spans(text))
+
+
+@pytest.mark.parametrize("before", BEFORE)
+@pytest.mark.parametrize("size", [20, 24, 32, 40])
+def test_secret_behind_a_readable_path_or_key_name(before, size):
+    rng = random.Random(size)
+    for _ in range(200):
+        key = "".join(rng.choices(string.ascii_letters + string.digits, k=size))
+        bare = bool(random_of(key))
+        for text, at in ((before + key, len(before)), (f"see {before}{key}/settings/general", 4 + len(before))):
+            got = random_of(text)
+            assert not bare or any(s <= at and at + size <= e for _, s, e in got), text
+
+
+def test_secret_of_letters_only_or_beside_a_base_span():
+    letters, key = "qZpXkLwVtRbNyHcJdFgMsTvW", "q7Zp2Xk9Lw4Vt8Rb1Ny6Hc3J"
+    assert random_of(f"see {letters} here") == [("random", 4, 28)]
+    digest = "0123456789abcdef" * 2
+    assert random_of(f"{digest}/files/{key}") == [("random", 39, 63)]
+    name = "/documentation/production/environment/services/authentication/"
+    assert random_of(f"{name}q7Zp2Xk9Lw_4Vt8Rb1Ny6/settings") == [("random", len(name), len(name) + 21)]
+
+
+def test_readable_runs_and_known_parts_are_no_secrets():
+    texts = [b + tail for b in BEFORE for tail in ("settings", "general/overview", "")]
+    texts += [BEFORE[0] * 2 + "v2/123e4567-e89b-12d3-a456-426614174000/profile", "internationalization_of_everything",
+              BEFORE[0] + "objects/production/" + "0123456789ABCDEF" * 2 + "/download/latest", "ThisIsAnOrdinaryIdentifierName",
+              "/archive/articles/2024/01/15/some-ordinary-title-of-a-page"]
+    assert {t: random_of(t) for t in texts if random_of(t)} == {}
+
+
 # ---- token counts -----------------------------------------------------------
 
 def reference_counter(pieces, unknown):
