@@ -79,13 +79,13 @@ def ingest_documents(spark: SparkSession, base, table_path: str, kinds: Iterable
          .parquet(f"{table_path}/kind={kind}"))
 
 
-def _empty_documents(spark: SparkSession, unscanned: DataFrame, base: str, kind: str) -> DataFrame:
-    """``[hash, text]`` of listed documents that the scan has not: Spark's
+def _check_empty(spark: SparkSession, unscanned: DataFrame, base: str, kind: str) -> bool:
+    """Whether there are listed documents that the scan has not: Spark's
     file scans skip files of length 0, so each such file is looked up and
     must exist with length 0; anything else is an error.  Names come to the
-    driver one block at a time, never all at once."""
+    driver one block at a time and none is kept."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    empty = []
+    found = False
     for row in unscanned.toLocalIterator():
         url = f"{base}/{kind}/{row['hash']}.{kind}"
         path = jvm.org.apache.hadoop.fs.Path(f"{base}/{kind}", f"./{row['hash']}.{kind}")
@@ -94,8 +94,8 @@ def _empty_documents(spark: SparkSession, unscanned: DataFrame, base: str, kind:
             raise FileNotFoundError(f"document not found: {url}")
         if fs.getFileStatus(path).getLen():
             raise ValueError(f"document cannot be scanned (hidden or nested file): {url}")
-        empty.append((row["hash"], ""))
-    return spark.createDataFrame(empty, "hash string, text string")
+        found = True
+    return found
 
 
 def _texts(spark: SparkSession, hashes: DataFrame, base: str, kind: str, table: str | None) -> DataFrame:
@@ -106,7 +106,9 @@ def _texts(spark: SparkSession, hashes: DataFrame, base: str, kind: str, table:
     docs = (spark.read.parquet(f"{table}/kind={kind}").select("hash", "text") if table
             else scan_documents(spark, base, kind))
     unscanned = hashes.join(docs.select("hash"), "hash", "left_anti")  # names only: no content is read
-    return docs.unionByName(_empty_documents(spark, unscanned, base, kind))
+    if not _check_empty(spark, unscanned, base, kind):
+        return docs
+    return docs.unionByName(unscanned.select("hash", F.lit("").alias("text")))
 
 
 def read_documents(spark: SparkSession, manifest: DataFrame, base="./data", kind: str = "bytes",

@@ -223,3 +223,15 @@ def test_read_lines_several_files(spark, scratch):
     write(f"{scratch}/d/a.txt", "a0\na1\n")
     write(f"{scratch}/d/b.txt", "b0\n")
     assert lines_of(spark, f"{scratch}/d") == [(0, "a0"), (1, "a1"), (2, "b0")]
+
+
+def test_empty_documents_are_not_kept_on_the_driver(spark, scratch, monkeypatch):
+    root = make_dataset(f"{scratch}/hollow", {f"e{i}": ("" if i % 3 else BYTES0, ASM0) for i in range(12)})
+    manifest = spark.range(12).select("id", F.concat(F.lit("e"), F.col("id").cast("string")).alias("hash"))
+
+    def kept(*_, **__):
+        raise AssertionError("rows from the driver")
+
+    monkeypatch.setattr(spark, "createDataFrame", kept)
+    rows = read_documents(spark, manifest, root, "bytes").collect()
+    assert {r["id"]: r["text"] for r in rows} == {i: "" if i % 3 else BYTES0 for i in range(12)}
