@@ -18,8 +18,10 @@ The shards' best rows are merged by a window over each query.
 Defined cases: vectors that are null or hold a null or non-finite component
 take no part; missing dimensions count as 0; rows with the same vector id
 are separate rows (only the query's own row is no candidate), ties go to
-the smaller vector id; an empty table gives no rows; a quantised component
-beyond +-2**28 fails the job (the score would not fit a long).
+the smaller vector id; an empty table gives no rows.  Queries whose sums
+could leave a long are scored with Python's integers; a quantised component
+beyond +-2**62, or a score among a shard's best that no long holds, fails the
+job (scores are longs, as in the SQL).
 """
 
 from __future__ import annotations
@@ -33,14 +35,16 @@ from corpusml.llm.common import materialize
 
 K = 5
 SHARD_ROWS, QUERY_BLOCK, TRAVERSED = 4096, 256, 1024
-LARGEST = 1 << 28
+LARGEST = 1 << 62
+#: Sums up to this are taken in longs (a bound plus a score stays below 2**63).
+LONG_SUM = 1 << 60
 
 
 def quantised(col: str, scale: int = 256) -> Column:
     """``floor(scale * x)`` of every component, ``x`` as double."""
     def component(x: Column) -> Column:
-        y = F.floor(F.lit(scale) * x.cast("double"))
-        return F.when(F.abs(y) <= LARGEST, y).otherwise(F.raise_error("vector component out of range"))
+        y = F.lit(scale) * x.cast("double")
+        return F.when(F.abs(y) <= float(LARGEST), F.floor(y)).otherwise(F.raise_error("vector component out of range"))
 
     return F.transform(col, component)
 
@@ -120,10 +124,17 @@ def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_
             group = group.sort_values("row")  # the same traversal whatever the shuffle's order
             postings, ids, own = _matrix(group["v"], dims), group["id"].to_numpy(), group["row"].to_numpy()
             terms = _matrix(queries["v"], dims)
+            most = np.abs(postings).max(axis=1).astype(np.float64) @ np.abs(terms).astype(np.float64)
+            wide = postings.astype(object) if (most > LONG_SUM).any() else None
             for q, (row, query_id) in enumerate(zip(queries["row"], queries["id"], strict=True)):
                 at = int(np.searchsorted(own, row))
                 here = at if at < len(own) and own[at] == row else None
-                top, scores = maxscore(postings, ids, terms[:, q], k, here)
+                if most[q] > LONG_SUM:
+                    top, scores = maxscore(wide, ids, terms[:, q].astype(object), k, here)
+                    if not all(-1 << 63 <= s < 1 << 63 for s in scores):
+                        raise OverflowError("score out of range of a long")
+                else:
+                    top, scores = maxscore(postings, ids, terms[:, q], k, here)
                 found += [(row, query_id, i, s) for i, s in zip(top, scores, strict=True)]
         return pd.DataFrame(found, columns=["query_row", "query_id", "id", "score"])
 

@@ -57,6 +57,24 @@ def test_topk_empty_table_and_out_of_range(spark):
         topk.search(huge, F.lit(True)).collect()
 
 
+def test_topk_of_large_components(spark, monkeypatch):
+    """Components beyond 2**20, sums beyond a long on the way, scores within."""
+    monkeypatch.setattr(topk, "SHARD_ROWS", 30)
+    monkeypatch.setattr(topk, "TRAVERSED", 8)
+    rng = np.random.default_rng(2)
+    rows = [(int(i), [float(x) for x in rng.integers(-2, 3, 4) / 4]) for i in range(100)]
+    rows += [(i, [float(x) * 2.0 ** 20 for x in rng.integers(-3, 4, 4)]) for i in range(100, 130)]
+    huge = [(150, [2.0 ** 40, 2.0 ** 40, 1.0]), (151, [2.0 ** 40, -(2.0 ** 40), 3.0]), (152, [2.0 ** 44, 0.0, 0.5])]
+    for table, asked in ((rows, [0, 50, 100, 120]), (rows + huge, [0, 50])):
+        df = spark.createDataFrame(table, "vec_id long, embedding array<double>")
+        got = sorted(map(tuple, topk.search(df, F.col("vec_id").isin(asked)).collect()))
+        assert got == brute_topk(table, lambda i: i in asked)
+        assert max(abs(s) for _, _, _, s in got) > 1 << 53
+    wide = topk.maxscore(np.array([[1 << 62, 1 << 62, 5], [1 << 62, -(1 << 62), 7]], dtype=object), np.arange(3),
+                         np.array([8, 8], dtype=object), 2)
+    assert [x.tolist() for x in wide] == [[0, 2], [1 << 66, 96]]
+
+
 # ---- secrets ----------------------------------------------------------------
 
 def brute_base(text):
