@@ -1,4 +1,4 @@
-"""Best-fit packing by exact-complement hashing.
+"""Best-fit packing by exact complements.
 
 Documents become token pieces of at most ``capacity`` ids; pieces are packed
 into as few sequences as possible.  Only the histogram of piece lengths
@@ -129,7 +129,8 @@ def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def _complement(gap: int, most: int, free: np.ndarray) -> tuple[int, ...] | None:
     """One, two or three available lengths (none above ``most``) that sum to
-    exactly ``gap``, longest first; ``free`` has the counts by length."""
+    exactly ``gap``, longest first; ``free`` has the counts by length and is
+    scanned for pairs (no index of sums is kept)."""
     if gap <= most and free[gap]:
         return (gap,)
 
