@@ -36,6 +36,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: Largest table that is broadcast, by the sum of its rows' widths.
+BROADCAST_BYTES = 32 << 20
+
+
+def is_bounded(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
+    """Whether the rows of ``df`` (a written table, or columns of one) are
+    at most ``limit`` bytes: measured, not estimated."""
+    width = sum((F.coalesce(F.octet_length(c), F.lit(0)) if t in ("string", "binary") else F.lit(8)
+                 for c, t in df.dtypes), F.lit(24))
+    return (df.agg(F.sum(width)).first()[0] or 0) <= limit
+
+
+def bounded(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` marked for a broadcast if it is small, else for a merge join."""
+    return F.broadcast(df) if is_bounded(df, limit) else df.hint("merge")
+
+
 def text_or_empty(col: str) -> Column:
     return F.coalesce(F.col(col), F.lit(""))
 

@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusml.llm import (
-    chat, decontaminate, linededup, packing, secrets, simhash, suffixdedup, tokencount, topk, toxicity,
+    chat, decontaminate, divergence, licenses, linededup, packing, rankedsearch, secrets, simhash, suffixdedup,
+    tokencount, topk, toxicity,
 )
 from corpusml.llm.common import prepare, table
 
@@ -22,6 +23,8 @@ ORACLES: dict[str, str] = {
     "op7_chat_formatting": chat.ORACLE,
     "op8_line_dedup": linededup.ORACLE,
     "op10_benchmark_decontamination": decontaminate.ORACLE,
+    "op12_ranked_search": rankedsearch.ORACLE,
+    "op13_source_divergence": divergence.ORACLE,
 }
 
 #: Rows with this remainder of crc32(doc_id as text) modulo 3 are held out.
@@ -120,3 +123,24 @@ def op10_benchmark_decontamination(spark, sf_dir):
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
     return found.select(F.col("id").alias("doc_id"), "n_words", "n_hit", "n_items",
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+@query
+def op11_license_scan(spark, sf_dir):
+    """License phrases and notices in every document."""
+    found = licenses.report(*licenses.scan(table(spark, sf_dir, "documents")))
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_base", "first_word", "last_word", "base_labels",
+                        "labels", "score")
+
+
+@query
+def op12_ranked_search(spark, sf_dir):
+    """The ten best documents of every benchmark item."""
+    found = rankedsearch.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("id").alias("item_id"), "rank", "doc_id", "score")
+
+
+@query
+def op13_source_divergence(spark, sf_dir):
+    """How far the sources of each language lie apart, and in which terms."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
