@@ -32,7 +32,6 @@ are ignored.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -48,17 +47,20 @@ K = 10
 SHARD_POSTINGS, QUERY_BLOCK = 400_000, 4096
 #: Most intervals that are split at a time, best first.
 WAVE = 192
-#: A term is a maximal run of these, with only A-Z lower-cased.
-TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
-LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
+# Of the bytes of a term, A-Z are lower-cased; all but ASCII
+# letters, digits and bytes beyond ASCII separate terms.
+TERM_BYTES = bytes(b | 0x20 if chr(b).isascii() and chr(b).isalpha() else
+                   b if b > 0x7F or chr(b).isdigit() else 0x20 for b in range(256))
 #: Postings of a task that are sent on at a time.
 SENT = 200_000
 POSTINGS = "row long, doc_id long, n long, term string, tf long"
 
 
-def terms_of(text: str | None) -> list[str]:
-    text = text or ""
-    return TERM.findall(text.lower() if text.isascii() else text.translate(LOWER))
+def terms_of(text: str | None) -> Counter:
+    """The terms of a text and their numbers."""
+    found = Counter((text or "").encode().translate(TERM_BYTES).decode().split(" "))
+    del found[""]
+    return found
 
 
 def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -76,7 +78,7 @@ def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         held = [[], [], [], [], [], []]
         for row, doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            counted = Counter(terms_of(text))
+            counted = terms_of(text)
             own = (row, doc_id, counted.total(), len(counted) + 1)
             for column, value in zip(held, own, strict=False):
                 column.append(value)
