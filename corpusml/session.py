@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -49,4 +51,40 @@ def checkpoint_dir(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, S3, ...) for this cluster")
     local = tempfile.mkdtemp(prefix="corpusml-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(local)
+    _delete_at_end(spark, local)
     return local
+
+
+def _delete_at_end(spark: SparkSession, folder: str) -> None:
+    """Hadoop deletes ``folder`` when the driver's file systems are closed."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+
+
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A fresh folder below the checkpoint folder, shared by all executors,
+    for files that a returned DataFrame may still read: it is deleted when
+    the application ends."""
+    folder = f"{checkpoint_dir(spark)}/corpusml-{name}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)  # only what exists can be registered
+    _delete_at_end(spark, folder)
+    return folder
+
+
+def written(df, name: str):
+    """``df`` written as Parquet to a scratch folder and read back: it is
+    computed once, and a lost executor costs nothing that was written."""
+    folder = scratch_dir(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def package_on_workers(spark: SparkSession) -> None:
+    """Python workers import this package from the driver's checkout, unless
+    a cluster has installed it (then this adds a path that is not there)."""
+    root = str(Path(__file__).resolve().parents[1])
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])

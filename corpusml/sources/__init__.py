@@ -4,6 +4,7 @@ from corpusml.sources.corpus import (
     KINDS, document_url, ingest_documents, joint_corpus, joint_token_bags, labelled_manifest, load_corpus,
     normalize_base, read_documents, read_labels, read_manifest, scan_documents, tokenize,
 )
+from corpusml.sources.files import document_names, write_documents
 from corpusml.sources.lines import explode_lines, read_lines, split_lines
 
 __all__ = [

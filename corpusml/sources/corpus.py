@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from corpusml.functions.tokens import (
     asm_tokens, byte_tokens, explode_tokens, joint_tokens, join_token_lists, parse_int, with_line_break,
 )
+from corpusml.session import written
+from corpusml.sources.files import glob_escaped, document_names
 from corpusml.sources.lines import read_lines
 
 KINDS = ("bytes", "asm", "joint")
@@ -52,10 +54,6 @@ def read_labels(spark: SparkSession, path) -> DataFrame:
     return read_lines(spark, path).select("id", parse_int("line").alias("label"))
 
 
-def _glob_escaped(path: str) -> str:
-    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
-
-
 def scan_documents(spark: SparkSession, base, kind: str) -> DataFrame:
     """``[hash, text]`` of every non-empty ``{base}/{kind}/{hash}.{kind}``.
 
@@ -64,7 +62,7 @@ def scan_documents(spark: SparkSession, base, kind: str) -> DataFrame:
     ``%`` and glob characters have no meaning)."""
     base = normalize_base(base)
     files = (spark.read.format("binaryFile").option("pathGlobFilter", f"*.{kind}")
-             .load(_glob_escaped(f"{base}/{kind}")))
+             .load(glob_escaped(f"{base}/{kind}")))
     return files.select(F.regexp_extract("path", rf"(?s)([^/]*)\.{kind}$", 1).alias("hash"),
                         F.col("content").cast("string").alias("text"))
 
@@ -79,23 +77,27 @@ def ingest_documents(spark: SparkSession, base, table_path: str, kinds: Iterable
          .parquet(f"{table_path}/kind={kind}"))
 
 
-def _check_empty(spark: SparkSession, unscanned: DataFrame, base: str, kind: str) -> bool:
-    """Whether there are listed documents that the scan has not: Spark's
-    file scans skip files of length 0, so each such file is looked up and
-    must exist with length 0; anything else is an error.  Names come to the
-    driver one block at a time and none is kept."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    found = False
-    for row in unscanned.toLocalIterator():
-        url = f"{base}/{kind}/{row['hash']}.{kind}"
-        path = jvm.org.apache.hadoop.fs.Path(f"{base}/{kind}", f"./{row['hash']}.{kind}")
-        fs = path.getFileSystem(conf)
-        if not fs.exists(path):
-            raise FileNotFoundError(f"document not found: {url}")
-        if fs.getFileStatus(path).getLen():
-            raise ValueError(f"document cannot be scanned (hidden or nested file): {url}")
-        found = True
-    return found
+def _empty_documents(spark: SparkSession, hashes: DataFrame, docs: DataFrame, base: str, kind: str,
+                     table: str | None) -> DataFrame | None:
+    """``[hash]`` of the listed documents that the scan has not, or None if
+    there are none.  Spark's file scans skip files of length 0, so names
+    without a scanned text are joined with the names of all files: one job
+    finds the empty documents, whatever their number, and the names of no
+    document, which are an error."""
+    unscanned = hashes.join(docs.select("hash"), "hash", "left_anti")  # names only: no content is read
+    names = document_names(spark, base, kind).select("hash", F.lit(True).alias("listed"))
+    # An ingested table has no hole for a file that is not empty.
+    filled = (scan_documents(spark, base, kind).select("hash", F.lit(True).alias("filled")) if table
+              else names.select("hash", F.lit(False).alias("filled")).where(F.lit(False)))
+    found = written(unscanned.join(names, "hash", "left").join(filled, "hash", "left").select(
+        "hash", F.col("listed").isNotNull().alias("listed"), F.col("filled").isNotNull().alias("filled")), "empty")
+    bad = found.where("filled OR NOT listed").first()
+    if bad is not None:
+        url = f"{base}/{kind}/{bad['hash']}.{kind}"
+        if bad["filled"]:
+            raise ValueError(f"document is not in the ingested table: {url}")
+        raise FileNotFoundError(f"document not found: {url} (missing, hidden or nested)")
+    return None if found.isEmpty() else found.select("hash")
 
 
 def _texts(spark: SparkSession, hashes: DataFrame, base: str, kind: str, table: str | None) -> DataFrame:
@@ -105,10 +107,10 @@ def _texts(spark: SparkSession, hashes: DataFrame, base: str, kind: str, table:
     read; a zero-length file is an empty document."""
     docs = (spark.read.parquet(f"{table}/kind={kind}").select("hash", "text") if table
             else scan_documents(spark, base, kind))
-    unscanned = hashes.join(docs.select("hash"), "hash", "left_anti")  # names only: no content is read
-    if not _check_empty(spark, unscanned, base, kind):
+    empty = _empty_documents(spark, hashes, docs, base, kind, table)
+    if empty is None:
         return docs
-    return docs.unionByName(unscanned.select("hash", F.lit("").alias("text")))
+    return docs.unionByName(empty.select("hash", F.lit("").alias("text")))
 
 
 def read_documents(spark: SparkSession, manifest: DataFrame, base="./data", kind: str = "bytes",

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from conftest import ASM0, BYTES0, make_dataset, write
 from corpusml.sources import (
-    document_url, explode_lines, ingest_documents, load_corpus, normalize_base, read_documents, read_labels,
-    read_lines, read_manifest,
+    document_names, document_url, explode_lines, ingest_documents, load_corpus, normalize_base, read_documents,
+    read_labels, read_lines, read_manifest, write_documents,
 )
 
 
@@ -235,3 +235,51 @@ def test_empty_documents_are_not_kept_on_the_driver(spark, scratch, monkeypatch)
     monkeypatch.setattr(spark, "createDataFrame", kept)
     rows = read_documents(spark, manifest, root, "bytes").collect()
     assert {r["id"]: r["text"] for r in rows} == {i: "" if i % 3 else BYTES0 for i in range(12)}
+
+
+def test_written_documents_read_back(spark, scratch):
+    """One file per row, by names of any kind; empty and null texts are empty files."""
+    texts = {"h1": "a\nb", "with blank": "é\r\n", "100%": "x", "a*[b]": "glob", "leer": "", "null": None, "dot.name": "y"}
+    rows = spark.createDataFrame([*texts.items(), ("h1", "a\nb")], "hash string, text string")
+    write_documents(rows.repartition(3), f"file:{scratch}/out", "bytes")
+    assert sorted(os.listdir(f"{scratch}/out/bytes")) == sorted(f"{h}.bytes" for h in texts)
+    with open(f"{scratch}/out/bytes/with blank.bytes", newline="") as f:
+        assert f.read() == "é\r\n"
+    assert sorted(r["hash"] for r in document_names(spark, f"file:{scratch}/out", "bytes").collect()) == sorted(texts)
+    manifest = spark.createDataFrame(list(enumerate(texts)), "id long, hash string")
+    got = {r["hash"]: r["text"] for r in read_documents(spark, manifest, f"{scratch}/out", "bytes").collect()}
+    assert got == {h: t or "" for h, t in texts.items()}
+
+
+def test_bad_document_names_are_not_written(spark, scratch):
+    for name in ("", "a/b", ".hidden", "_meta", None):
+        with pytest.raises(Exception, match="not a document name"):
+            write_documents(spark.createDataFrame([(name, "x")], "hash string, text string"), f"file:{scratch}/bad", "asm")
+
+
+def test_names_of_an_empty_folder(spark, scratch):
+    os.makedirs(f"{scratch}/none/bytes")
+    assert document_names(spark, f"file:{scratch}/none", "bytes").collect() == []
+
+
+def test_many_empty_documents(spark, scratch):
+    """Names without a text take no step of their own on the driver."""
+    n = 20_000
+    os.makedirs(f"{scratch}/many/bytes")
+    for i in range(n):
+        open(f"{scratch}/many/bytes/e{i}.bytes", "w").close()
+    manifest = spark.range(n).select("id", F.concat(F.lit("e"), F.col("id").cast("string")).alias("hash"))
+    docs = read_documents(spark, manifest, f"{scratch}/many", "bytes")
+    assert docs.agg(F.count("*"), F.max(F.length("text"))).first() == (n, 0)
+
+
+def test_ingested_table_without_a_document_fails(spark, scratch):
+    root = make_dataset(f"{scratch}/part", {"h1": (BYTES0, ASM0)})
+    ingest_documents(spark, root, f"{scratch}/table", ("bytes",))
+    make_dataset(root, {"h2": (BYTES0, ASM0), "h3": ("", ASM0)})
+    manifest = spark.createDataFrame([(0, "h1"), (1, "h3")], "id long, hash string")
+    rows = read_documents(spark, manifest, root, "bytes", table=f"{scratch}/table").collect()
+    assert {r["hash"]: r["text"] for r in rows} == {"h1": BYTES0, "h3": ""}
+    with pytest.raises(ValueError, match="not in the ingested table"):
+        read_documents(spark, spark.createDataFrame([(0, "h2")], "id long, hash string"), root, "bytes",
+                       table=f"{scratch}/table")
