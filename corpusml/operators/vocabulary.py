@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusml.functions.tokens import explode_tokens
+from corpusml.operators.matching import salted, with_salt
 from corpusml.operators.ranking import global_rank
 
 DEFAULT_VOCAB_SIZE = 1 << 18
@@ -91,12 +92,15 @@ def vocabulary_terms(vocabulary: DataFrame) -> list[str]:
 def term_counts(df: DataFrame, vocabulary: DataFrame | None = None, features: str = "features",
                 id_col: str = "id", keep: tuple[str, ...] = ()) -> DataFrame:
     """Long form of token lists: ``[id, *keep, term, cnt bigint]``, grouped
-    by (id, term); out-of-vocabulary tokens are dropped.  ``vector_counts``
-    gives the same from count vectors without a shuffle."""
+    by (id, term); out-of-vocabulary tokens are dropped.  The vocabulary is a
+    table of any size that the counts meet (frequent terms are split over
+    join partitions); up to ``vocab_size``, ``vector_counts`` gives the same
+    from count vectors without a shuffle."""
     e = explode_tokens(df, features, "term", keep=(id_col, *keep))
-    if vocabulary is not None:
-        e = e.join(vocabulary.select("term"), "term", "left_semi")
-    return e.groupBy(id_col, *keep, "term").agg(F.count(F.lit(1)).alias("cnt"))
+    counts = e.groupBy(id_col, *keep, "term").agg(F.count(F.lit(1)).alias("cnt"))
+    if vocabulary is None:
+        return counts
+    return with_salt(counts, id_col).join(salted(vocabulary.select("term")), ["term", "_salt"], "left_semi").drop("_salt")
 
 
 def vector_counts(df: DataFrame, terms: list[str], vector_col: str, id_col: str = "id",

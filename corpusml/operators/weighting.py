@@ -11,13 +11,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusml.operators.matching import salted, with_salt
+
 
 def idf_weights(vocabulary: DataFrame, n_docs: int) -> DataFrame:
     """``[term, df, idf]`` for a vocabulary built on ``n_docs`` rows."""
     return vocabulary.select("term", "df", F.ln(F.lit(n_docs + 1.0) / (F.col("df") + 1.0)).alias("idf"))
 
 
-def tfidf(counts: DataFrame, idf: DataFrame) -> DataFrame:
-    """Long-form counts ``[..., term, cnt]`` times idf: adds ``tfidf``."""
-    return counts.join(idf.select("term", "idf"), "term") \
-                 .withColumn("tfidf", F.col("cnt") * F.col("idf"))
+def tfidf(counts: DataFrame, idf: DataFrame, id_col: str = "id") -> DataFrame:
+    """Long-form counts ``[..., term, cnt]`` times idf: adds ``tfidf``.
+    Frequent terms are split over join partitions."""
+    weights = salted(idf.select("term", "idf"))
+    return with_salt(counts, id_col).join(weights, ["term", "_salt"]).drop("_salt").withColumn(
+        "tfidf", F.col("cnt") * F.col("idf"))

@@ -11,7 +11,7 @@ arg-max window.  Tables: the driver's parquet views (``documents``,
 from __future__ import annotations
 
 from corpusml.functions.views import BASE_ADDRESS, BYTES_PER_LINE
-from corpusml.plans.queries import COUNT_MIN_DF, ROUND, URL_BASE, VOCAB_MIN_DF, VOCAB_TOP_K
+from corpusml.plans.queries import COUNT_MIN_DF, ROUND, URL_BASE, VOCAB_MIN_DF, VOCAB_TOP_K, WORD_MIN_DOCS
 from corpusml.plans.tables import LISTING_WORDS
 
 OPS = "|".join(LISTING_WORDS)
@@ -52,6 +52,7 @@ def _cut_segments(tokens: str) -> str:
 
 SEGMENT_RE2 = r"(\.?\w+:[0-9A-F]{8}\s)"
 WORDS_RE2 = rf"\b({OPS})\b"
+WORD_RE2 = r"\w+"
 PAIR_RE2 = r"(\b[0-9A-F]{2} [0-9A-F]{2}\b)"
 
 
@@ -204,6 +205,40 @@ idf AS (SELECT term, df, ln(((SELECT m FROM m) + 1.0) / (df + 1.0)) AS idf FROM
 tc AS (SELECT id, term, count(*) AS cnt FROM (SELECT id, unnest(toks) AS term FROM doc) GROUP BY id, term)
 SELECT tc.id, tc.term, round(tc.cnt * idf.idf, {ROUND}) AS tfidf FROM tc JOIN idf USING (term)
 WHERE idf.df >= {COUNT_MIN_DF}"""
+    q["term_counts_uncapped"], q["tfidf_uncapped"] = q["term_counts"], q["tfidf"]
+    q["asm_vocabulary_table"] = f"""WITH w AS (
+  SELECT word FROM (SELECT doc_id, unnest(regexp_extract_all(text, '{WORD_RE2}')) AS word FROM documents)
+  WHERE regexp_matches(word, '^[A-Za-z_]') GROUP BY word HAVING count(DISTINCT doc_id) >= {WORD_MIN_DOCS}),
+l AS (SELECT doc_id AS id, {_cut_segments(f"regexp_extract_all({listing()}, '{SEGMENT_RE2}|{WORD_RE2}', 0)")} AS t FROM documents),
+p AS (SELECT id, generate_subscripts(t, 1) AS pos, unnest(t) AS token FROM l),
+k AS (SELECT * FROM p WHERE token LIKE '%:' OR token IN (SELECT word FROM w))
+SELECT l.id, count(k.pos) AS n_tokens, md5(coalesce(string_agg(token, ' ' ORDER BY pos), '')) AS tokens_md5
+FROM l LEFT JOIN k ON l.id = k.id GROUP BY l.id"""
+    q["rf_root_splits"] = f"""WITH {corpus_cte('joint')},
+{COUNT_VOCABULARY},
+{CLASSES},
+tc AS (SELECT id, term, label, count(*) AS v FROM (SELECT id, label, unnest(toks) AS term FROM train)
+       JOIN vocab USING (term) GROUP BY ALL),
+seen AS (SELECT term, v, label, count(*) AS n FROM tc GROUP BY ALL),
+vals AS (SELECT DISTINCT term, v FROM seen UNION SELECT term, 0 FROM vocab),
+cells AS (
+  SELECT t.term, t.v, c.label, CASE WHEN t.v = 0 THEN c.n - coalesce((SELECT sum(s.n) FROM seen s
+    WHERE s.term = t.term AND s.label = c.label), 0) ELSE coalesce(s.n, 0) END AS n
+  FROM vals t CROSS JOIN classes c LEFT JOIN seen s ON s.term = t.term AND s.v = t.v AND s.label = c.label),
+used AS (SELECT * FROM cells JOIN (SELECT term, v FROM cells GROUP BY ALL HAVING sum(n) > 0) USING (term, v)),
+cum AS (SELECT term, v, label, sum(n) OVER (PARTITION BY term, label ORDER BY v) AS l FROM used),
+tot AS (SELECT sum(n) AS n, 1 - sum(n * n) / (sum(n) * sum(n))::DOUBLE AS gini FROM classes),
+sides AS (
+  SELECT term, v, sum(l) AS nl, any_value(tot.n) - sum(l) AS nr, sum(l * l) AS ll,
+         sum((classes.n - l) * (classes.n - l)) AS rr, any_value(tot.n) AS n, any_value(gini) AS gini
+  FROM cum JOIN classes USING (label), tot GROUP BY term, v),
+bins AS (SELECT *, ((nl - 1) * 32) // n AS bin FROM sides),
+cuts AS (SELECT *, lead(bin) OVER (PARTITION BY term ORDER BY v) AS following FROM bins),
+gains AS (
+  SELECT term, v, nl, round(gini - nl / n * (1 - ll / (nl * nl)::DOUBLE) - nr / n * (1 - rr / (nr * nr)::DOUBLE), 9) AS gain
+  FROM cuts WHERE following > bin),
+best AS (SELECT *, row_number() OVER (PARTITION BY term ORDER BY gain DESC, v) AS r FROM gains)
+SELECT term, v AS threshold, nl::BIGINT AS n_left, round(gain, {ROUND}) AS gain FROM best WHERE r = 1"""
     q["label_index"] = f"WITH {corpus_cte()},\n{CLASSES}\nSELECT label, n, ix FROM classes"
     q["label_decode"] = f"""WITH {corpus_cte()},
 {CLASSES}
@@ -235,6 +270,8 @@ FROM prior p LEFT JOIN den d ON p.ix = d.ix"""
 SELECT ct.ix, ct.term, ct.cnt AS tf, round(ln(ct.tf + 1.0) - d.logden, {ROUND}) AS theta
 FROM ct JOIN den d ON ct.ix = d.ix"""
     q["nb_predict"] = nb_predict()
+    q["nb_predict_sparse"] = nb_predict()
+    q["nb_job_files"] = f"SELECT id, predictedClass FROM ({nb_predict()})"
     q["nb_predict_tfidf"] = nb_predict(idf=True)
     q["nb_predict_bigrams"] = nb_predict(idf=True, ngram=2)
     q["nb_predict_asm"] = nb_predict(kind="asm")

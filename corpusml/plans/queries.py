@@ -8,25 +8,29 @@ built; the returned plan is lazy).  The DuckDB form of each one lives in
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.ml.feature import IDF
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusml.functions.tokens import add_ngrams, byte_tokens, explode_tokens, parse_int
-from corpusml.functions.views import hex_dump
-from corpusml.operators.bayes import nb_parameters
+from corpusml.functions.tokens import WORD_RUN_PATTERN, add_ngrams, byte_tokens, explode_tokens, extract_all, parse_int
+from corpusml.functions.views import asm_listing, hex_dump
+from corpusml.operators.bayes import nb_parameters, sparse_scores
 from corpusml.operators.evaluate import accuracy, predictions, preview, write_predictions
 from corpusml.operators.labels import index_labels, label_decoder, label_dictionary, label_indexer
-from corpusml.operators.vocabulary import OrderedCountVectorizer, build_vocabulary, filtered_stats, vector_counts
-from corpusml.operators.weighting import idf_weights
+from corpusml.operators.matching import match_vocabulary
+from corpusml.operators.splits import root_splits
+from corpusml.operators.vocabulary import (
+    OrderedCountVectorizer, build_vocabulary, filtered_stats, term_counts, vector_counts,
+)
+from corpusml.operators.weighting import idf_weights, tfidf
 from corpusml.plans import tables as tb
-from corpusml.plans.jobs import fit_naive_bayes, fit_random_forest
-from corpusml.session import checkpoint_dir
+from corpusml.plans.jobs import fit_naive_bayes, fit_random_forest, nb_job
+from corpusml.session import scratch_dir, written
 from corpusml.sources.corpus import document_url as url_of
-from corpusml.sources.corpus import labelled_manifest
+from corpusml.sources.corpus import labelled_manifest, read_manifest
+from corpusml.sources.files import write_documents
 from corpusml.sources.lines import explode_lines, read_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,8 +70,9 @@ def line_index(spark, sf_dir):
 
 
 def _files(spark) -> str:
-    """A fresh folder for text files, shared by all executors."""
-    return f"{checkpoint_dir(spark)}/corpusml-files-{uuid.uuid4().hex}"
+    """A fresh folder for text files, shared by all executors and deleted
+    when the application ends."""
+    return f"{scratch_dir(spark, 'files')}/lines"
 
 
 @query
@@ -93,7 +98,7 @@ def manifest_scan(spark, sf_dir):
 @query
 def document_url(spark, sf_dir):
     """H1/H2: ``{base}/{kind}/{hash}.{kind}`` with a content hash."""
-    d = tb.documents(spark, sf_dir).select("doc_id", F.md5("text").alias("hash"))
+    d = tb.table(spark, sf_dir, "documents").select("doc_id", F.md5("text").alias("hash"))
     return d.select("doc_id", "hash", url_of("hash", URL_BASE, "bytes").alias("url"))
 
 
@@ -118,7 +123,8 @@ def labelled_corpus(spark, sf_dir):
 @query
 def manifest_restrict(spark, sf_dir):
     """Only the documents listed by a manifest (here: the label table)."""
-    docs = tb.documents(spark, sf_dir).select(F.col("doc_id").alias("id"), F.md5("text").alias("hash"), "n_chars")
+    docs = tb.table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("id"), F.md5("text").alias("hash"), "n_chars")
     listed = tb.table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"))
     return docs.join(listed, "id", "left_semi")
 
@@ -176,6 +182,26 @@ def ngram_counts(spark, sf_dir):
             .groupBy("n", "gram").agg(F.count(F.lit(1)).alias("cnt")))
 
 
+WORD_MIN_DOCS = 2
+
+
+def _word_table(spark, sf_dir):
+    """``[word]``: words of the texts (not starting with a digit) in at
+    least ``WORD_MIN_DOCS`` documents: a vocabulary that grows with the data."""
+    words = F.array_distinct(extract_all("text", WORD_RUN_PATTERN))
+    own = tb.documents(spark, sf_dir).select(F.explode_outer(words).alias("word")).where(F.col("word").rlike("^[A-Za-z_]"))
+    return own.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= WORD_MIN_DOCS).select("word")
+
+
+@query
+def asm_vocabulary_table(spark, sf_dir):
+    """The listing's tokens under a vocabulary that is a table."""
+    docs = tb.documents(spark, sf_dir).select(F.col("doc_id").alias("id"), asm_listing("text").alias("text"))
+    found = match_vocabulary(docs, _word_table(spark, sf_dir))
+    return found.select("id", F.size("features").cast("bigint").alias("n_tokens"),
+                        F.md5(F.array_join("features", " ")).alias("tokens_md5"))
+
+
 # ---- vocabulary, vectors, weights ------------------------------------------
 
 def _train(spark, sf_dir, kind="bytes"):
@@ -229,6 +255,22 @@ def rf_features(spark, sf_dir):
     return vector_counts(vectors, model.vocabulary, "counts")
 
 
+@query
+def term_counts_uncapped(spark, sf_dir):
+    """The counts of ``term_counts`` for a vocabulary of any size."""
+    both = tb.corpus(spark, sf_dir, "bytes")
+    return term_counts(both, filtered_stats(tb.split(both)[0], min_df=COUNT_MIN_DF))
+
+
+@query
+def tfidf_uncapped(spark, sf_dir):
+    """The weights of ``tfidf`` for a vocabulary of any size."""
+    both = tb.corpus(spark, sf_dir, "bytes")
+    stats = filtered_stats(tb.split(both)[0], min_df=COUNT_MIN_DF)
+    n_docs = tb.split(tb.labels_of(spark, sf_dir))[0].count()
+    return tfidf(term_counts(both), idf_weights(stats, n_docs)).select("id", "term", _r(F.col("tfidf")).alias("tfidf"))
+
+
 # ---- labels ------------------------------------------------------------------
 
 @query
@@ -281,8 +323,7 @@ def _nb_tables(spark, sf_dir):
     train = _train(spark, sf_dir)
     d = label_dictionary(tb.split(tb.labels_of(spark, sf_dir))[0], "label")
     labelled = index_labels(train, d, "label")
-    n_terms = explode_tokens(train, "features", "term").agg(F.count_distinct("term")).first()[0]
-    classes, theta = nb_parameters(labelled, n_terms)
+    classes, theta = nb_parameters(labelled)
     return d, classes, theta
 
 
@@ -340,6 +381,37 @@ def nb_predict_asm(spark, sf_dir):
     return _nb_predictions(_nb_scored(spark, sf_dir, kind="asm"))
 
 
+@query
+def nb_predict_sparse(spark, sf_dir):
+    """The same predictions from sparse tables of the model."""
+    d, classes, theta = _nb_tables(spark, sf_dir)
+    test = tb.split(tb.corpus(spark, sf_dir, "bytes"))[1]
+    labels = [r["label"] for r in d.orderBy("ix").collect()]  # one entry per class
+    scored = sparse_scores(test, classes, theta)
+    return label_decoder(labels).transform(scored).select("id", "prediction", "predictedClass")
+
+
+@query
+def nb_job_files(spark, sf_dir):
+    """A1-A4/I9/S1 on files: documents, manifests and labels are written as
+    files (one per document), the job reads them, trains and predicts."""
+    base = scratch_dir(spark, "corpus")
+    docs = tb.documents(spark, sf_dir).select(F.md5(F.col("doc_id").cast("string")).alias("hash"),
+                                              hex_dump("text").alias("text"))
+    write_documents(docs, base, "bytes")
+    thin = tb.labels_of(spark, sf_dir).withColumn("hash", F.md5(F.col("id").cast("string")))
+    names = sorted(r["label"] for r in thin.select("label").distinct().collect())  # one entry per class
+    code = F.array_position(F.array(*[F.lit(x) for x in names]), F.col("label")).cast("string")
+    for part, rows in zip(("train", "test"), tb.split(thin), strict=True):
+        rows.orderBy("id").select("hash").write.text(f"{base}/{part}_x")
+        rows.orderBy("id").select(code).write.text(f"{base}/{part}_y")
+    found = nb_job(spark, f"{base}/train_x", f"{base}/train_y", f"{base}/test_x", base=base)
+    lines = read_manifest(spark, f"{base}/test_x").withColumnRenamed("id", "line")
+    named = found.withColumnRenamed("id", "line").join(lines, "line").join(thin.select("id", "hash"), "hash")
+    return written(named.select("id", F.element_at(F.array(*[F.lit(x) for x in names]), F.col("predictedClass"))
+                                .alias("predictedClass")), "predictions")
+
+
 @query
 def ordered_predictions(spark, sf_dir):
     """Predictions written in id order, read back by line."""
@@ -373,6 +445,17 @@ def token_preview(spark, sf_dir):
 
 # ---- random forest ------------------------------------------------------------
 
+@query
+def rf_root_splits(spark, sf_dir):
+    """The best first split of every token of the forest's input."""
+    vectors, model = _vectors(spark, sf_dir, "joint")
+    counts = vector_counts(tb.split(vectors)[0], model.vocabulary, "counts")
+    train = tb.split(tb.labels_of(spark, sf_dir))[0]
+    labels = index_labels(train, label_dictionary(train, "label"), "label").select("id", F.col("indexedLabel").alias("ix"))
+    best = root_splits(counts, labels)
+    return best.select("term", F.col("threshold").cast("bigint").alias("threshold"), "n_left", _r(F.col("gain")).alias("gain"))
+
+
 def _rf_scored(spark, sf_dir, labelled):
     train, test = tb.split(tb.corpus(spark, sf_dir, "joint"))
     fitted = fit_random_forest(train, min_df=RF_MIN_DF, labels=tb.split(tb.labels_of(spark, sf_dir))[0])
