@@ -100,7 +100,8 @@ def term_counts(df: DataFrame, vocabulary: DataFrame | None = None, features: st
     counts = e.groupBy(id_col, *keep, "term").agg(F.count(F.lit(1)).alias("cnt"))
     if vocabulary is None:
         return counts
-    return with_salt(counts, id_col).join(salted(vocabulary.select("term")), ["term", "_salt"], "left_semi").drop("_salt")
+    known = with_salt(counts, id_col).join(salted(vocabulary.select("term")), ["term", "_salt"], "left_semi")
+    return known.select(counts.columns)
 
 
 def vector_counts(df: DataFrame, terms: list[str], vector_col: str, id_col: str = "id",

@@ -23,5 +23,5 @@ def tfidf(counts: DataFrame, idf: DataFrame, id_col: str = "id") -> DataFrame:
     """Long-form counts ``[..., term, cnt]`` times idf: adds ``tfidf``.
     Frequent terms are split over join partitions."""
     weights = salted(idf.select("term", "idf"))
-    return with_salt(counts, id_col).join(weights, ["term", "_salt"]).drop("_salt").withColumn(
-        "tfidf", F.col("cnt") * F.col("idf"))
+    return with_salt(counts, id_col).join(weights, ["term", "_salt"]).select(
+        *counts.columns, "idf", (F.col("cnt") * F.col("idf")).alias("tfidf"))
