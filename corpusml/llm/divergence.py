@@ -2,23 +2,23 @@
 
 Which sources of a language speak differently from the others, and in which
 terms?  Only terms in at least ``MIN_DOCS`` documents of a language count.
-They are found without counting the long tail of rare terms:
-
-1. a text is read byte-wise (UTF-8 bytes as Latin-1 characters), cut into
-   terms once and written;
-2. level by level, every document gives its distinct term prefixes of
-   ``n`` bytes (``n`` doubles per level) that extend a prefix alive at the
-   level before; their distinct documents are counted per language and
-   prefixes below the threshold are discarded with all that extend them;
-3. a term shorter than ``n`` carries its end mark, so the count of its
-   "prefix" is that of the complete term: it is kept or gone.  The levels end
-   when no open prefix is alive.
+They are found without gathering the long tail of rare terms:
+
+1. a text is read byte-wise (UTF-8 bytes as Latin-1 characters) and cut once;
+   its distinct terms, each with an end mark, and their numbers are written;
+2. level by level, every document gives its distinct term prefixes of ``n``
+   bytes (``n`` doubles per level) that extend a prefix alive at the level
+   before; their documents are counted per language, and prefixes below the
+   threshold are discarded with all that extend them;
+3. the "prefix" of a term shorter than ``n`` ends with the mark, so its count
+   is that of the complete term: it is kept or gone.  The levels end when no
+   open prefix is alive.
 
 A document's prefixes are distinct inside its own row, so counting them needs
 neither a distinct over documents nor a shuffle before the map-side sums.
 The living prefixes are broadcast after their size has been measured; beyond
-the limit (``common.BROADCAST_BYTES``) the counts are summed first and then joined with
-them, with equal results.
+the limit (``common.BROADCAST_BYTES``) the counts are summed first and then
+joined with them, with equal results.
 
 The divergence of two sources is summed sparsely: with ``f`` the distance of
 two smoothed frequencies and ``0`` the frequency of an absent term,
@@ -37,6 +37,11 @@ columns are ignored.
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,57 +50,71 @@ from corpusml.llm.common import bounded, discard, is_bounded, materialize, text_
 MIN_DOCS = 10
 TOP_TERMS = 10
 #: Bytes of the first level's prefixes; every level doubles them.
-FIRST_PREFIX = 3
-#: A term on the byte-wise view: ASCII letters (lower-cased) and all bytes beyond ASCII.
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+FIRST_PREFIX = 8
 END = "\x00"
 SCALE = 1_000_000_000
+#: Counts up to this are multiplied by ``SCALE`` in a long.
+LONG_COUNT = 9_000_000_000
+TERM_LISTS = "lang string, source string, terms array<string>, counts array<long>"
+# Of the bytes of a term, A-Z are lower-cased; all but ASCII
+# letters and bytes beyond ASCII separate terms.
+LETTERS = bytes(b | 0x20 if chr(b).isascii() and chr(b).isalpha() else b if b > 0x7F else 0x20 for b in range(256))
 
 
-def byte_view(col: str) -> Column:
-    """The text with one character per UTF-8 byte, only A-Z lower-cased."""
-    text = text_or_empty(col)
-    ascii_only = F.octet_length(text) == F.char_length(text)
-    lowered = F.translate(text, UPPER, LOWER)
-    return F.when(ascii_only, F.lower(text)).otherwise(F.decode(F.encode(lowered, "UTF-8"), "ISO-8859-1"))
+def byte_terms(text: str) -> Counter:
+    """The terms of a text and their numbers, one character per byte."""
+    found = Counter(text.encode().translate(LETTERS).decode("latin-1").split(" "))
+    del found[""]
+    return found
 
 
 def from_byte_view(col: Column) -> Column:
     return F.decode(F.encode(col, "ISO-8859-1"), "UTF-8")
 
 
-def tokens(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """``[lang, source, words]``: the terms of every document, byte-wise."""
-    return docs.select(text_or_empty(lang_col).alias("lang"), text_or_empty(source_col).alias("source"),
-                       F.regexp_extract_all(byte_view(text_col), F.lit(TERM), F.lit(0)).alias("words"))
+def _term_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        bags = [byte_terms(t) for t in batch.column(2).to_pylist()]
+        ends = pa.array(np.concatenate(([0], np.cumsum([len(b) for b in bags]))), pa.int32())
+        terms = pa.array([t + END for b in bags for t in b], pa.string())
+        counts = pa.array([n for b in bags for n in b.values()], pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.ListArray.from_arrays(ends, terms),
+             pa.ListArray.from_arrays(ends, counts)], names=["lang", "source", "terms", "counts"])
+
+
+def term_lists(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
+    """``TERM_LISTS``: the distinct terms of every document, byte-wise and
+    marked, and their numbers there."""
+    rows = docs.select(text_or_empty(lang_col).alias("lang"), text_or_empty(source_col).alias("source"),
+                       text_or_empty(text_col).alias("text"))
+    return rows.mapInArrow(_term_lists, TERM_LISTS)
 
 
-def _counted(rows: DataFrame, keys: list[str], alive: DataFrame | None, on: list[str]) -> DataFrame:
-    """``[*keys, n]``: rows per key that has a partner in ``alive``."""
-    count = F.count(F.lit(1)).alias("n")
+def _summed(rows: DataFrame, keys: list[str], total: Column, alive: DataFrame | None, on: list[str]) -> DataFrame:
+    """``[*keys, n]``: ``total`` of the rows with a partner in ``alive``."""
     if alive is None:
-        return rows.groupBy(*keys).agg(count)
+        return rows.groupBy(*keys).agg(total.alias("n"))
     alive = alive.select(*on)
     if is_bounded(alive):
-        return rows.join(F.broadcast(alive), on, "left_semi").groupBy(*keys).agg(count)
+        return rows.join(F.broadcast(alive), on, "left_semi").groupBy(*keys).agg(total.alias("n"))
     # Too many to send to every task: sums are small rows that can meet them.
     kept = [F.first(c).alias(c) for c in on if c not in keys]  # these depend on the keys
-    return rows.groupBy(*keys).agg(count, *kept).join(alive.hint("merge"), on, "left_semi").select(*keys, "n")
+    return rows.groupBy(*keys).agg(total.alias("n"), *kept).join(alive.hint("merge"), on, "left_semi").select(*keys, "n")
 
 
-def kept_terms(words: DataFrame, min_docs: int = MIN_DOCS, first: int = FIRST_PREFIX) -> DataFrame:
-    """``[lang, word, n_docs]``: the (byte-wise) terms in at least
-    ``min_docs`` rows of a language, by prefixes refined level by level."""
+def kept_terms(lists: DataFrame, min_docs: int = MIN_DOCS, first: int = FIRST_PREFIX) -> DataFrame:
+    """``[lang, term, n_docs]``: the (byte-wise, marked) terms in at least
+    ``min_docs`` documents of a language, by prefixes refined level by level."""
     alive, done, used = None, [], []
     above, size = 0, first
     while True:
-        marked = F.transform(F.filter("words", lambda w: F.length(w) >= above),
-                             lambda w: F.substring(F.concat(w, F.lit(END)), 1, size))
-        rows = words.select("lang", F.explode(F.array_distinct(marked)).alias("prefix"))
+        longer = F.filter("terms", lambda t: F.length(t) > above) if above else F.col("terms")
+        prefixes = F.array_distinct(F.transform(longer, lambda t: F.substring(t, 1, size)))
+        rows = lists.select("lang", F.explode(prefixes).alias("prefix"))
         rows = rows.withColumn("stem", F.substring("prefix", 1, above))
-        level = _counted(rows, ["lang", "prefix"], alive, ["lang", "stem"]).where(F.col("n") >= min_docs)
-        level = materialize(level, f"prefixes_{size}")
+        counted = _summed(rows, ["lang", "prefix"], F.count(F.lit(1)), alive, ["lang", "stem"])
+        level = materialize(counted.where(F.col("n") >= min_docs), f"prefixes_{size}")
         used.append(level)
         complete = F.col("prefix").endswith(END)
         done.append(level.where(complete))
@@ -106,16 +125,19 @@ def kept_terms(words: DataFrame, min_docs: int = MIN_DOCS, first: int = FIRST_PR
     found = done[0]
     for part in done[1:]:
         found = found.unionAll(part)
-    kept = materialize(found.select("lang", F.expr("substring(prefix, 1, length(prefix) - 1)").alias("word"),
-                                    F.col("n").alias("n_docs")), "kept")
+    kept = materialize(found.select("lang", F.col("prefix").alias("term"), F.col("n").alias("n_docs")), "kept")
     discard(*used)
     return kept
 
 
 def smoothed(count: str, total: str, terms: str) -> Column:
-    """``1 + floor(SCALE * (count + 2) / (total + 2 * terms))``, exactly."""
-    return F.expr(f"cast(cast({SCALE} as decimal(18,0)) * (cast({count} as decimal(19,0)) + 2) "
-                  f"div (cast({total} as decimal(20,0)) + 2 * cast({terms} as decimal(19,0))) as bigint) + 1")
+    """``1 + floor(SCALE * (count + 2) / (total + 2 * terms))``, exactly:
+    in longs while they hold the product, in decimals beyond."""
+    wide = (f"cast({SCALE} as decimal(18,0)) * (cast({count} as decimal(19,0)) + 2) "
+            f"div (cast({total} as decimal(20,0)) + 2 * cast({terms} as decimal(19,0)))")
+    short = f"(cast({SCALE} as bigint) * ({count} + 2)) div ({total} + 2 * {terms})"
+    return F.expr(f"1 + CASE WHEN {count} < {LONG_COUNT} AND {total} < {LONG_COUNT << 20} AND {terms} < {LONG_COUNT} "
+                  f"THEN {short} ELSE cast({wide} as bigint) END")
 
 
 def distance(p: str, q: str) -> Column:
@@ -123,16 +145,18 @@ def distance(p: str, q: str) -> Column:
     return F.expr(f"(({p}) - ({q})) * (({p}) - ({q})) div (({p}) + ({q}))")
 
 
-def frequencies(words: DataFrame, kept: DataFrame) -> tuple[DataFrame, DataFrame]:
+def frequencies(lists: DataFrame, kept: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(groups, counts)``: ``[lang, source, total, terms, p0]`` for every
     group (``p0``: frequency of an absent term, null without kept terms) and
     ``[lang, source, term, n, p]`` for every kept term that a group has."""
     vocabulary = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("terms"))
-    rows = words.select("lang", "source", F.explode("words").alias("word"))
-    counts = materialize(_counted(rows, ["lang", "source", "word"], kept, ["lang", "word"]).withColumn(
-        "term", from_byte_view(F.col("word"))).drop("word"), "counts")
+    terms = lists.select("lang", "source", F.explode(F.arrays_zip("terms", "counts")).alias("t")).select(
+        "lang", "source", F.col("t.terms").alias("term"), F.col("t.counts").alias("n"))
+    counts = _summed(terms, ["lang", "source", "term"], F.sum("n"), kept, ["lang", "term"])
+    plain = from_byte_view(F.expr("substring(term, 1, length(term) - 1)"))
+    counts = materialize(counts.withColumn("term", plain), "counts")
     totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
-    groups = (words.select("lang", "source").distinct()
+    groups = (lists.select("lang", "source").distinct()
               .join(vocabulary, "lang", "left").join(totals, ["lang", "source"], "left")
               .select("lang", "source", F.coalesce("total", F.lit(0)).alias("total"),
                       F.coalesce("terms", F.lit(0)).alias("terms")))
@@ -188,9 +212,9 @@ def audit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sourc
     """``[lang, source, part, item, value, rank]``: per group the other
     sources of its language by divergence (part ``pair``, all of them) and
     its most over-used terms (part ``term``, the first ``top_terms``)."""
-    words = materialize(tokens(docs, text_col, lang_col, source_col), "words")
-    kept = kept_terms(words, min_docs)
-    groups, counts = frequencies(words, kept)
+    lists = materialize(term_lists(docs, text_col, lang_col, source_col), "terms")
+    kept = kept_terms(lists, min_docs)
+    groups, counts = frequencies(lists, kept)
     pairs = pair_divergence(groups, counts).select("lang", "source", F.lit("pair").alias("part"),
                                                    F.col("other").alias("item"), "value")
     terms = term_divergence(groups, counts).select("lang", "source", F.lit("term").alias("part"),
@@ -199,7 +223,7 @@ def audit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sourc
     rank = F.row_number().over(order).alias("rank")
     ranked = materialize(pairs.select("*", rank).unionByName(terms.select("*", rank).where(F.col("rank") <= top_terms)),
                          "audit")
-    discard(words, kept, groups, counts)
+    discard(lists, kept, groups, counts)
     return ranked
 
 

@@ -237,11 +237,12 @@ def test_kept_terms_by_every_first_prefix(spark):
     alphabet = ["a", "b", "é"]
     texts = [" ".join("".join(rng.choices(alphabet, k=rng.randrange(1, 7))) for _ in range(rng.randrange(0, 30)))
              for _ in range(80)]
-    words = common.materialize(divergence.tokens(frame(spark, texts)), "words")
+    common.prepare(spark)
+    lists = common.materialize(divergence.term_lists(frame(spark, texts)), "terms")
     df = Counter(w for t in texts for w in set(t.split()))
-    want = {w.encode(): n for w, n in df.items() if n >= 10}
+    want = {w.encode() + b"\0": n for w, n in df.items() if n >= 10}
     for first in (1, 2, 5, 40):
-        got = {r["word"].encode("latin-1"): r["n_docs"] for r in divergence.kept_terms(words, 10, first).collect()}
+        got = {r["term"].encode("latin-1"): r["n_docs"] for r in divergence.kept_terms(lists, 10, first).collect()}
         assert got == want
 
 
