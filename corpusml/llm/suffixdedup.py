@@ -348,7 +348,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                         text_or_empty(text_col).alias("text"))
     same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key"))
     renamed = by_row.withColumnsRenamed({"id": "_id", "key": "_key"})
-    candidates = materialize(texts.join(renamed, same).select("id", "key", "text", "windows"), "candidates")
+    # Equal rows have equal windows, whose counts hold the repeats: one of them is enough.
+    candidates = materialize(texts.join(renamed, same).select("id", "key", "text", "windows").dropDuplicates(
+        ["id", "key"]), "candidates")
     to_sort = candidates.select(F.encode("text", "UTF-8").alias("b"), F.explode(F.filter(
         "windows", lambda w: w["sorted"])).alias("w")).select(
         "w.k", "w.d", "w.n", "w.n_windows",
@@ -365,7 +367,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.collect_list(F.struct("a", "b")).alias("found"))
     cut = F.pandas_udf(_without(length), "spans array<struct<start:long,end:long>>, kept binary")
     changed = candidates.join(found, same).select("_id", "_key", cut("text", "found").alias("c")).select(
-        "_id", "_key", "c.*").dropDuplicates(["_id", "_key"])
+        "_id", "_key", "c.*")
     changed = materialize(changed, "changed")
     discard(by_row, candidates, to_sort, starts)
     return scanned.drop("windows").join(changed, same, "left").select(

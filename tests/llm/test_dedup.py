@@ -54,6 +54,19 @@ def test_repeats_of_the_whole_table(spark):
     assert got == {d: (n, sum(b - a for a, b in s), len(s), h) for d, (n, s, h) in want.items()}
 
 
+def test_many_equal_rows_of_one_id(spark):
+    """The work grows with the rows, not with their square."""
+    rng = random.Random(11)
+    text = "".join(rng.choices("abcdefgh \n", k=20_000))
+    other = text[:1000] + "".join(rng.choices("ijkl", k=3000))
+    df = frame(spark, [text] * 1500 + [other], [7] * 1500 + [8])
+    rows = suffixdedup.remove_repeats(df).collect()
+    want = brute_repeats([text, text, other], 400)
+    assert len(rows) == 1501
+    for r in rows:
+        assert (r["n_bytes"], [(s["start"], s["end"]) for s in r["spans"]], r["kept_sha256"]) == want[2 if r["doc_id"] == 8 else 0]
+
+
 def test_repeats_across_many_shards(spark, monkeypatch):
     """Passages with own surroundings, spread over shards and merged."""
     monkeypatch.setattr(suffixdedup, "SHARD_BYTES", 1500)
