@@ -53,6 +53,17 @@ def bounded(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     return F.broadcast(df) if is_bounded(df, limit) else df.hint("merge")
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each with as many leading ``_`` as make it new to ``df``."""
+    taken, free = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        free.append(name)
+    return free
+
+
 def text_or_empty(col: str) -> Column:
     return F.coalesce(F.col(col), F.lit(""))
 

@@ -14,7 +14,8 @@ join that Spark may split.
 Defined cases: null text is an empty text; lines end at line feeds only;
 texts of fewer lines than a window have none and stay; windows of lines that
 hold nothing but spaces are ignored; of repeated rows the first stays whole;
-an empty table gives no rows; other columns pass through.
+an empty table gives no rows; other columns pass through whatever their
+names are (a count whose name is taken gets a leading ``_``).
 """
 
 from __future__ import annotations
@@ -24,31 +25,31 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusml.llm.common import materialize, text_or_empty
+from corpusml.llm.common import free_names, materialize, text_or_empty
 
 WINDOW = 3
 #: Second hash: other start value, so the pair acts as 128 bits.
 SECOND = 7919
 
 
-def _windows(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """``[h1, h2, id, row, line]``: one row per window of ``docs``."""
+def _windows(rows: DataFrame, size: int) -> DataFrame:
+    """``[h1, h2, id, row, line]``: one row per window of ``rows [row, id,
+    text]``."""
     def window(i):
         own = [F.col("_lines")[i + k] for k in range(size)]
         blank = F.trim(F.concat(*own)) == ""
         return F.when(~blank, F.struct(F.xxhash64(*own).alias("h1"), F.xxhash64(F.lit(SECOND), *own).alias("h2")))
 
-    lines = docs.select(F.col(id_col).alias("id"), F.col("_row").alias("row"),
-                        F.split(text_col, "\n", -1).alias("_lines"))
+    lines = rows.select("id", "row", F.split("text", "\n", -1).alias("_lines"))
     starts = F.when(F.size("_lines") >= size, F.sequence(F.lit(0), F.size("_lines") - size))
     found = lines.select("id", "row", F.posexplode(F.transform(starts, window)).alias("line", "w"))
     return found.where("w IS NOT NULL").select("w.h1", "w.h2", "id", "row", "line")
 
 
-def covered_runs(docs: DataFrame, id_col: str, text_col: str, size: int = WINDOW) -> DataFrame:
-    """``[row, runs]``: for each row with repeated windows the (unmerged)
+def covered_runs(rows: DataFrame, size: int = WINDOW) -> DataFrame:
+    """``[row, runs]``: for each of ``rows [row, id, text]`` with repeated windows the (unmerged)
     line ranges ``[start, end]`` of later occurrences."""
-    windows = _windows(docs, id_col, text_col, size)
+    windows = _windows(rows, size)
     place = F.struct("id", "row", "line")
     repeated = materialize(windows.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
                            .where("n > 1").drop("n"), "repeated_windows")
@@ -76,22 +77,27 @@ def _without(texts: pd.Series, runs: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["text", "n_removed", "n_spans"])
 
 
+def count_columns(docs: DataFrame) -> list[str]:
+    """The names of the counts that ``dedup_lines`` adds to ``docs``."""
+    return free_names(docs, "n_lines", "n_removed", "n_spans")
+
+
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 size: int = WINDOW) -> DataFrame:
     """``docs`` with repeated passages cut from ``text_col``, plus
-    ``n_lines``, ``n_removed`` and ``n_spans`` (maximal removed runs)."""
-    numbered = materialize(docs.withColumn(text_col, text_or_empty(text_col))
-                           .withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    runs = covered_runs(numbered, id_col, text_col, size).withColumnRenamed("row", "_row")
-    joined = numbered.join(runs, "_row", "left")
+    ``n_lines``, ``n_removed`` and ``n_spans`` (maximal removed runs); see
+    ``count_columns`` for their names where ``docs`` has such columns."""
+    rows = materialize(docs.select(
+        F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"),
+        F.struct("*").dropFields(f"`{text_col}`").alias("doc")), "numbered")
+    joined = rows.join(covered_runs(rows, size), "row", "left")
     without = F.pandas_udf(_without, "text string, n_removed long, n_spans long")
-    cut = joined.withColumn("_cut", without(F.when(F.col("runs").isNotNull(), F.col(text_col)), "runs"))
-    lines = F.length(text_col) - F.length(F.replace(F.col(text_col), F.lit("\n"), F.lit(""))) + 1
-    return (cut.withColumn("n_lines", lines.cast("long"))
-            .withColumn(text_col, F.coalesce("_cut.text", text_col))
-            .withColumn("n_removed", F.coalesce("_cut.n_removed", F.lit(0)).cast("long"))
-            .withColumn("n_spans", F.coalesce("_cut.n_spans", F.lit(0)).cast("long"))
-            .select(*docs.columns, "n_lines", "n_removed", "n_spans"))
+    cut = joined.withColumn("cut", without(F.when(F.col("runs").isNotNull(), F.col("text")), "runs"))
+    lines = F.length("text") - F.length(F.replace(F.col("text"), F.lit("\n"), F.lit(""))) + 1
+    counts = [lines, F.coalesce("cut.n_removed", F.lit(0)), F.coalesce("cut.n_spans", F.lit(0))]
+    kept = [F.coalesce("cut.text", "text").alias(c) if c == text_col else F.col("doc")[c] for c in docs.columns]
+    return cut.select(*[k.alias(c) for k, c in zip(kept, docs.columns, strict=True)],
+                      *[n.cast("long").alias(c) for n, c in zip(counts, count_columns(docs), strict=True)])
 
 
 #: The same rows in DuckDB SQL.

@@ -2,17 +2,22 @@
 
 A fingerprint has 8 bytes.  Two fingerprints at ``max_bits`` or fewer
 differing bits share at least ``8 - max_bits`` bytes *at the same position*:
-that is the count filter.  The index therefore has one posting for every
-choice of that many positions (70 for 4 of 8) and the bytes found there;
-only fingerprints that meet in a posting can be linked.  Within a posting
-list the shared positional bytes of each pair are tallied, pairs under the
-guaranteed minimum are discarded and the rest is verified on its bits.
+the guaranteed minimum.  The inverted index is keyed by positions and the
+bytes found there, one position fewer than guaranteed; as a pair's first k
+shared positions lie among the first ``max_bits + k``, only choices of those
+are posted (35 for 3 positions at 4 bits).  Pairs that meet in a posting list
+have their shared positional bytes tallied over all 8 positions; pairs under
+the minimum are discarded and the rest is verified on its bits.
 
 Exact copies are one fingerprint, posted once.  Lists with a single entry
-are dropped by a count before anything is gathered; a list longer than
-``BLOCK`` is cut into blocks and every pair of its blocks is a group of its
-own, so no list meets in one task.  A group returns links that span its
-components, not all pairs: the same classes follow.
+are dropped by a count before anything is gathered.  A list longer than
+``BLOCK`` is not gathered but posted anew under a further position behind its
+last one, which again covers every pair, until the positions are as many as
+guaranteed; a list still longer is posted under half bytes of its other
+positions (``max_bits`` of those ``2 * max_bits`` are equal in every link).
+What then meets differs in the other half bytes alone: at 4 bits at most
+65,536 different fingerprints, however large the corpus is.  A group returns
+links that span its components, not all pairs: the same classes follow.
 
 Defined cases: null text is an empty text; texts without words have
 fingerprint zero and are linked like any other; repeated rows and repeated
@@ -22,7 +27,8 @@ component has no other; an empty table gives no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -37,6 +43,7 @@ from corpusml.llm.components import component_roots
 SHINGLE_WORDS = 4
 MAX_BITS = 4
 SEED = 42
+#: Longest posting list that is gathered while a further position can split it.
 BLOCK = 1024
 #: Postings that one task makes.
 TASK_POSTINGS = 500_000
@@ -77,15 +84,46 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return rows.select(id_col, F.xxhash64("_text").alias("text_key"), simhash("_text").alias("fp"))
 
 
+def signed(mask: int) -> int:
+    return mask - (1 << 64) if mask >> 63 else mask
+
+
+def mask_of(positions: Iterable[int], width: int = 8) -> int:
+    """The bits at ``positions`` of ``width`` bits each."""
+    return sum(((1 << width) - 1) << (width * p) for p in positions)
+
+
+def posting_masks(max_bits: int) -> list:
+    """The masks of the first index, then for every finer one the masks that
+    follow each mask before it."""
+    shared = 8 - max_bits
+    least = max(1, shared - 1)
+    choices = list(combinations(range(max_bits + least), least))
+    levels: list = [[mask_of(c) for c in choices]]
+    for k in range(least, shared):
+        after = {c: [(*c, p) for p in range(c[-1] + 1, max_bits + k + 1)] for c in choices}
+        levels.append({mask_of(c): [mask_of(d) for d in ds] for c, ds in after.items()})
+        choices = [d for ds in after.values() for d in ds]
+    halves = {}
+    for c in choices:
+        others = [h for h in range(16) if h // 2 not in c]
+        halves[mask_of(c)] = [mask_of(c) | mask_of(half, 4) for half in combinations(others, max_bits)]
+    return [*levels, halves]
+
+
+def tally(fps: np.ndarray, one: np.uint64) -> np.ndarray:
+    """How many positional bytes each of ``fps`` shares with ``one``."""
+    return ((fps ^ one).view(np.uint8).reshape(-1, 8) == 0).sum(axis=1)
+
+
 def spanning_links(fps: np.ndarray, max_bits: int, shared: int) -> list[tuple[int, int]]:
     """Links that span the components of one group of fingerprints."""
-    as_bytes = fps.view(np.uint8).reshape(-1, 8)
     links, rest = [], np.arange(len(fps))
     while len(rest) > 1:
         queue, rest = [rest[0]], rest[1:]
         while queue and len(rest):
             x = queue.pop()
-            near = (as_bytes[rest] == as_bytes[x]).sum(axis=1) >= shared
+            near = tally(fps[rest], fps[x]) >= shared
             near[near] = np.bitwise_count(fps[rest[near]] ^ fps[x]) <= max_bits
             found = rest[near]
             links += [(int(x), int(y)) for y in found]
@@ -99,35 +137,43 @@ def near_links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     of the fingerprints in ``distinct [fp]``."""
     if not 0 < max_bits < 8:
         raise ValueError("max_bits must be 1 to 7: the count filter needs a shared byte")
-    shared = 8 - max_bits
-    masks = [sum(0xFF << (8 * p) for p in positions) for positions in combinations(range(8), shared)]
-    masks = [m - (1 << 64) if m >> 63 else m for m in masks]
+    spark, shared = distinct.sparkSession, 8 - max_bits
+    first, *finer = posting_masks(max_bits)
     # The few bytes of a fingerprint become many postings: spread them first.
-    parts = max(1, -(-distinct.count() * len(masks) // TASK_POSTINGS))
-    postings = distinct.repartition(parts, "fp").select("fp", F.posexplode(F.array(*[
-        F.col("fp").bitwiseAND(F.lit(m)) for m in masks])).alias("choice", "bytes"))
-    lists = materialize(postings.groupBy("choice", "bytes").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-                        .withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).drop("n"), "lists")
-    # A merge join at every size: ``lists`` grows with the corpus.
-    members = postings.join(lists.hint("merge"), ["choice", "bytes"]).withColumn(
-        "own", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    groups = (members.withColumn("other", other)
-              .groupBy("choice", "bytes", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-              .agg(F.collect_list("fp").alias("fps")))
+    parts = max(1, -(-distinct.count() * len(first) // TASK_POSTINGS))
+    postings = distinct.repartition(parts, "fp").select(
+        "fp", F.explode(F.array(*[F.lit(signed(m)) for m in first])).alias("mask"))
 
     @F.pandas_udf("array<struct<u:long,v:long>>")
     def link(lists: pd.Series) -> pd.Series:
         found = []
         for fps in lists:
             own = np.unique(np.asarray(fps, dtype=np.int64)).view(np.uint64)
-            signed = own.view(np.int64).tolist()
-            found.append([{"u": signed[x], "v": signed[y]} for x, y in spanning_links(own, max_bits, shared)])
+            ids = own.view(np.int64).tolist()
+            found.append([{"u": ids[x], "v": ids[y]} for x, y in spanning_links(own, max_bits, shared)])
         return pd.Series(found)
 
-    found = materialize(groups.select(F.explode(link("fps")).alias("l")).select("l.u", "l.v").distinct(), "near")
-    discard(lists)
-    return found
+    found, keys, written = [], ["mask", "bytes"], []
+    for further in [*finer, None]:
+        postings = postings.withColumn("bytes", F.col("fp").bitwiseAND(F.col("mask")))
+        lists = materialize(postings.groupBy(keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "lists")
+        # A merge join at every size: ``lists`` grows with the corpus.
+        members = postings.join(lists.hint("merge"), keys)
+        fits = F.col("n") <= BLOCK if further else F.lit(True)
+        groups = members.where(fits).groupBy(keys).agg(F.collect_list("fp").alias("fps"))
+        found.append(materialize(groups.select(F.explode(link("fps")).alias("l")).select("l.u", "l.v"), "near"))
+        written.append(lists)
+        if not further or lists.where(~fits).isEmpty():
+            break
+        # A fixed table of the method: at most some thousand rows.
+        steps = spark.createDataFrame([(signed(m), signed(n)) for m, after in further.items() for n in after],
+                                      "mask long, after long")
+        postings = materialize(members.where(~fits).select("fp", "mask").join(F.broadcast(steps), "mask").select(
+            "fp", F.col("after").alias("mask")), "postings")
+        written.append(postings)
+    links = materialize(reduce(DataFrame.unionAll, found).distinct(), "links")
+    discard(*written, *found)
+    return links
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -154,8 +200,9 @@ def keep_one(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col
     smallest id stays, ties by text hash, one of equal rows."""
     place = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), "text_key")
     kept = materialize(found.groupBy("root").agg(F.min(place).alias("k")).select(
-        F.xxhash64("k.id", "k.text_key").alias("_place")), "kept")
-    keyed = docs.withColumn("_place", F.xxhash64(id_col, F.xxhash64(text_or_empty(text_col))))
+        F.xxhash64("k.id", "k.text_key").alias("place")), "kept")
+    keyed = docs.select(F.struct("*").alias("doc"),
+                        F.xxhash64(id_col, F.xxhash64(text_or_empty(text_col))).alias("place"))
     # The window needs the join's own partitioning: texts are shuffled once.
-    nth = F.row_number().over(Window.partitionBy("_place").orderBy(F.lit(0)))
-    return keyed.join(kept, "_place", "left_semi").withColumn("_nth", nth).where("_nth = 1").select(docs.columns)
+    nth = F.row_number().over(Window.partitionBy("place").orderBy(F.lit(0)))
+    return keyed.join(kept, "place", "left_semi").withColumn("nth", nth).where("nth = 1").select("doc.*")

@@ -221,7 +221,7 @@ def test_fingerprint_cases(text):
 
 @pytest.mark.parametrize("max_bits", [1, 4, 7])
 def test_near_links_lose_no_class(spark, monkeypatch, max_bits):
-    monkeypatch.setattr(simhash, "BLOCK", 8)  # long posting lists are cut and their blocks paired
+    monkeypatch.setattr(simhash, "BLOCK", 8)  # long posting lists are posted anew, down to half bytes
     rng = random.Random(max_bits)
     values = [rng.getrandbits(64) for _ in range(8)]
     for v in list(values):
@@ -241,6 +241,63 @@ def test_near_links_lose_no_class(spark, monkeypatch, max_bits):
         sorted(k for k, x in roots.items() if x == r) for r in set(roots.values()))
 
 
+@pytest.mark.parametrize("max_bits", [1, 4, 7])
+def test_every_link_meets_at_every_level_of_postings(max_bits):
+    rng = random.Random(max_bits)
+    first, *finer = simhash.posting_masks(max_bits)
+    for _ in range(200):
+        gone = 0
+        for b in rng.sample(range(64), max_bits):
+            gone |= 1 << b
+        masks = {m for m in first if not m & gone}
+        assert masks
+        for after in finer:
+            # Whichever lists were long: some list of the pair leads on to a common one.
+            masks = {n for m in masks for n in after[m] if not n & gone}
+            assert masks
+
+
+def test_long_lists_lose_no_pair(spark, monkeypatch):
+    # All share the first three bytes and most the first four: only half bytes split them.
+    rng = random.Random(3)
+    values = sorted({(rng.getrandbits(16) << 32) | (rng.getrandbits(2) << 24) | 0xABCDEF for _ in range(300)})
+    monkeypatch.setattr(simhash, "BLOCK", 4)
+    links = simhash.near_links(spark.createDataFrame([(v,) for v in values], "fp long"), 4)
+    roots = {r["node"]: r["root"] for r in components.component_roots(links).collect()}
+    assert [roots.get(v, v) for v in values] == [values[r] for r in brute_components(values, 4)]
+
+
+def test_the_tally_rejects_pairs():
+    # One byte in five positions differs by one bit: three shared bytes meet in a list, four are guaranteed.
+    a, b = np.uint64(0), np.uint64(0x0101010101000000)
+    c = np.uint64(0x0000000101000000)
+    assert simhash.tally(np.array([a, b, c]), a).tolist() == [8, 3, 6]
+    assert simhash.spanning_links(np.array([a, b]), 4, 4) == []
+    # The bits alone would link them at five: the tally is what drops the pair.
+    assert simhash.spanning_links(np.array([a, b]), 5, 4) == []
+    assert simhash.spanning_links(np.array([a, c]), 4, 4) == [(0, 1)]
+
+
+CLASHES = ["runs", "_row", "row", "id", "cut", "_cut", "doc", "line", "_lines", "n_lines", "n_removed", "N_SPANS",
+           "_place", "place", "_nth", "nth", "root", "text_key", "fp", "k", "a.b", "first"]
+
+
+def test_columns_with_internal_names_pass_through(spark):
+    text = "\n".join(f"shared line {i} of the passage" for i in range(6))
+    rows = [(i, t, *(f"{c}{i}" for c in CLASHES)) for i, t in enumerate([text, text + "\nown", "lonely words", None])]
+    df = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"`{c}` string" for c in CLASHES))
+    cut = linededup.dedup_lines(df)
+    counts = linededup.count_columns(df)
+    assert counts == ["_n_lines", "_n_removed", "_n_spans"]
+    assert cut.columns == [*df.columns, *counts]
+    got = {r[0]: tuple(r) for r in cut.collect()}
+    assert {k: (*v[:1], *v[2:-3]) for k, v in got.items()} == {r[0]: (*r[:1], *r[2:]) for r in rows}
+    assert got[0][1] == text and got[1][1] == "own" and got[1][-3:] == (7, 6, 1) and got[3][1] == ""
+    kept = simhash.keep_one(df, simhash.near_duplicates(df))
+    assert kept.columns == df.columns
+    assert set(map(tuple, kept.collect())) <= set(rows)
+
+
 def test_components_of_long_paths_and_stars(spark):
     path = [(i, i + 1) for i in range(60)]
     star = [(100, k) for k in range(101, 160)] + [(99, 150)]
