@@ -4,10 +4,11 @@ Documents become token pieces of at most ``capacity`` ids; pieces are packed
 into as few sequences as possible.  Only the histogram of piece lengths
 (at most ``capacity`` rows, whatever the corpus size) decides the packing:
 
-1. ``packing_plan`` takes the longest remaining length, looks up one, two or
-   three other lengths that sum to exactly its gap (availability counts are
-   consumed in bulk), and best-fits what is left.  The result is a list of
-   patterns ``(lengths, count)``.
+1. ``packing_plan`` takes the longest remaining length and looks up its gap
+   in a hash index of the sums of single lengths, pairs and triples
+   (``SumIndex``, updated as counts run out); what it finds fills the gap
+   exactly and is consumed in bulk.  What is left is best-fit.  The result is
+   a list of patterns ``(lengths, count)``.
 2. Every piece gets a rank within its length class and looks up the pattern
    slot that owns this rank: its sequence and its offset there.
 
@@ -127,33 +128,64 @@ def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return source.mapInArrow(encode, schema)
 
 
-def _complement(gap: int, most: int, free: np.ndarray) -> tuple[int, ...] | None:
-    """One, two or three available lengths (none above ``most``) that sum to
-    exactly ``gap``, longest first; ``free`` has the counts by length and is
-    scanned for pairs (no index of sums is kept)."""
-    if gap <= most and free[gap]:
-        return (gap,)
-
-    def pair(total: int, top: int) -> tuple[int, int] | None:
-        low, high = (total + 1) // 2, min(top, total - 1)
-        if low > high:
+class SumIndex:
+    """The available lengths by the sums of one, two and three of them.
+
+    ``free`` (counts by length) has the single sums, ``pairs`` the larger
+    members of every pair sum and ``triples`` the largest members of every
+    triple sum (the other two are the pair sum of the remainder), longest
+    first.  Its size depends on the capacity alone.  Lengths are asked for
+    from the longest down and counts only fall, so an entry that can fill
+    nothing any more leaves its list when it is met."""
+
+    def __init__(self, free: np.ndarray):
+        self.free = free
+        there, size = free > 0, len(free)
+        lengths, summed = np.flatnonzero(there)[::-1], np.zeros(size, dtype=bool)
+        self.pairs: dict[int, np.ndarray] = {}
+        self.triples: dict[int, np.ndarray] = {}
+        for total in range(2, size):
+            larger = lengths[(lengths < total) & (lengths * 2 >= total)]
+            larger = larger[there[total - larger]]
+            if len(larger):
+                self.pairs[total], summed[total] = larger, True
+        for total in range(3, size):
+            largest = lengths[(lengths < total - 1) & (lengths * 3 >= total)]
+            largest = largest[summed[total - largest]]
+            if len(largest):
+                self.triples[total] = largest
+
+    def _enough(self, lengths: tuple[int, ...]) -> bool:
+        return all(self.free[x] >= lengths.count(x) for x in lengths)
+
+    def _pair(self, total: int, held: tuple[int, ...]) -> tuple[int, int] | None:
+        """Two lengths up to the last of ``held`` that sum to ``total`` and
+        are available beside ``held``."""
+        if total not in self.pairs:
             return None
-        x = np.arange(high, low - 1, -1)
-        ok = (free[x] > 0) & (free[total - x] > 0) & ((x * 2 != total) | (free[x] > 1))
-        hit = int(np.argmax(ok))
-        return (int(x[hit]), total - int(x[hit])) if ok[hit] else None
-
-    if found := pair(gap, most):
-        return found
-    for x in np.flatnonzero(free[:min(most, gap - 2) + 1])[::-1]:
-        if 3 * x < gap:
+        larger = self.pairs[total]
+        larger = self.pairs[total] = larger[(self.free[larger] > 0) & (self.free[total - larger] > 0)]
+        for x in larger[np.searchsorted(-larger, -held[-1]):].tolist():
+            if self._enough((*held, x, total - x)):
+                return x, total - x
+        return None
+
+    def complement(self, length: int, gap: int) -> tuple[int, ...] | None:
+        """One, two or three lengths, none above ``length``, that sum to
+        exactly ``gap`` and are available beside one ``length``."""
+        if gap <= length and self._enough((length, gap)):
+            return (gap,)
+        if found := self._pair(gap, (length,)):
+            return found
+        largest = self.triples.pop(gap, None)
+        if largest is None:
             return None
-        free[x] -= 1
-        rest = pair(gap - int(x), int(x))
-        free[x] += 1
-        if rest:
-            return (int(x), *rest)
-    return None
+        largest = largest[(self.free[largest] > 0) & (largest <= length)]
+        for at, x in enumerate(largest.tolist()):
+            if self._enough((length, x)) and (rest := self._pair(gap - x, (length, x))):
+                self.triples[gap] = largest[at:]
+                return (x, *rest)
+        return None
 
 
 def packing_plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
@@ -168,13 +200,9 @@ def packing_plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tu
     if free[capacity]:
         plan.append(((capacity,), int(free[capacity])))
         free[capacity] = 0
+    index = SumIndex(free)
     for length in range(capacity - 1, 0, -1):
-        while free[length]:
-            free[length] -= 1
-            others = _complement(capacity - length, length, free)
-            free[length] += 1
-            if others is None:
-                break
+        while free[length] and (others := index.complement(length, capacity - length)):
             lengths = (length, *others)
             times = min(int(free[x]) // lengths.count(x) for x in lengths)
             for x in lengths:

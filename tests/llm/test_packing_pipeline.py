@@ -1,5 +1,7 @@
 """Packing and the pipeline against brute force."""
 
+import itertools
+import random
 import zlib
 from collections import Counter
 
@@ -112,6 +114,64 @@ def test_plan_uses_the_histogram_once_and_fits(lengths):
     assert used == histogram
 
 
+def brute_complements(length, gap, free):
+    """All ways to fill ``gap`` beside one ``length`` with one to three lengths up to it."""
+    own = Counter({x: n for x, n in enumerate(free.tolist()) if n and x <= length})
+    own[length] -= 1
+    return [c for k in (1, 2, 3) for c in itertools.combinations_with_replacement(sorted(own, reverse=True), k)
+            if sum(c) == gap and all(own[x] >= n for x, n in Counter(c).items())]
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_sum_index_finds_what_brute_force_finds(seed):
+    rng = random.Random(seed)
+    capacity = rng.choice([12, 24, 40])
+    free = np.zeros(capacity + 1, dtype=np.int64)
+    for x in rng.sample(range(1, capacity), rng.randrange(1, 11)):
+        free[x] = rng.choice([1, 1, 2, 5])
+    index = packing.SumIndex(free)
+    for length in range(capacity - 1, 0, -1):
+        while free[length]:
+            want = brute_complements(length, capacity - length, free)
+            found = index.complement(length, capacity - length)
+            assert found == (want[0] if want else None)
+            if not found:
+                break
+            for x in (length, *found):
+                free[x] -= 1
+                assert free[x] >= 0
+
+
+def fewest_sequences(lengths, capacity):
+    """Exact minimum by search over the open gaps."""
+    best = len(lengths)
+
+    def place(at, gaps):
+        nonlocal best
+        if len(gaps) >= best:
+            return
+        if at == len(lengths):
+            best = len(gaps)
+            return
+        for gap in {g for g in gaps if g >= lengths[at]}:
+            rest = list(gaps)
+            rest.remove(gap)
+            place(at + 1, [*rest, gap - lengths[at]])
+        place(at + 1, [*gaps, capacity - lengths[at]])
+
+    place(0, [])
+    return best
+
+
+@pytest.mark.parametrize("seed", range(25))
+def test_plan_is_near_the_brute_force_minimum(seed):
+    rng = random.Random(seed)
+    lengths = sorted((rng.randrange(1, 21) for _ in range(9)), reverse=True)
+    used = sum(times for _, times in packing.packing_plan(dict(Counter(lengths)), 20))
+    least = fewest_sequences(lengths, 20)
+    assert least <= used <= least + 1
+
+
 def test_exact_complements_come_first():
     plan = packing.packing_plan({30: 2, 10: 2, 20: 1, 15: 1, 5: 1, 25: 1}, 40)
     assert sum(n for _, n in plan) == 4  # 145 ids: four sequences of 40 are the least
