@@ -42,10 +42,19 @@ CHARS_PER_TOKEN = 2.1
 _DIGEST = (
     r"[0-9a-fA-F]{32}|[0-9a-fA-F]{40}|[0-9a-fA-F]{56}|[0-9a-fA-F]{64}|[0-9a-fA-F]{96}|[0-9a-fA-F]{128}"
     r"|[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")  # UUID
-KNOWN = re.compile(
-    _DIGEST
-    + r"|[0-9+/_=-]+"  # numbers, dates, rules
-    r"|(sha(1|224|256|384|512)|md5)-[A-Za-z0-9+/=_-]+")
+# Digest bytes by algorithm.
+_DIGEST_BYTES = {"md5": 16, "sha1": 20, "sha224": 28, "sha256": 32, "sha384": 48, "sha512": 64}
+
+
+def _named_digest(name: str, size: int) -> str:
+    """A digest of ``size`` bytes behind its name, in hexadecimal or base64."""
+    return rf"{name}-([0-9a-fA-F]{{{2 * size}}}|[A-Za-z0-9+/_-]{{{-(-8 * size // 6)}}}={{0,{-size % 3}}})"
+
+
+KNOWN = re.compile("|".join([
+    _DIGEST,
+    r"[0-9+/_=-]+",  # numbers, dates, rules
+    *(_named_digest(*digest) for digest in _DIGEST_BYTES.items())]))
 KNOWN_PART = re.compile(rf"(?<![A-Za-z0-9+])({_DIGEST})(?![A-Za-z0-9+])")
 
 Span = tuple[str, int, int]
