@@ -25,8 +25,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below the toxicity threshold stay."""
     prepare(spark)
     model = toxicity_model(spark, docs, sf_dir)
-    scored = docs.withColumn("_toxicity", toxicity.score_column(spark, model))
-    return scored.where(F.col("_toxicity") < TOXIC_FROM).select(docs.columns)
+    return docs.where(toxicity.score_column(spark, model) < TOXIC_FROM)
 
 
 def cut_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,10 +33,12 @@ def cut_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     loses all its lines goes.  ``n_chars`` follows the text."""
     prepare(spark)
     cut = linededup.dedup_lines(docs)
-    changed = F.col("n_removed") > 0
-    kept = cut.where(F.col("n_removed") < F.col("n_lines"))
+    n_lines, n_removed, _ = linededup.count_columns(docs)
+    changed = F.col(n_removed) > 0
+    kept = cut.where(F.col(n_removed) < F.col(n_lines))
     length = F.when(changed, F.length(text_or_empty("text"))).otherwise(F.col("n_chars"))
-    return kept.withColumn("n_chars", length.cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+    return kept.withColumn("n_chars", length.cast(docs.schema["n_chars"].dataType)).drop(
+        *linededup.count_columns(docs))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
