@@ -16,8 +16,8 @@ from corpusml.llm import decontaminate, linededup, packing, simhash, toxicity
 from corpusml.llm.common import prepare, materialize, table, text_or_empty
 from corpusml.llm.registry import TOXIC_FROM, toxicity_model
 
-#: A trained classifier and a tokenizer have no SQL form; the tests hold the
-#: stages against brute-force versions.
+#: A trained classifier and a tokenizer have no SQL form.  The tests hold each
+#: stage to its operator; the operators have brute-force tests of their own.
 ORACLE_SQL = None
 
 
