@@ -170,12 +170,16 @@ FROM documents"""
 FROM documents d JOIN labels l ON d.doc_id = l.doc_id"""
     q["manifest_restrict"] = """SELECT doc_id AS id, md5(text) AS hash, n_chars FROM documents
 WHERE doc_id IN (SELECT doc_id FROM labels)"""
+    q["manifest_filter"] = """SELECT doc_id AS id, md5(doc_id::VARCHAR) AS hash, CAST(strlen(text) AS BIGINT) AS n_tokens
+FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)"""
     q["corpus_union"] = """SELECT 'documents' AS corpus, doc_id AS id, CAST(strlen(text) AS BIGINT) AS n_tokens FROM documents
 UNION ALL
 SELECT 'benchmark' AS corpus, item_id AS id, CAST(strlen(text) AS BIGINT) AS n_tokens FROM benchmark"""
     q["byte_token_counts"] = token_counts("bytes")
     q["asm_token_counts"] = token_counts("asm")
     q["joint_token_counts"] = token_counts("joint")
+    q["joint_corpus_buckets"] = f"""SELECT id, CAST(len(t) AS BIGINT) AS n_tokens, md5(array_to_string(t, ' ')) AS tokens_md5
+FROM (SELECT doc_id AS id, {joint_tokens()} AS t FROM documents)"""
     q["lowercase_effect"] = "\nUNION ALL\n".join(
         f"SELECT '{k}' AS kind, token, cnt FROM ({token_counts(k, True)})" for k in ("bytes", "asm", "joint"))
     q["ngram_counts"] = f"""WITH d AS (SELECT {byte_tokens()} AS t FROM documents)

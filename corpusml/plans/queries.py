@@ -20,6 +20,7 @@ from corpusml.operators.bayes import nb_parameters, sparse_scores
 from corpusml.operators.evaluate import accuracy, predictions, preview, write_predictions
 from corpusml.operators.labels import index_labels, label_decoder, label_dictionary, label_indexer
 from corpusml.operators.matching import match_vocabulary
+from corpusml.operators.restrict import likely_listed
 from corpusml.operators.splits import root_splits
 from corpusml.operators.vocabulary import (
     OrderedCountVectorizer, build_vocabulary, filtered_stats, term_counts, vector_counts,
@@ -28,6 +29,7 @@ from corpusml.operators.weighting import idf_weights, tfidf
 from corpusml.plans import tables as tb
 from corpusml.plans.jobs import fit_naive_bayes, fit_random_forest, nb_job
 from corpusml.session import scratch_dir, written
+from corpusml.sources.buckets import bucketed_joint_corpus, write_buckets
 from corpusml.sources.corpus import document_url as url_of
 from corpusml.sources.corpus import labelled_manifest, read_manifest
 from corpusml.sources.files import write_documents
@@ -89,7 +91,7 @@ def global_line_index(spark, sf_dir):
 def manifest_scan(spark, sf_dir):
     """A manifest and a label file, read back and joined by line."""
     folder = _files(spark)
-    docs = tb.documents(spark, sf_dir).select("doc_id", F.md5("text").alias("hash"), "n_chars")
+    docs = tb.table(spark, sf_dir, "documents").select("doc_id", F.md5("text").alias("hash"), "n_chars")
     docs.orderBy("doc_id").select("hash").write.text(f"{folder}/x")
     docs.orderBy("doc_id").select(F.concat(F.col("n_chars").cast("string"), F.lit(" "))).write.text(f"{folder}/y")
     return labelled_manifest(spark, f"{folder}/x", f"{folder}/y")
@@ -112,11 +114,13 @@ def int_parse(spark, sf_dir):
 
 @query
 def labelled_corpus(spark, sf_dir):
-    """Byte-token corpus joined with the label table.  Tokens
-    are counted next to the scan, so that only ``(id, count)`` meets the
-    labels, whatever join Spark picks."""
-    counts = tb.corpus(spark, sf_dir, "bytes").select("id", F.size("features").cast("bigint").alias("n_tokens"))
-    lab = tb.table(spark, sf_dir, "labels").withColumnRenamed("doc_id", "id")
+    """Byte-token corpus joined with the label table.  Only
+    documents that a filter of the labelled ids lets pass are tokenized, next
+    to the scan: ``(id, count)`` meets the labels, whatever join Spark picks."""
+    lab = tb.table(spark, sf_dir, "labels")
+    docs = likely_listed(tb.documents(spark, sf_dir), lab.select("doc_id"), "doc_id")
+    counts = tb.corpus(spark, sf_dir, "bytes", docs=docs).select("id", F.size("features").cast("bigint").alias("n_tokens"))
+    lab = lab.withColumnRenamed("doc_id", "id")
     return counts.join(lab, "id").select("id", "n_tokens", "quality", "toxic")
 
 
@@ -129,6 +133,19 @@ def manifest_restrict(spark, sf_dir):
     return docs.join(listed, "id", "left_semi")
 
 
+@query
+def manifest_filter(spark, sf_dir):
+    """The same restriction by a manifest of any size: bitmaps of its
+    hashes are broadcast, texts that they let pass are counted beside the
+    scan, and a join of thin rows removes false positives."""
+    of_id = F.md5(F.col("doc_id").cast("string")).alias("hash")
+    docs = tb.documents(spark, sf_dir).select(F.col("doc_id").alias("id"), of_id, "text")
+    listed = tb.table(spark, sf_dir, "labels").select(of_id)
+    counted = likely_listed(docs, listed, "hash").select(
+        "id", "hash", F.size(byte_tokens(hex_dump("text"))).cast("bigint").alias("n_tokens"))
+    return counted.join(listed.hint("merge"), "hash", "left_semi").select("id", "hash", "n_tokens")
+
+
 @query
 def corpus_union(spark, sf_dir):
     """G1: two corpora as one (bag union by name)."""
@@ -160,6 +177,27 @@ def joint_token_counts(spark, sf_dir):
     return _token_counts(tb.corpus(spark, sf_dir, "joint"))
 
 
+BUCKET_CHARS = 32 << 20
+
+
+@query
+def joint_corpus_buckets(spark, sf_dir):
+    """Both views of the documents as tables bucketed by hash,
+    joined in place: joint tokens in order, of every line of a manifest."""
+    thin = tb.table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("id"), F.md5(F.col("doc_id").cast("string")).alias("hash"), "n_chars")
+    chars = thin.agg(F.sum("n_chars")).first()[0] or 0
+    buckets = max(spark.sparkContext.defaultParallelism, -(-int(chars) // BUCKET_CHARS))
+    folder = scratch_dir(spark, "buckets")
+    name = "documents_" + folder[-32:]
+    docs = tb.documents(spark, sf_dir).withColumn("hash", F.md5(F.col("doc_id").cast("string")))
+    for kind, view in (("bytes", hex_dump("text")), ("asm", asm_listing("text"))):
+        write_buckets(docs.select("hash", view.alias("text")), f"{name}_{kind}", f"{folder}/{kind}", buckets)
+    found = bucketed_joint_corpus(spark, thin.drop("n_chars"), name, buckets, tb.LISTING_WORDS)
+    return found.select("id", F.size("features").cast("bigint").alias("n_tokens"),
+                        F.md5(F.array_join("features", " ")).alias("tokens_md5"))
+
+
 @query
 def lowercase_effect(spark, sf_dir):
     """H6: the three tokenizers on lower-cased text."""

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from corpusml.functions.tokens import (
     asm_tokens, byte_tokens, explode_tokens, joint_tokens, join_token_lists, parse_int, with_line_break,
 )
+from corpusml.operators.restrict import likely_listed
 from corpusml.session import written
 from corpusml.sources.files import glob_escaped, document_names
 from corpusml.sources.lines import read_lines
@@ -114,17 +115,22 @@ def _texts(spark: SparkSession, hashes: DataFrame, base: str, kind: str, table:
 
 
 def read_documents(spark: SparkSession, manifest: DataFrame, base="./data", kind: str = "bytes",
-                   aliases: Mapping[str, str] | None = None, table: str | None = None) -> DataFrame:
+                   aliases: Mapping[str, str] | None = None, table: str | None = None,
+                   prefilter: bool = False) -> DataFrame:
     """``DataFrame[id, hash, url, text, ...]``: one row per manifest line that
     names a document (blank lines match nothing; duplicates give one row
     per line).  Further columns of ``manifest`` (labels) are kept.  ``kind``
     is ``bytes`` or ``asm``; ``table`` is an ingested corpus to read instead
-    of the files (zero-length files are still looked up at ``base``)."""
+    of the files (zero-length files are still looked up at ``base``).
+    ``prefilter`` drops most texts that are not listed before the join, for
+    manifests too big to broadcast (``likely_listed``)."""
     if kind not in ("bytes", "asm"):
         raise ValueError(f"kind must be 'bytes' or 'asm', got {kind!r}")
     base = normalize_base(base, aliases)
     wanted = manifest.where(F.col("hash") != "")
     texts = _texts(spark, wanted.select("hash").distinct(), base, kind, table)
+    if prefilter:
+        texts = likely_listed(texts, wanted, "hash")
     url = F.concat(F.lit(f"{base}/{kind}/"), F.col("hash"), F.lit(f".{kind}"))
     extra = [c for c in wanted.columns if c not in ("id", "hash")]
     return wanted.join(texts, "hash").select("id", "hash", url.alias("url"), "text", *extra)
@@ -188,27 +194,30 @@ def labelled_manifest(spark: SparkSession, manifest, labels=None) -> DataFrame:
 def load_corpus(spark: SparkSession, manifest, labels=None, base="./data", kind: str = "bytes",
                 vocabulary: Iterable[str] | None = None, lowercase: bool = False,
                 aliases: Mapping[str, str] | None = None, table: str | None = None,
-                ordered: bool = True) -> DataFrame:
+                ordered: bool = True, prefilter: bool = False) -> DataFrame:
     """Labelled (or unlabelled) token corpus.
 
     bytes / asm -> ``[id, url, features]``; joint -> ``[id, features]``;
     plus ``label bigint`` when ``labels`` is given.  Labels join the
     manifest first, so only labelled documents are read and tokenized.
     ``table``: an ingested corpus (``ingest_documents``).  ``ordered=False``
-    gives joint tokens as bags (``joint_token_bags``).  Caching is left to
-    the caller.
+    gives joint tokens as bags (``joint_token_bags``); for ordered ones
+    without a shuffle see ``bucketed_joint_corpus``.  ``prefilter``: see
+    ``read_documents``.  Caching is left to the caller.
     """
     if kind not in KINDS:
         raise ValueError(f"kind must be one of {KINDS}, got {kind!r}")
     wanted = labelled_manifest(spark, manifest, labels)
     label = [] if labels is None else ["label"]
     if kind != "joint":
-        docs = read_documents(spark, wanted, base, kind, aliases, table)
+        docs = read_documents(spark, wanted, base, kind, aliases, table, prefilter)
         return docs.select("id", "url", tokenize("text", kind, vocabulary, lowercase).alias("features"), *label)
     base_url = normalize_base(base, aliases)
     hashes = wanted.select("hash").distinct()
-    listed = [_texts(spark, hashes, base_url, side, table).join(hashes, "hash", "left_semi")
-              for side in ("bytes", "asm")]
+    texts = [_texts(spark, hashes, base_url, side, table) for side in ("bytes", "asm")]
+    if prefilter:
+        texts = [likely_listed(t, hashes, "hash") for t in texts]
+    listed = [t.join(hashes, "hash", "left_semi") for t in texts]
     if ordered:
         per_hash = joint_corpus(*listed, key="hash", vocabulary=vocabulary, lowercase=lowercase)
     else:
