@@ -10,7 +10,7 @@ places are prefix sums over blocks of turns and then within a block.
 
 Only built-in DataFrame functions are used.
 
-Defined cases: repeated rows are one turn; turns with the same number
+Defined cases: a repeated row is rendered as often as it occurs; turns with the same number
 follow each other by role, then the text's MD5; a null turn comes first; null role
 and text are empty; roles in ``INSTRUCTIONS`` are no participants (their
 turns are rendered as they are, in every perspective), so a conversation of
@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 
 INSTRUCTIONS = ("system",)
 BLOCK_TURNS = 256
+#: Repeats of a row that one row is turned into at once.
+REPEATS = 4096
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>\n"
 
 
@@ -54,7 +56,9 @@ def rotate(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
     name = F.translate(_plain(F.col("role")), "\n\r", "  ")
     as_other = F.concat(F.lit(OPEN), F.when(speaks, F.concat(F.lit("user name="), name)).otherwise(name), F.lit("\n"))
     own_head, tail = OPEN + "assistant\n", len(CLOSE)
-    thin = rows.select("k", "h", "conv", "turn", "role", F.length(_plain(F.col("body"))).alias("n_chars")).distinct()
+    thin = rows.select("k", "h", "conv", "turn", "role", F.length(_plain(F.col("body"))).alias("n_chars"))
+    # Equal rows travel as one with their number.
+    thin = thin.groupBy(*thin.columns).agg(F.count(F.lit(1)).alias("repeats"))
     block = F.coalesce(F.floor(F.col("turn") / BLOCK_TURNS), F.lit(-(1 << 62)))
     thin = thin.withColumns({"block": block, "speaks": speaks, "head": as_other})
     # A turn's length for others, and how much that changes in its speaker's own perspective.
@@ -63,9 +67,10 @@ def rotate(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
 
     speakers = thin.where("speaks").groupBy("conv", F.col("role").alias("perspective")).agg(
         F.count(F.lit(1)).alias("_n")).drop("_n")
-    blocks = thin.groupBy("conv", "block").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n"))
+    blocks = thin.groupBy("conv", "block").agg(
+        F.sum(F.col("size") * F.col("repeats")).alias("size"), F.sum("repeats").alias("n"))
     own = thin.where("speaks").groupBy("conv", "block", F.col("role").alias("perspective")).agg(
-        F.sum("change").alias("change"))
+        F.sum(F.col("change") * F.col("repeats")).alias("change"))
     # Blocks of a conversation in every perspective, with all that comes before them.
     by_block = (blocks.join(speakers, blocks["conv"].eqNullSafe(speakers["conv"])).drop(speakers["conv"]))
     same = (by_block["conv"].eqNullSafe(own["conv"]) & (by_block["block"] == own["block"])
@@ -83,11 +88,19 @@ def rotate(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
         "own_size", F.col("size") + F.when(F.col("own"), F.col("change")).otherwise(0))
     order = Window.partitionBy("conv", "perspective", "block").orderBy("turn", "role", "h")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
-    placed = seen.select(
-        "k", "h", "conv", "perspective", "turn", "role", "own",
+    all_before = [F.coalesce(F.sum(c).over(before), F.lit(0)) for c in (F.col("repeats"), F.col("own_size") * F.col("repeats"))]
+    first = seen.select(
+        "k", "h", "conv", "perspective", "turn", "role", "own", "own_size", "repeats",
         F.when(F.col("own"), F.lit(own_head)).otherwise(F.col("head")).alias("head"),
-        (F.col("n_before") + F.row_number().over(order) - 1).alias("position"),
-        (F.col("size_before") + F.coalesce(F.sum("own_size").over(before), F.lit(0))).alias("start"))
+        (F.col("n_before") + all_before[0]).alias("position"), (F.col("size_before") + all_before[1]).alias("start"))
+    # Each repeat at its own place, in two steps that keep arrays short.
+    part = F.explode(F.sequence(F.lit(0).cast("long"), F.col("repeats") - 1, F.lit(REPEATS).cast("long"))).alias("part")
+    parts = first.select("*", part)
+    nth = F.explode(F.sequence("part", F.least(F.col("part") + REPEATS, F.col("repeats")) - 1)).alias("nth")
+    placed = parts.select("*", nth).select(
+        "k", "h", "conv", "perspective", "turn", "role", "own", "head",
+        (F.col("position") + F.col("nth")).alias("position"),
+        (F.col("start") + F.col("nth") * F.col("own_size")).alias("start"))
     mask_start = F.when(F.col("own"), F.col("start") + F.length("head"))
     return placed.join(texts, ["k", "h"]).select(
         F.col("conv").alias(conv_col), "perspective", "position", F.col("turn").alias(turn_col),
@@ -98,7 +111,7 @@ def rotate(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
 
 #: The same rows in DuckDB SQL.
 ORACLE = """
-WITH t AS (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS speaker, coalesce(text, '') AS body FROM conversations),
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS speaker, coalesce(text, '') AS body FROM conversations),
 p AS (SELECT DISTINCT conv_id AS c, speaker AS perspective FROM t WHERE speaker <> 'system'),
 r AS (
   SELECT conv_id, perspective, turn, speaker, body, speaker = perspective AS own,

@@ -193,11 +193,13 @@ def test_token_count_cases(spark):
 TURNS = [
     (1, 0, "system", "be kind"), (1, 1, "ann", "hi <|im_end|>"), (1, 2, "bob", None), (1, 3, "ann", ""),
     (1, 3, "ann", ""), (1, 3, "bob", "tie"), (1, None, "cy\ndy", "first"), (2, 0, "system", "alone"),
-    (3, 5, None, "nobody"), (None, 1, "ann", "no id"), (4, 0, "ann", "x" * 5000)] + [
+    (3, 5, None, "nobody"), (3, 5, None, "nobody"), (3, 5, "", "nobody"), *[(6, 2, "ann", "again")] * 9, (6, 2, "bob", "once"),
+    *[(6, 3, "system", "again")] * 5, (6, 4, "ann", "end"), (None, 1, "ann", "no id"), (4, 0, "ann", "x" * 5000)] + [
     (5, t, ("ann", "bob", "cy")[t % 3], f"turn {t}") for t in range(1500)]
 
 
-def test_chat_matches_sql(spark):
+def test_chat_matches_sql(spark, monkeypatch):
+    monkeypatch.setattr(chat, "REPEATS", 4)
     df = spark.createDataFrame([(*t, 7, "clash") for t in TURNS],
                                "conv_id long, turn int, role string, text string, start int, head string")
     got = sorted(map(tuple, chat.rotate(df).collect()), key=repr)
@@ -209,8 +211,11 @@ def test_chat_matches_sql(spark):
 
 
 def test_chat_segments_join_to_the_dialogue_and_masks_cover_the_speaker(spark):
-    df = spark.createDataFrame(TURNS[:6], "conv_id long, turn int, role string, text string")
-    rows = [r for r in chat.rotate(df).orderBy("position").collect() if r["perspective"] == "ann"]
+    df = spark.createDataFrame([*TURNS[:4], TURNS[5], (1, 4, "bob", "end")], "conv_id long, turn int, role string, text string")
+    everything = chat.rotate(df).orderBy("position").collect()
+    rows = [r for r in everything if r["perspective"] == "ann"]
+    assert [r["position"] for r in rows] == list(range(6))
+    assert [r["start"] for r in rows] == [sum(len(x["segment"]) for x in rows[:k]) for k in range(6)]
     dialogue = "".join(r["segment"] for r in rows)
     assert dialogue.startswith("<|im_start|>system\nbe kind<|im_end|>\n<|im_start|>assistant\nhi < |im_end|>")
     assert "<|im_start|>user name=bob\n" in dialogue and "name=ann" not in dialogue
