@@ -16,8 +16,8 @@ prefix is a single token:
 4. a candidate is verified by finding all its shingles at their places.
 
 Only built-in DataFrame functions are used.  The benchmark's shingles are
-broadcast to the document scan if they are at most ``BROADCAST_SHINGLES``
-rows; beyond that the same join is a shuffle join.
+broadcast to the document scan if they are at most ``SHINGLE_BYTES`` of
+measured size; beyond that the same join is a shuffle join.
 
 Defined cases: null texts have no words; items without words give no
 window; repeated items count once by id, an item without an id has the id
@@ -30,11 +30,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusml.llm.common import discard, materialize, text_or_empty
+from corpusml.llm.common import discard, is_bounded, materialize, text_or_empty
 
 WINDOW = 10
 SHINGLE = 4
-BROADCAST_SHINGLES = 500_000
+SHINGLE_BYTES = 32 << 20
 #: Word characters after lower-casing: digits, a-z and everything beyond ASCII.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -103,7 +103,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     wanted = tokens.select(F.explode("tokens.shingle").alias("shingle")).union(
         docs.sparkSession.createDataFrame([("",)], "shingle string")).distinct()
     wanted = materialize(wanted, "shingles")
-    small = wanted.count() <= BROADCAST_SHINGLES
+    small = is_bounded(wanted, SHINGLE_BYTES)
     found = materialize(occurrences(docs, F.broadcast(wanted) if small else wanted, id_col, text_col, sizes),
                         "occurrences")
     places = found.where("pos >= 0").select("row", "n_words", "pos", "shingle")

@@ -365,9 +365,9 @@ TEXTS = [None, "", "x the QUICK brown-fox jumps over the lazy dog and runs far",
          "one two three four five six seven eight nine ten " * 3, "no id here now ok", "SOLO " * 20000, "a a a a a a a a a"]
 
 
-@pytest.mark.parametrize("bound", [decontaminate.BROADCAST_SHINGLES, 0])
+@pytest.mark.parametrize("bound", [decontaminate.SHINGLE_BYTES, 0])
 def test_contamination_cases(spark, monkeypatch, bound):
-    monkeypatch.setattr(decontaminate, "BROADCAST_SHINGLES", bound)
+    monkeypatch.setattr(decontaminate, "SHINGLE_BYTES", bound)
     items = spark.createDataFrame([(i, t, 0, "x") for i, t in ITEMS], "item_id long, text string, row long, w string")
     df = frame(spark, TEXTS + TEXTS[2:4], [*range(len(TEXTS)), 2, None])
     found = decontaminate.report(*decontaminate.contamination(df, items))
