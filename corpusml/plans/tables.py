@@ -17,7 +17,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusml.functions.tokens import join_token_lists, joint_tokens, with_line_break
+from corpusml.functions.batches import dumped_byte_tokens
+from corpusml.functions.tokens import add_ngrams, join_token_lists, joint_tokens, with_line_break
 from corpusml.functions.views import asm_listing, hex_dump
 from corpusml.sources.corpus import tokenize
 
@@ -79,6 +80,21 @@ def corpus(spark: SparkSession, sf_dir: str, kind: str = "bytes", lowercase: boo
                        token_column(kind, vocabulary, lowercase).alias("features"))
 
 
+def token_lists(spark: SparkSession, sf_dir: str, kind: str = "bytes", part: str | None = None,
+                ngram: int = 1) -> DataFrame:
+    """``[id, label, features]`` of the whole ``documents`` table or of one
+    ``part`` of the split (``train``, ``test``): the ``ngram``-grams of
+    ``corpus``.  Byte tokens are made batch by batch next to the scan
+    (``dumped_byte_tokens``), for jobs that read every token; whatever needs
+    no tokens is left to ``labels_of``."""
+    docs = documents(spark, sf_dir)
+    if part is not None:
+        docs = split(docs, "doc_id")[("train", "test").index(part)]
+    if kind != "bytes":
+        return add_ngrams(corpus(spark, sf_dir, kind, docs=docs), ngram)
+    return dumped_byte_tokens(docs.select(F.col("doc_id").alias("id"), F.col("lang").alias("label"), "text"), ngram)
+
+
 def token_column(kind: str, vocabulary=LISTING_WORDS, lowercase: bool = False, text: str = "text") -> Column:
     """Tokens of a text column seen as ``kind``."""
     if kind != "joint":
