@@ -20,7 +20,7 @@ from corpusml.functions.tokens import (
 )
 from corpusml.operators.restrict import likely_listed
 from corpusml.session import written
-from corpusml.sources.files import glob_escaped, document_names
+from corpusml.sources.files import NAMES_PER_TASK, document_names, file_sizes, glob_escaped, opens_by_name, text_of
 from corpusml.sources.lines import read_lines
 
 KINDS = ("bytes", "asm", "joint")
@@ -101,11 +101,27 @@ def _empty_documents(spark: SparkSession, hashes: DataFrame, docs: DataFrame, ba
     return None if found.isEmpty() else found.select("hash")
 
 
+def _listed(spark: SparkSession, hashes: DataFrame, base: str, kind: str) -> DataFrame:
+    """``[hash, size]`` of the listed documents; a name of no document fails.
+    The manifest says which files there are: the driver holds no folder's
+    listing, whose size would be the number of documents."""
+    hashes = written(hashes, "names")
+    tasks = max(spark.sparkContext.defaultParallelism, -(-hashes.count() // NAMES_PER_TASK))
+    found = written(file_sizes(hashes.repartition(tasks, "hash"), base, kind), "sizes")
+    bad = found.where("size IS NULL").first()
+    if bad is not None:
+        raise FileNotFoundError(f"document not found: {base}/{kind}/{bad['hash']}.{kind} (missing, hidden or nested)")
+    return found.repartition(tasks, "hash")
+
+
 def _texts(spark: SparkSession, hashes: DataFrame, base: str, kind: str, table: str | None) -> DataFrame:
     """``[hash, text]`` with a row for each distinct listed hash, whatever
-    the number of hashes: one scan of the documents, joined on the name.  A
+    the number of hashes: the tasks open the files by name (where they can
+    not, and for a table, one scan of the documents, joined on the name).  A
     listed document that does not exist fails here, before any text is
     read; a zero-length file is an empty document."""
+    if not table and opens_by_name(base):
+        return _listed(spark, hashes, base, kind).select("hash", text_of(spark, F.col("hash"), base, kind).alias("text"))
     docs = (spark.read.parquet(f"{table}/kind={kind}").select("hash", "text") if table
             else scan_documents(spark, base, kind))
     empty = _empty_documents(spark, hashes, docs, base, kind, table)

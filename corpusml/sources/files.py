@@ -10,11 +10,12 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import pyarrow as pa
 from pyarrow import fs as arrow_fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
@@ -50,6 +51,73 @@ def filesystem(url: str) -> tuple[arrow_fs.FileSystem, str]:
     return arrow_fs.FileSystem.from_uri(url.replace("s3a://", "s3://", 1))
 
 
+def opens_by_name(base: str) -> bool:
+    """Whether tasks can open the files of this folder by their names."""
+    try:
+        filesystem(base)
+    except (pa.ArrowException, OSError, NotImplementedError):
+        return False
+    return True
+
+
+#: Names that a task has in hand at least, and bytes of texts that it passes on at once.
+NAMES_PER_TASK, PASSED_BYTES, OPEN_FILES = 2000, 8 << 20, 4
+
+
+def _path(folder: str, name: str | None, kind: str) -> str | None:
+    """The file of a document; none for names that Spark's scans hide or that lie elsewhere."""
+    return f"{folder}/{name}.{kind}" if name and "/" not in name and name[0] not in "._" else None
+
+
+def file_sizes(names: DataFrame, base: str, kind: str) -> DataFrame:
+    """``names [hash]`` with the ``size`` of each document's file, null
+    without one: looked up where the names are, no folder is listed."""
+    package_on_workers(names.sparkSession)
+    url = f"{base}/{kind}"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, folder = filesystem(url)
+        for batch in batches:
+            paths = [_path(folder, x, kind) for x in batch.column(0).to_pylist()]
+            found = iter(fs.get_file_info([x for x in paths if x is not None]))
+            infos = [None if x is None else next(found) for x in paths]
+            sizes = [i.size if i is not None and i.type == arrow_fs.FileType.File else None for i in infos]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64())], names=["hash", "size"])
+
+    return names.select("hash").mapInArrow(run, "hash string, size long")
+
+
+def text_of(spark: SparkSession, name: Column, base: str, kind: str) -> Column:
+    """The content of the document ``name`` as a column, read by the task
+    that has the name: a plan that drops the column opens no file, and texts
+    are passed on some ``PASSED_BYTES`` at a time."""
+    package_on_workers(spark)
+    url = f"{base}/{kind}"
+
+    @F.arrow_udf("binary")
+    def document_text(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        fs, folder = filesystem(url)
+
+        def read(path: str) -> bytes:
+            with fs.open_input_stream(path) as file:
+                return file.read()
+
+        with ThreadPoolExecutor(OPEN_FILES) as pool:
+            for batch in batches:
+                paths = [_path(folder, x, kind) for x in batch.to_pylist()]
+                held, size = [], 0
+                for k in range(0, len(paths), OPEN_FILES):
+                    held += pool.map(read, paths[k:k + OPEN_FILES])
+                    size += sum(map(len, held[-OPEN_FILES:]))
+                    if size >= PASSED_BYTES:
+                        yield pa.array(held, pa.binary())
+                        held, size = [], 0
+                if held or not paths:
+                    yield pa.array(held, pa.binary())
+
+    return document_text(name).cast("string")
+
+
 @dataclass
 class Written(WriterCommitMessage):
     files: int

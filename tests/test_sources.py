@@ -283,3 +283,19 @@ def test_ingested_table_without_a_document_fails(spark, scratch):
     with pytest.raises(ValueError, match="not in the ingested table"):
         read_documents(spark, spark.createDataFrame([(0, "h2")], "id long, hash string"), root, "bytes",
                        table=f"{scratch}/table")
+
+
+def test_listed_documents_need_no_listing_of_the_folder(spark, dataset, monkeypatch):
+    """The driver holds no entry per file: tasks open the manifest's files by name."""
+    from corpusml.sources import corpus
+    scratch, root = dataset
+
+    def listed(*_, **__):
+        raise AssertionError("folder listed on the driver")
+
+    monkeypatch.setattr(corpus, "scan_documents", listed)
+    monkeypatch.setattr(corpus, "document_names", listed)
+    rows = read_documents(spark, read_manifest(spark, f"{scratch}/train_x"), root, "bytes").orderBy("id").collect()
+    assert [(r.id, r.text) for r in rows if r.hash != "h2"] == [(0, BYTES0), (2, BYTES0), (4, "")]
+    joint = load_corpus(spark, f"{scratch}/train_x", f"{scratch}/train_y", root, "joint", vocabulary=["lea"])
+    assert sorted(r.id for r in joint.select("id").collect()) == [0, 1, 2, 4]
