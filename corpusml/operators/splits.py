@@ -18,6 +18,8 @@ GAIN_DIGITS = 9
 
 
 def _gini(counts: list[Column], rows: Column) -> Column:
+    # Squares in doubles: class totals are literals of 32 bits, whose product overflows from 46,341 rows on.
+    counts, rows = [c.cast("double") for c in counts], rows.cast("double")
     parts = counts[0] * counts[0]
     for c in counts[1:]:
         parts = parts + c * c

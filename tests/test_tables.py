@@ -117,6 +117,14 @@ def test_root_splits_in_few_bins(spark):
     assert (r["term"], r["threshold"], r["n_left"]) == ("many", 49, 50)
 
 
+def test_root_splits_of_many_rows(spark):
+    """Class totals whose squares pass 32 bits."""
+    labels = spark.range(120_000).select("id", (F.col("id") >= 60_000).cast("double").alias("ix"))
+    counts = labels.where("ix = 1").select("id", F.lit("t").alias("term"), F.lit(3).cast("long").alias("cnt"))
+    [r] = root_splits(counts, labels).collect()
+    assert (r["term"], r["threshold"], r["n_left"], r["gain"]) == ("t", 0, 60_000, pytest.approx(0.5))
+
+
 def test_forest_walk_equals_the_model(spark):
     """The fitted trees as a node table, walked by joins, on every row."""
     docs = labelled(spark)
