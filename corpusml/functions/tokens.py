@@ -22,9 +22,10 @@ WORD_START = r"(?<![A-Za-z0-9_])"
 WORD_END = r"(?![A-Za-z0-9_])"
 BYTE_PATTERN = r"(?<= )[0-9A-F]{2}"        # as written in the tokenizer's definition
 BYTE_CAPTURE = r" ([0-9A-F]{2})"           # same tokens (group 1), ~30% faster: no look-behind
-SEGMENT_PATTERN = r"\.?\w+:(?=[0-9A-F]{8}\s)"
+# Word runs are possessive (``\w++``): what may follow is no word character, so no shorter run ever matches.
+SEGMENT_PATTERN = r"\.?\w++:(?=[0-9A-F]{8}\s)"
 BYTE_PAIR_PATTERN = WORD_START + r"[0-9A-F]{2} [0-9A-F]{2}" + WORD_END
-WORD_RUN_PATTERN = WORD_START + r"\w+"
+WORD_RUN_PATTERN = WORD_START + r"\w++"
 
 
 def _col(c) -> Column:

@@ -29,13 +29,17 @@ def hex_dump(text, bytes_per_line: int = BYTES_PER_LINE) -> Column:
     """UTF-8 bytes of ``text`` as lines ``AAAAAAAA XX XX ...`` (upper case),
     ``bytes_per_line`` bytes per line, addresses from ``BASE_ADDRESS``.
 
-    Linear in the text: one pass puts a blank before every byte, one pass
-    cuts the result into fixed-width lines, then each line gets its address
+    Linear in the text: one pass cuts the digits into fixed-width lines, then
+    each line gets its blanks (one match for a full line) and its address
     (no per-line ``substring``, which would rescan the string from its start).
     """
-    spaced = F.regexp_replace(F.hex(F.encode(_col(text), "UTF-8")), "(..)", " $1")
-    chunks = F.regexp_extract_all(spaced, F.lit(f".{{1,{3 * bytes_per_line}}}"), 0)
-    lines = F.transform(chunks, lambda line, i: F.concat(_address(i * bytes_per_line), line))
+    digits = 2 * bytes_per_line
+    chunks = F.regexp_extract_all(F.hex(F.encode(_col(text), "UTF-8")), F.lit(f".{{1,{digits}}}"), 0)
+    full, blanks = "(..)" * bytes_per_line, "".join(f" ${k}" for k in range(1, bytes_per_line + 1))
+    lines = F.transform(chunks, lambda line, i: F.concat(
+        _address(i * bytes_per_line),
+        F.when(F.length(line) == digits, F.regexp_replace(line, full, blanks)).otherwise(
+            F.regexp_replace(line, "(..)", " $1"))))
     return F.array_join(lines, "\n")
 
 

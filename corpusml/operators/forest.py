@@ -5,10 +5,16 @@ bagging samples per partition, so another partition layout grows another
 forest.  ``pinned_layout`` hash-partitions by document id and sorts inside
 each partition, which fixes the layout for any input split; the number of
 partitions follows from the number of rows, not from a session setting.
+
+Every partition sends the statistics of every open node to every level's
+shuffle, rows or none, so the shuffle is partitions x nodes: beyond
+``FULL_PARTITIONS`` their number grows with the square root of the rows.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,10 +22,13 @@ from pyspark.sql import functions as F
 from corpusml.session import scratch_dir
 
 ROWS_PER_PARTITION = 1000
+#: Partitions of ``ROWS_PER_PARTITION`` rows; more rows make them larger, too.
+FULL_PARTITIONS = 64
 
 
 def layout_partitions(n_rows: int, rows_per_partition: int = ROWS_PER_PARTITION) -> int:
-    return max(1, -(-n_rows // rows_per_partition))
+    full = max(1, -(-n_rows // rows_per_partition))
+    return full if full <= FULL_PARTITIONS else math.isqrt(full * FULL_PARTITIONS - 1) + 1
 
 
 def pinned_layout(df: DataFrame, num_partitions: int | None = None, key: str = "id") -> DataFrame:

@@ -4,6 +4,8 @@ A frequent token is a hot key: it stands in most documents.  ``with_salt``
 and ``salted`` split every key over ``SALTS`` join partitions: rows go to the
 part their document falls into, the table's rows are repeated for every
 part.  Spark still broadcasts the table when its own size check allows it.
+``match_vocabulary`` measures its table and broadcasts up to
+``BROADCAST_BYTES``: its tokens are one row per word of a text.
 """
 
 from __future__ import annotations
@@ -12,8 +14,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusml.functions.tokens import SEGMENT_PATTERN, WORD_RUN_PATTERN, explode_tokens, extract_all
+from corpusml.session import written
 
 SALTS = 16
+#: Largest vocabulary table that is broadcast: bytes of its words and ``WORD_BYTES`` for each.
+BROADCAST_BYTES, WORD_BYTES = 32 << 20, 24
 #: One entry of every document that is always kept, so that none is lost.
 MARK = ":"
 
@@ -32,17 +37,25 @@ def match_vocabulary(docs: DataFrame, vocabulary: DataFrame, text_col: str = "te
     titles and vocabulary words, in order) for a vocabulary that is a table
     ``[word]`` of any size instead of a list in the plan.
 
-    Candidates are exploded with their positions next to the scan; words
-    meet the vocabulary in a semi join, segment titles pass; what is left is
+    Candidates are exploded with their positions next to the scan, once;
+    words meet the vocabulary, which is written and measured first, in a left
+    join (a broadcast one, or one of salted words beyond ``BROADCAST_BYTES``);
+    segment titles pass, each under a key of its document.  What is left is
     gathered per document in the order of positions.  ``id_col`` identifies
     a row.  Null texts have no tokens."""
     candidates = extract_all(F.coalesce(F.col(text_col), F.lit("")), f"(?:{SEGMENT_PATTERN})|(?:{WORD_RUN_PATTERN})")
     placed = docs.select(F.col(id_col).alias("id"), F.posexplode(
         F.concat(F.array(F.lit(MARK)), candidates)).alias("pos", "token"))
-    words = salted(vocabulary.select(F.col("word").alias("token")).distinct(), salts)
+    words = written(vocabulary.select(F.col("word").cast("string").alias("_key")).distinct(), "words")
+    size = words.agg(F.sum(F.coalesce(F.octet_length("_key"), F.lit(0)) + WORD_BYTES)).first()[0] or 0
+    words = words.withColumn("_known", F.lit(True))
     title = F.col("token").endswith(":")
-    known = with_salt(placed.where(~title), salts=salts).join(words, ["token", "_salt"], "left_semi")
-    kept = placed.where(title).unionByName(known.select("id", "pos", "token"))
+    keyed = placed.withColumn("_key", F.when(title, F.concat("token", F.col("id").cast("string"))).otherwise(F.col("token")))
+    if size <= BROADCAST_BYTES:
+        joined = keyed.join(F.broadcast(words), "_key", "left")
+    else:
+        joined = with_salt(keyed, salts=salts).join(salted(words, salts), ["_key", "_salt"], "left")
+    kept = joined.where(title | F.col("_known")).select("id", "pos", "token")
     entries = F.sort_array(F.collect_list(F.struct("pos", "token")))
     return kept.groupBy("id").agg(entries.alias("e")).select(
         "id", F.transform(F.slice("e", 2, F.greatest(F.size("e") - 1, F.lit(0))), lambda x: x["token"]).alias("features"))
