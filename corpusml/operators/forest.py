@@ -8,13 +8,13 @@ partitions follows from the number of rows, not from a session setting.
 
 Every partition sends the statistics of every open node to every level's
 shuffle, rows or none, so the shuffle is partitions x nodes: beyond
-``FULL_PARTITIONS`` their number grows with the square root of the rows.
+``FULL_PARTITIONS`` their number stays until each holds ``MOST_ROWS`` rows,
+and grows in proportion to the rows from there on (nodes are bounded by trees
+x 2^depth, so the shuffle never grows faster than the rows).
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,13 +22,13 @@ from pyspark.sql import functions as F
 from corpusml.session import scratch_dir
 
 ROWS_PER_PARTITION = 1000
-#: Partitions of ``ROWS_PER_PARTITION`` rows; more rows make them larger, too.
-FULL_PARTITIONS = 64
+#: Partitions of ``ROWS_PER_PARTITION`` rows; more rows make them larger, up to ``MOST_ROWS``.
+FULL_PARTITIONS, MOST_ROWS = 32, 50_000
 
 
 def layout_partitions(n_rows: int, rows_per_partition: int = ROWS_PER_PARTITION) -> int:
     full = max(1, -(-n_rows // rows_per_partition))
-    return full if full <= FULL_PARTITIONS else math.isqrt(full * FULL_PARTITIONS - 1) + 1
+    return max(min(full, FULL_PARTITIONS), -(-n_rows // MOST_ROWS))
 
 
 def pinned_layout(df: DataFrame, num_partitions: int | None = None, key: str = "id") -> DataFrame:
