@@ -14,6 +14,7 @@ from pyspark.ml.feature import IDF
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusml.functions.batches import document_words
 from corpusml.functions.tokens import WORD_RUN_PATTERN, add_ngrams, byte_tokens, explode_tokens, extract_all, parse_int
 from corpusml.functions.views import asm_listing, hex_dump
 from corpusml.operators.bayes import nb_parameters, sparse_scores
@@ -226,9 +227,8 @@ WORD_MIN_DOCS = 2
 def _word_table(spark, sf_dir):
     """``[word]``: words of the texts (not starting with a digit) in at
     least ``WORD_MIN_DOCS`` documents: a vocabulary that grows with the data."""
-    words = F.array_distinct(extract_all("text", WORD_RUN_PATTERN))
-    own = tb.documents(spark, sf_dir).select(F.explode_outer(words).alias("word")).where(F.col("word").rlike("^[A-Za-z_]"))
-    return own.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= WORD_MIN_DOCS).select("word")
+    own = document_words(tb.documents(spark, sf_dir)).where(F.col("word").rlike("^[A-Za-z_]"))
+    return own.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= WORD_MIN_DOCS).select("word")
 
 
 @query

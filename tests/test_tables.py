@@ -43,6 +43,14 @@ def test_vocabulary_table_of_100000_words(spark, broadcast):
     assert got == want
 
 
+def test_vocabulary_table_of_any_size_gathers_rows_of_one_id(spark, monkeypatch):
+    docs = spark.createDataFrame([(i % 5 or None, t) for i, t in enumerate(TEXTS)], "id long, text string")
+    words = spark.createDataFrame([("mov",), (None,), ("w7",)], "word string")
+    small = {r["id"]: r["features"] for r in match_vocabulary(docs, words).collect()}
+    monkeypatch.setattr("corpusml.operators.matching.BROADCAST_BYTES", -1)
+    assert small == {r["id"]: r["features"] for r in match_vocabulary(docs, words).collect()} and len(small) == 5
+
+
 def test_vocabulary_table_without_words_or_documents(spark):
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS)], "id long, text string")
     none = spark.createDataFrame([], "word string")
