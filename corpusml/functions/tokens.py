@@ -32,12 +32,12 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _prepare(text, lowercase: bool) -> Column:
+def prepared(text, lowercase: bool) -> Column:
     text = _col(text)
     return F.lower(text) if lowercase else text
 
 
-def _vocabulary(vocabulary: Iterable[str] | None) -> list[str]:
+def vocabulary_words(vocabulary: Iterable[str] | None) -> list[str]:
     words = sorted(set(DEFAULT_OPCODES if vocabulary is None else vocabulary))
     bad = [w for w in words if not w or not all(ch.isascii() and (ch.isalnum() or ch == "_") for ch in w)]
     if bad:
@@ -60,7 +60,7 @@ def byte_tokens(text, lowercase: bool = False) -> Column:
     # A match of BYTE_PATTERN never starts on a blank and the blank it looks
     # behind at is never part of an earlier match, so capturing the pair
     # after a consumed blank yields exactly the same list.
-    return F.regexp_extract_all(_prepare(text, lowercase), F.lit(BYTE_CAPTURE), 1)
+    return F.regexp_extract_all(prepared(text, lowercase), F.lit(BYTE_CAPTURE), 1)
 
 
 def _keep_vocabulary(tokens: Column, vocabulary: list[str], keep_other) -> Column:
@@ -73,17 +73,17 @@ def _keep_vocabulary(tokens: Column, vocabulary: list[str], keep_other) -> Colum
 def asm_tokens(text, vocabulary: Iterable[str] | None = None, lowercase: bool = False) -> Column:
     """Segment titles (``.text:`` before an 8-hex-digit address and a blank)
     or whole words from ``vocabulary`` (default: x86 mnemonics)."""
-    words = _vocabulary(vocabulary)
-    cands = extract_all(_prepare(text, lowercase), f"(?:{SEGMENT_PATTERN})|(?:{WORD_RUN_PATTERN})")
+    words = vocabulary_words(vocabulary)
+    cands = extract_all(prepared(text, lowercase), f"(?:{SEGMENT_PATTERN})|(?:{WORD_RUN_PATTERN})")
     return _keep_vocabulary(cands, words, lambda t: t.endswith(":"))
 
 
 def joint_tokens(text, vocabulary: Iterable[str] | None = None, lowercase: bool = False) -> Column:
     """Non-overlapping ``XX XX`` byte pairs, segment titles or vocabulary words
     (earlier alternatives win at the same position)."""
-    words = _vocabulary(vocabulary)
+    words = vocabulary_words(vocabulary)
     pattern = f"(?:{BYTE_PAIR_PATTERN})|(?:{SEGMENT_PATTERN})|(?:{WORD_RUN_PATTERN})"
-    cands = extract_all(_prepare(text, lowercase), pattern)
+    cands = extract_all(prepared(text, lowercase), pattern)
     return _keep_vocabulary(cands, words, lambda t: t.contains(" ") | t.endswith(":"))
 
 
@@ -92,7 +92,7 @@ def vocabulary_pattern(vocabulary: Iterable[str] | None = None) -> str:
     for engines or callers that want one regular expression."""
     import re
 
-    words = _vocabulary(vocabulary)
+    words = vocabulary_words(vocabulary)
     return WORD_START + "(?:" + "|".join(re.escape(w) for w in words) + ")" + WORD_END
 
 

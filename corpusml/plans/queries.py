@@ -14,7 +14,7 @@ from pyspark.ml.feature import IDF
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusml.functions.batches import document_words
+from corpusml.functions.batches import document_words, dumped_texts
 from corpusml.functions.tokens import WORD_RUN_PATTERN, add_ngrams, byte_tokens, explode_tokens, extract_all, parse_int
 from corpusml.functions.views import asm_listing, hex_dump
 from corpusml.operators.bayes import nb_parameters, sparse_scores
@@ -192,8 +192,9 @@ def joint_corpus_buckets(spark, sf_dir):
     folder = scratch_dir(spark, "buckets")
     name = "documents_" + folder[-32:]
     docs = tb.documents(spark, sf_dir).withColumn("hash", F.md5(F.col("doc_id").cast("string")))
-    for kind, view in (("bytes", hex_dump("text")), ("asm", asm_listing("text"))):
-        write_buckets(docs.select("hash", view.alias("text")), f"{name}_{kind}", f"{folder}/{kind}", buckets)
+    views = {"bytes": dumped_texts(docs.select("hash", "text")), "asm": docs.select("hash", asm_listing("text").alias("text"))}
+    for kind, view in views.items():
+        write_buckets(view, f"{name}_{kind}", f"{folder}/{kind}", buckets)
     found = bucketed_joint_corpus(spark, thin.drop("n_chars"), name, buckets, tb.LISTING_WORDS)
     return found.select("id", F.size("features").cast("bigint").alias("n_tokens"),
                         F.md5(F.array_join("features", " ")).alias("tokens_md5"))

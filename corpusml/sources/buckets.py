@@ -12,7 +12,9 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusml.sources.corpus import joint_corpus, normalize_base, scan_documents
+from corpusml.functions.batches import with_listed_tokens
+from corpusml.functions.tokens import prepared, vocabulary_words, with_line_break
+from corpusml.sources.corpus import normalize_base, scan_documents
 from corpusml.sources.files import document_names
 
 
@@ -43,12 +45,18 @@ def bucketed_joint_corpus(spark: SparkSession, manifest: DataFrame, table: str,
     ``manifest [id, hash, ...]`` that names a document, from the tables
     ``{table}_bytes`` and ``{table}_asm``.
 
-    Only the manifest is shuffled.  Blank lines match nothing, repeated
-    hashes give a row for each line, a listed document that is in one of the
-    tables only, or in none, fails the job."""
-    both = joint_corpus(spark.table(f"{table}_bytes"), spark.table(f"{table}_asm"), "hash", vocabulary, lowercase)
+    Only the manifest is shuffled; both texts stream through the joins and
+    are cut batch by batch above them, listed documents only.  Blank lines
+    match nothing, repeated hashes give a row for each line, a listed document
+    that is in one of the tables only, or in none, fails the job."""
+    words = frozenset(vocabulary_words(vocabulary))
+    sides = [spark.table(f"{table}_{kind}").select(
+        "hash", prepared(with_line_break("text") if kind == "bytes" else "text", lowercase).alias(f"_{kind}"))
+        for kind in ("bytes", "asm")]
     wanted = manifest.where(F.col("hash") != "").repartition(buckets, "hash").hint("merge")
     extra = [c for c in manifest.columns if c not in ("id", "hash")]
+    found = wanted.join(sides[0], "hash", "left").join(sides[1].hint("merge"), "hash", "left")
+    found = with_listed_tokens(found, ["_bytes", "_asm"], lambda: words, pairs=True)
     missing = F.raise_error(F.concat(F.lit("document not found: "), F.col("hash"))).cast("array<string>")
-    return wanted.join(both, "hash", "left").select(
+    return found.select(
         "id", F.when(F.col("features").isNull(), missing).otherwise(F.col("features")).alias("features"), *extra)
