@@ -123,7 +123,7 @@ def _slices(*columns: pa.Array) -> Iterator[tuple]:
             yield int(own[0]), *(c.slice(own[0], len(own)).to_pylist() for c in binary)
 
 
-def _spans(data: np.ndarray, first: np.ndarray, end: np.ndarray) -> pa.StringArray:
+def spans(data: np.ndarray, first: np.ndarray, end: np.ndarray) -> pa.StringArray:
     """The strings ``data[first:end]``, which are in order and do not overlap."""
     offsets = np.zeros(len(first) + 1, dtype=np.int32)
     np.cumsum(end - first, out=offsets[1:])
@@ -174,7 +174,7 @@ def listed_tokens(texts: list[list[bytes | None]], vocabulary: Set[str], longest
     title &= ~tail
     plain = np.flatnonzero(~(head | title | tail) & (end - first <= longest))
     keep = head | title
-    keep[plain] = _known(_spans(data, first[plain], end[plain]), vocabulary)
+    keep[plain] = _known(spans(data, first[plain], end[plain]), vocabulary)
     first -= title & (data[first - 1] == ord("."))
     end[head] = end[1:][head[:-1]]
     end[title] += 1
@@ -184,7 +184,7 @@ def listed_tokens(texts: list[list[bytes | None]], vocabulary: Set[str], longest
     before = np.append(0, np.cumsum(~tail))[np.searchsorted(first, begin[:-1])]
     positions = number[kept] - np.repeat(before, np.diff(ends))
     mask, offsets = pa.array([not ok for ok in whole]), pa.array(ends.astype(np.int32))
-    return (pa.ListArray.from_arrays(offsets, _spans(data, first[kept], end[kept]), mask=mask),
+    return (pa.ListArray.from_arrays(offsets, spans(data, first[kept], end[kept]), mask=mask),
             pa.ListArray.from_arrays(offsets, pa.array(positions.astype(np.int32)), mask=mask))
 
 
@@ -223,7 +223,7 @@ def document_words(docs: DataFrame, text: str = "text") -> DataFrame:
                 data = np.frombuffer(b"\0" + b"".join(parts) + b"\0", dtype=np.uint8)
                 word = IS_WORD[data]
                 edge = np.flatnonzero(word[1:] != word[:-1]) + 1
-                coded = _spans(data, edge[::2], edge[1::2]).dictionary_encode()
+                coded = spans(data, edge[::2], edge[1::2]).dictionary_encode()
                 rows = np.searchsorted(begin, edge[::2], side="right") - 1
                 codes = coded.indices.to_numpy().astype(np.int64)
                 size = max(1, len(coded.dictionary))

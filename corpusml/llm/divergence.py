@@ -4,18 +4,21 @@ Which sources of a language speak differently from the others, and in which
 terms?  Only terms in at least ``MIN_DOCS`` documents of a language count.
 They are found without gathering the long tail of rare terms:
 
-1. a text is read byte-wise (UTF-8 bytes as Latin-1 characters) and cut once;
-   its distinct terms, each with an end mark, and their numbers are written;
-2. level by level, every document gives its distinct term prefixes of ``n``
-   bytes (``n`` doubles per level) that extend a prefix alive at the level
-   before; their documents are counted per language, and prefixes below the
-   threshold are discarded with all that extend them;
+1. texts are read byte-wise (UTF-8 bytes as Latin-1 characters) and cut once;
+   the terms of some ``SLICE_BYTES`` of documents, each with an end mark, are
+   written with their occurrences and documents per group;
+2. level by level, the term prefixes of ``n`` bytes (``n`` doubles per level)
+   that extend a prefix alive at the level before are counted per language, by
+   the documents of their terms, and prefixes below the threshold are
+   discarded with all that extend them;
 3. the "prefix" of a term shorter than ``n`` ends with the mark, so its count
    is that of the complete term: it is kept or gone.  The levels end when no
    open prefix is alive.
 
-A document's prefixes are distinct inside its own row, so counting them needs
-neither a distinct over documents nor a shuffle before the map-side sums.
+A document with two terms counts twice for their common prefix: an open
+prefix has at least the documents of each of its terms, so none is discarded
+wrongly, and a complete term has its documents exactly.  Slices hold whole
+documents, so their sums need no distinct and no shuffle.
 The living prefixes are broadcast after their size has been measured; beyond
 the limit (``common.BROADCAST_BYTES``) the counts are summed first and then
 joined with them, with equal results.
@@ -37,7 +40,6 @@ columns are ignored.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,6 +47,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusml.functions.batches import spans
 from corpusml.llm.common import bounded, discard, is_bounded, materialize, text_or_empty
 
 MIN_DOCS = 10
@@ -55,37 +58,62 @@ END = "\x00"
 SCALE = 1_000_000_000
 #: Counts up to this are multiplied by ``SCALE`` in a long.
 LONG_COUNT = 9_000_000_000
-TERM_LISTS = "lang string, source string, terms array<string>, counts array<long>"
+TERM_LISTS = "lang string, source string, term string, n long, docs long"
 # Of the bytes of a term, A-Z are lower-cased; all but ASCII
 # letters and bytes beyond ASCII separate terms.
-LETTERS = bytes(b | 0x20 if chr(b).isascii() and chr(b).isalpha() else b if b > 0x7F else 0x20 for b in range(256))
-
-
-def byte_terms(text: str) -> Counter:
-    """The terms of a text and their numbers, one character per byte."""
-    found = Counter(text.encode().translate(LETTERS).decode("latin-1").split(" "))
-    del found[""]
-    return found
+LETTERS = bytes(b | 0x20 if chr(b).isascii() and chr(b).isalpha() else b if b > 0x7F else 0 for b in range(256))
+#: Bytes of the texts that are cut and summed together (one more document may follow).
+SLICE_BYTES = 8 << 20
 
 
 def from_byte_view(col: Column) -> Column:
     return F.decode(F.encode(col, "ISO-8859-1"), "UTF-8")
 
 
+def _term_sums(rows: list[tuple[str, str, str]]) -> pa.RecordBatch:
+    """``TERM_LISTS`` of some documents ``(lang, source, text)``."""
+    groups: dict[tuple[str, str], int] = {}
+    group = np.array([groups.setdefault(r[:2], len(groups)) for r in rows], dtype=np.int64)
+    parts = [t.encode().translate(LETTERS).decode("latin-1").encode() + b"\0" for _, _, t in rows]
+    data = np.frombuffer(b"\0" + b"".join(parts), dtype=np.uint8)
+    edge = np.flatnonzero((data[1:] != 0) != (data[:-1] != 0)) + 1
+    begin = 1 + np.cumsum([0] + [len(p) for p in parts[:-1]], dtype=np.int64)
+    doc = np.searchsorted(begin, edge[::2], side="right") - 1
+    coded = spans(data, edge[::2], edge[1::2] + 1).dictionary_encode()  # a zero byte, END, follows each
+    code, width = coded.indices.to_numpy().astype(np.int64), max(1, len(coded.dictionary))
+    keyed = pa.array(group[doc] * width + code).dictionary_encode()
+    key, found = keyed.indices.to_numpy(), keyed.dictionary.to_numpy()
+    # Numbers are given in the order of appearance: a greater one is new to its document.
+    own = pa.array(doc * width + code).dictionary_encode().indices.to_numpy()
+    new = np.flatnonzero(np.diff(np.maximum.accumulate(own), prepend=-1)) if len(own) else own
+    n, docs = (np.bincount(k, minlength=len(found)).astype(np.int64) for k in (key, key[new]))
+    # Every group also has a row without a term.
+    of = pa.array(np.concatenate([found // width, np.arange(len(groups))]))
+    none = np.zeros(len(groups), dtype=np.int64)
+    terms = pa.concat_arrays([coded.dictionary.take(pa.array(found % width)), pa.nulls(len(groups), pa.string())])
+    names = [pa.array([g[k] for g in groups], pa.string()).take(of) for k in (0, 1)]
+    return pa.RecordBatch.from_arrays(
+        [*names, terms, pa.array(np.concatenate([n, none])), pa.array(np.concatenate([docs, none]))],
+        names=["lang", "source", "term", "n", "docs"])
+
+
 def _term_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows, size = [], 0
     for batch in batches:
-        bags = [byte_terms(t) for t in batch.column(2).to_pylist()]
-        ends = pa.array(np.concatenate(([0], np.cumsum([len(b) for b in bags]))), pa.int32())
-        terms = pa.array([t + END for b in bags for t in b], pa.string())
-        counts = pa.array([n for b in bags for n in b.values()], pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.ListArray.from_arrays(ends, terms),
-             pa.ListArray.from_arrays(ends, counts)], names=["lang", "source", "terms", "counts"])
+        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            rows.append(row)
+            size += len(row[2])
+            if size >= SLICE_BYTES:
+                yield _term_sums(rows)
+                rows, size = [], 0
+    if rows:
+        yield _term_sums(rows)
 
 
 def term_lists(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """``TERM_LISTS``: the distinct terms of every document, byte-wise and
-    marked, and their numbers there."""
+    """``TERM_LISTS``: the terms of some documents at a time, byte-wise and
+    marked, with their occurrences and documents in a group; a row without a
+    term says that a group occurs."""
     rows = docs.select(text_or_empty(lang_col).alias("lang"), text_or_empty(source_col).alias("source"),
                        text_or_empty(text_col).alias("text"))
     return rows.mapInArrow(_term_lists, TERM_LISTS)
@@ -109,11 +137,9 @@ def kept_terms(lists: DataFrame, min_docs: int = MIN_DOCS, first: int = FIRST_PR
     alive, done, used = None, [], []
     above, size = 0, first
     while True:
-        longer = F.filter("terms", lambda t: F.length(t) > above) if above else F.col("terms")
-        prefixes = F.array_distinct(F.transform(longer, lambda t: F.substring(t, 1, size)))
-        rows = lists.select("lang", F.explode(prefixes).alias("prefix"))
-        rows = rows.withColumn("stem", F.substring("prefix", 1, above))
-        counted = _summed(rows, ["lang", "prefix"], F.count(F.lit(1)), alive, ["lang", "stem"])
+        rows = lists.where(F.length("term") > above).select(
+            "lang", F.substring("term", 1, size).alias("prefix"), F.substring("term", 1, above).alias("stem"), "docs")
+        counted = _summed(rows, ["lang", "prefix"], F.sum("docs"), alive, ["lang", "stem"])
         level = materialize(counted.where(F.col("n") >= min_docs), f"prefixes_{size}")
         used.append(level)
         complete = F.col("prefix").endswith(END)
@@ -150,13 +176,12 @@ def frequencies(lists: DataFrame, kept: DataFrame) -> tuple[DataFrame, DataFrame
     group (``p0``: frequency of an absent term, null without kept terms) and
     ``[lang, source, term, n, p]`` for every kept term that a group has."""
     vocabulary = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("terms"))
-    terms = lists.select("lang", "source", F.explode(F.arrays_zip("terms", "counts")).alias("t")).select(
-        "lang", "source", F.col("t.terms").alias("term"), F.col("t.counts").alias("n"))
+    terms = lists.where("term IS NOT NULL").select("lang", "source", "term", "n")
     counts = _summed(terms, ["lang", "source", "term"], F.sum("n"), kept, ["lang", "term"])
     plain = from_byte_view(F.expr("substring(term, 1, length(term) - 1)"))
     counts = materialize(counts.withColumn("term", plain), "counts")
     totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
-    groups = (lists.select("lang", "source").distinct()
+    groups = (lists.where("term IS NULL").select("lang", "source").distinct()
               .join(vocabulary, "lang", "left").join(totals, ["lang", "source"], "left")
               .select("lang", "source", F.coalesce("total", F.lit(0)).alias("total"),
                       F.coalesce("terms", F.lit(0)).alias("terms")))

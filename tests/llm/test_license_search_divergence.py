@@ -246,6 +246,31 @@ def test_kept_terms_by_every_first_prefix(spark):
         assert got == want
 
 
+@pytest.mark.parametrize("cut", [1, 200, 8 << 20])
+def test_term_sums_of_slices(spark, monkeypatch, cut):
+    """Terms are summed per group before Spark sees them, by occurrences and by documents."""
+    monkeypatch.setattr(divergence, "SLICE_BYTES", cut)
+    rng = random.Random(10)
+    texts = ODD + [" ".join(rng.choices(["a", "B", "b", "é", "É", "ab1c", "a-a"], k=rng.randrange(0, 9))) for _ in range(90)]
+    groups = [(rng.choice("xy"), rng.choice("st")) for _ in texts]
+    rows = divergence.term_lists(frame(spark, texts, None, *zip(*groups, strict=True)).coalesce(1)).collect()
+    n, docs = Counter(), Counter()
+    for r in rows:
+        if r["term"] is not None:
+            key = r["lang"], r["source"], r["term"].encode("latin-1")
+            n[key] += r["n"]
+            docs[key] += r["docs"]
+    want_n, want_docs = Counter(), Counter()
+    for g, t in zip(groups, texts, strict=True):
+        terms = [x.lower() + b"\0" for x in re.findall(rb"[A-Za-z\x80-\xff]+", (t or "").encode())]
+        want_n.update((*g, x) for x in terms)
+        want_docs.update((*g, x) for x in set(terms))
+    assert n == want_n and docs == want_docs
+    assert {(r["lang"], r["source"]) for r in rows if r["term"] is None} == set(groups)
+    if cut > 200:  # one slice: one row for a term of a group, not one for each document
+        assert len(rows) == len(want_n) + len(set(groups))
+
+
 def test_divergence_of_no_rows(spark):
     assert divergence.audit(frame(spark, ["a"]).where("false")).collect() == []
 
