@@ -6,7 +6,8 @@ They are found without gathering the long tail of rare terms:
 
 1. texts are read byte-wise (UTF-8 bytes as Latin-1 characters) and cut once;
    the terms of some ``SLICE_BYTES`` of documents, each with an end mark, are
-   written with their occurrences and documents per group;
+   written once for a language, with its documents and a list of the
+   occurrences and documents per source;
 2. level by level, the term prefixes of ``n`` bytes (``n`` doubles per level)
    that extend a prefix alive at the level before are counted per language, by
    the documents of their terms, and prefixes below the threshold are
@@ -23,6 +24,9 @@ The living prefixes are broadcast after their size has been measured; beyond
 the limit (``common.BROADCAST_BYTES``) the counts are summed first and then
 joined with them, with equal results.
 
+Kept terms and groups are numbered when they are written; counts are summed,
+joined and paired by these numbers, and names return at the end.
+
 The divergence of two sources is summed sparsely: with ``f`` the distance of
 two smoothed frequencies and ``0`` the frequency of an absent term,
 
@@ -58,7 +62,7 @@ END = "\x00"
 SCALE = 1_000_000_000
 #: Counts up to this are multiplied by ``SCALE`` in a long.
 LONG_COUNT = 9_000_000_000
-TERM_LISTS = "lang string, source string, term string, n long, docs long"
+TERM_SLICES = "lang string, term string, docs long, sources array<struct<source:string,n:long,docs:long>>"
 # Of the bytes of a term, A-Z are lower-cased; all but ASCII
 # letters and bytes beyond ASCII separate terms.
 LETTERS = bytes(b | 0x20 if chr(b).isascii() and chr(b).isalpha() else b if b > 0x7F else 0 for b in range(256))
@@ -71,33 +75,43 @@ def from_byte_view(col: Column) -> Column:
 
 
 def _term_sums(rows: list[tuple[str, str, str]]) -> pa.RecordBatch:
-    """``TERM_LISTS`` of some documents ``(lang, source, text)``."""
+    """``TERM_SLICES`` of some documents ``(lang, source, text)``."""
+    langs: dict[str, int] = {}
     groups: dict[tuple[str, str], int] = {}
     group = np.array([groups.setdefault(r[:2], len(groups)) for r in rows], dtype=np.int64)
+    lang = np.array([langs.setdefault(g[0], len(langs)) for g in groups], dtype=np.int64)
     parts = [t.encode().translate(LETTERS).decode("latin-1").encode() + b"\0" for _, _, t in rows]
     data = np.frombuffer(b"\0" + b"".join(parts), dtype=np.uint8)
     edge = np.flatnonzero((data[1:] != 0) != (data[:-1] != 0)) + 1
     begin = 1 + np.cumsum([0] + [len(p) for p in parts[:-1]], dtype=np.int64)
     doc = np.searchsorted(begin, edge[::2], side="right") - 1
     coded = spans(data, edge[::2], edge[1::2] + 1).dictionary_encode()  # a zero byte, END, follows each
-    code, width = coded.indices.to_numpy().astype(np.int64), max(1, len(coded.dictionary))
+    code, none = coded.indices.to_numpy().astype(np.int64), len(coded.dictionary)
+    width = none + 1  # the last code: no term
     keyed = pa.array(group[doc] * width + code).dictionary_encode()
     key, found = keyed.indices.to_numpy(), keyed.dictionary.to_numpy()
     # Numbers are given in the order of appearance: a greater one is new to its document.
     own = pa.array(doc * width + code).dictionary_encode().indices.to_numpy()
     new = np.flatnonzero(np.diff(np.maximum.accumulate(own), prepend=-1)) if len(own) else own
+    # Every group also occurs without a term, with counts of 0.
+    found = np.concatenate([found, np.arange(len(groups)) * width + none])
     n, docs = (np.bincount(k, minlength=len(found)).astype(np.int64) for k in (key, key[new]))
-    # Every group also has a row without a term.
-    of = pa.array(np.concatenate([found // width, np.arange(len(groups))]))
-    none = np.zeros(len(groups), dtype=np.int64)
-    terms = pa.concat_arrays([coded.dictionary.take(pa.array(found % width)), pa.nulls(len(groups), pa.string())])
-    names = [pa.array([g[k] for g in groups], pa.string()).take(of) for k in (0, 1)]
+    row = lang[found // width] * width + found % width
+    order = np.argsort(row, kind="stable")
+    row, found, n, docs = row[order], found[order], n[order], docs[order]
+    first = np.flatnonzero(np.diff(row, prepend=-1))
+    sources = pa.StructArray.from_arrays(
+        [pa.array([g[1] for g in groups], pa.string()).take(pa.array(found // width)), pa.array(n), pa.array(docs)],
+        names=["source", "n", "docs"])
+    terms = pa.concat_arrays([coded.dictionary, pa.nulls(1, pa.string())])
     return pa.RecordBatch.from_arrays(
-        [*names, terms, pa.array(np.concatenate([n, none])), pa.array(np.concatenate([docs, none]))],
-        names=["lang", "source", "term", "n", "docs"])
+        [pa.array(list(langs), pa.string()).take(pa.array(row[first] // width)),
+         terms.take(pa.array(row[first] % width)), pa.array(np.add.reduceat(docs, first)),
+         pa.ListArray.from_arrays(pa.array(np.append(first, len(row)).astype(np.int32)), sources)],
+        names=["lang", "term", "docs", "sources"])
 
 
-def _term_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _term_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rows, size = [], 0
     for batch in batches:
         for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -110,13 +124,23 @@ def _term_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _term_sums(rows)
 
 
-def term_lists(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """``TERM_LISTS``: the terms of some documents at a time, byte-wise and
-    marked, with their occurrences and documents in a group; a row without a
-    term says that a group occurs."""
+def term_slices(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
+    """``TERM_SLICES``: the terms of some documents at a time, byte-wise and
+    marked, with their documents in a language and their counts per source;
+    a row without a term lists the groups that occur."""
     rows = docs.select(text_or_empty(lang_col).alias("lang"), text_or_empty(source_col).alias("source"),
                        text_or_empty(text_col).alias("text"))
-    return rows.mapInArrow(_term_lists, TERM_LISTS)
+    return rows.mapInArrow(_term_slices, TERM_SLICES)
+
+
+def by_source(slices: DataFrame) -> DataFrame:
+    """``[lang, term, source, n, docs]`` of term slices."""
+    return slices.select("lang", "term", F.inline("sources"))
+
+
+def term_lists(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
+    """``term_slices`` with a row for each source."""
+    return by_source(term_slices(docs, text_col, lang_col, source_col))
 
 
 def _summed(rows: DataFrame, keys: list[str], total: Column, alive: DataFrame | None, on: list[str]) -> DataFrame:
@@ -132,8 +156,9 @@ def _summed(rows: DataFrame, keys: list[str], total: Column, alive: DataFrame |
 
 
 def kept_terms(lists: DataFrame, min_docs: int = MIN_DOCS, first: int = FIRST_PREFIX) -> DataFrame:
-    """``[lang, term, n_docs]``: the (byte-wise, marked) terms in at least
-    ``min_docs`` documents of a language, by prefixes refined level by level."""
+    """``[lang, term, n_docs, id]``: the (byte-wise, marked) terms in at least
+    ``min_docs`` documents of a language, by prefixes refined level by level,
+    numbered.  ``lists``: term slices, or lists with a row for each source."""
     alive, done, used = None, [], []
     above, size = 0, first
     while True:
@@ -151,7 +176,8 @@ def kept_terms(lists: DataFrame, min_docs: int = MIN_DOCS, first: int = FIRST_PR
     found = done[0]
     for part in done[1:]:
         found = found.unionAll(part)
-    kept = materialize(found.select("lang", F.col("prefix").alias("term"), F.col("n").alias("n_docs")), "kept")
+    kept = materialize(found.select("lang", F.col("prefix").alias("term"), F.col("n").alias("n_docs"),
+                                    F.monotonically_increasing_id().alias("id")), "kept")
     discard(*used)
     return kept
 
@@ -171,24 +197,34 @@ def distance(p: str, q: str) -> Column:
     return F.expr(f"(({p}) - ({q})) * (({p}) - ({q})) div (({p}) + ({q}))")
 
 
-def frequencies(lists: DataFrame, kept: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(groups, counts)``: ``[lang, source, total, terms, p0]`` for every
-    group (``p0``: frequency of an absent term, null without kept terms) and
-    ``[lang, source, term, n, p]`` for every kept term that a group has."""
+def _term_counts(slices: DataFrame, kept: DataFrame) -> DataFrame:
+    """``[id, lang, source, n]``: occurrences of the kept terms in a group."""
+    slices = slices.where("term IS NOT NULL")
+    ids = kept.select("lang", "term", "id")
+    if is_bounded(ids):
+        numbered = slices.join(F.broadcast(ids), ["lang", "term"]).select("id", "lang", F.inline("sources"))
+        return numbered.groupBy("id", "lang", "source").agg(F.sum("n").alias("n"))
+    # Too many to send to every task: sums are small rows that can meet them.
+    sums = by_source(slices).groupBy("lang", "source", "term").agg(F.sum("n").alias("n"))
+    return sums.join(ids.hint("merge"), ["lang", "term"]).select("id", "lang", "source", "n")
+
+
+def frequencies(slices: DataFrame, kept: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(groups, counts)``: ``[g, lang, source, total, terms, p0]`` for every
+    group, numbered (``p0``: frequency of an absent term, null without kept
+    terms), and ``[id, g, lang, n, p, p0]`` for every kept term that a group
+    has."""
     vocabulary = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("terms"))
-    terms = lists.where("term IS NOT NULL").select("lang", "source", "term", "n")
-    counts = _summed(terms, ["lang", "source", "term"], F.sum("n"), kept, ["lang", "term"])
-    plain = from_byte_view(F.expr("substring(term, 1, length(term) - 1)"))
-    counts = materialize(counts.withColumn("term", plain), "counts")
+    counts = materialize(_term_counts(slices, kept), "counts")
     totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
-    groups = (lists.where("term IS NULL").select("lang", "source").distinct()
+    groups = (by_source(slices.where("term IS NULL")).select("lang", "source").distinct()
               .join(vocabulary, "lang", "left").join(totals, ["lang", "source"], "left")
               .select("lang", "source", F.coalesce("total", F.lit(0)).alias("total"),
                       F.coalesce("terms", F.lit(0)).alias("terms")))
     p0 = F.when(F.col("terms") > 0, smoothed("0", "total", "terms"))
-    groups = materialize(groups.withColumn("p0", p0), "groups")
-    with_p = counts.join(bounded(groups.drop("p0")), ["lang", "source"]).select(
-        "lang", "source", "term", "n", smoothed("n", "total", "terms").alias("p"))
+    groups = materialize(groups.select(F.monotonically_increasing_id().alias("g"), "*", p0.alias("p0")), "groups")
+    with_p = counts.join(bounded(groups), ["lang", "source"]).select(
+        "id", "g", "lang", "n", smoothed("n", "total", "terms").alias("p"), "p0")
     with_p = materialize(with_p, "frequencies")
     discard(counts)
     return groups, with_p
@@ -197,39 +233,44 @@ def frequencies(lists: DataFrame, kept: DataFrame) -> tuple[DataFrame, DataFrame
 def pair_divergence(groups: DataFrame, counts: DataFrame) -> DataFrame:
     """``[lang, source, other, p0, q0, value]`` for every ordered pair of
     sources of a language."""
-    other = groups.select("lang", F.col("source").alias("other"), F.col("p0").alias("q0"))
-    pairs = groups.select("lang", "source", "terms", "p0").join(other, "lang").where("source <> other")
+    other = groups.select("lang", F.col("g").alias("h"), F.col("source").alias("other"), F.col("p0").alias("q0"))
+    pairs = groups.select("lang", "g", "source", "terms", "p0").join(other, "lang").where("g <> h")
     # Terms of one side only: equal counts have equal frequencies.
-    histogram = counts.groupBy("lang", "source", "p").agg(F.count(F.lit(1)).alias("k"))
-    own = (histogram.join(groups.select("lang", "source", "p0"), ["lang", "source"])
-           .join(other, "lang").where("source <> other")
-           .groupBy("lang", "source", "other")
-           .agg(F.sum(F.col("k") * (distance("p", "q0") - distance("p0", "q0"))).alias("v")))
-    mirrored = own.select("lang", F.col("other").alias("source"), F.col("source").alias("other"), "v")
-    base = groups.select("lang", "source", "p0")
-    one = counts.join(bounded(base), ["lang", "source"]).select("lang", "term", "source", "p", "p0")
-    two = one.select("lang", "term", F.col("source").alias("other"), F.col("p").alias("q"), F.col("p0").alias("q0"))
-    both = one.join(two, ["lang", "term"]).where("source < other").groupBy("lang", "source", "other").agg(
-        F.sum(distance("p", "q") - distance("p", "q0") - distance("p0", "q") + distance("p0", "q0")).alias("v"))
+    histogram = counts.groupBy("g", "p").agg(F.count(F.lit(1)).alias("k"))
+    own = histogram.join(pairs.select("g", "h", "p0", "q0"), "g").groupBy("g", "h").agg(
+        F.sum(F.col("k") * (distance("p", "q0") - distance("p0", "q0"))).alias("v"))
+    mirrored = own.select(F.col("h").alias("g"), F.col("g").alias("h"), "v")
+    # The same columns on both sides: they are shuffled once.
+    one, two = counts.select("id", "g", "p", "p0").alias("a"), counts.select("id", "g", "p", "p0").alias("b")
+    both = one.join(two, F.expr("a.id = b.id AND a.g < b.g")).groupBy(
+        F.col("a.g").alias("g"), F.col("b.g").alias("h")).agg(
+        F.sum(distance("a.p", "b.p") - distance("a.p", "b.p0") - distance("a.p0", "b.p")
+              + distance("a.p0", "b.p0")).alias("v"))
     both = materialize(both, "shared")
-    turned = both.select("lang", F.col("other").alias("source"), F.col("source").alias("other"), "v")
-    parts = own.unionByName(mirrored).unionByName(both).unionByName(turned).groupBy("lang", "source", "other").agg(
+    turned = both.select(F.col("h").alias("g"), F.col("g").alias("h"), "v")
+    parts = own.unionByName(mirrored).unionByName(both).unionByName(turned).groupBy("g", "h").agg(
         F.sum("v").alias("v"))
     absent = F.when(F.col("terms") > 0, F.col("terms") * distance("p0", "q0")).otherwise(F.lit(0))
-    return pairs.join(parts, ["lang", "source", "other"], "left").select(
+    return pairs.join(parts, ["g", "h"], "left").select(
         "lang", "source", "other", (absent + F.coalesce("v", F.lit(0))).alias("value"))
 
 
-def term_divergence(groups: DataFrame, counts: DataFrame) -> DataFrame:
+def term_divergence(groups: DataFrame, counts: DataFrame, kept: DataFrame, top_terms: int = TOP_TERMS) -> DataFrame:
     """``[lang, source, term, value]``: kept terms that a group uses more
-    than its language does."""
-    lang_terms = counts.groupBy("lang", "term").agg(F.sum("n").alias("n_lang"))
+    than its language does, the ``top_terms`` of a group and all with the
+    value of the last."""
+    lang_terms = counts.groupBy("id", "lang").agg(F.sum("n").alias("n_lang"))
     totals = materialize(groups.groupBy("lang").agg(F.sum("total").alias("total"), F.max("terms").alias("terms")),
                          "langs")
-    q = lang_terms.join(bounded(totals), "lang").select(
-        "lang", "term", smoothed("n_lang", "total", "terms").alias("q"))
-    return counts.join(q, ["lang", "term"]).where("p > q").select(
-        "lang", "source", "term", distance("p", "q").alias("value"))
+    q = materialize(lang_terms.join(bounded(totals), "lang").select(
+        "id", smoothed("n_lang", "total", "terms").alias("q")), "lang_terms")
+    over = counts.select("id", "g", "p").join(bounded(q), "id").where("p > q").select(
+        "id", "g", distance("p", "q").alias("value"))
+    best = F.rank().over(Window.partitionBy("g").orderBy(F.col("value").desc()))
+    over = over.withColumn("best", best).where(F.col("best") <= top_terms)
+    plain = from_byte_view(F.expr("substring(term, 1, length(term) - 1)"))
+    return over.join(kept.select("id", plain.alias("term")), "id").join(
+        groups.select("g", "lang", "source"), "g").select("lang", "source", "term", "value")
 
 
 def audit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source",
@@ -237,18 +278,19 @@ def audit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sourc
     """``[lang, source, part, item, value, rank]``: per group the other
     sources of its language by divergence (part ``pair``, all of them) and
     its most over-used terms (part ``term``, the first ``top_terms``)."""
-    lists = materialize(term_lists(docs, text_col, lang_col, source_col), "terms")
-    kept = kept_terms(lists, min_docs)
-    groups, counts = frequencies(lists, kept)
+    slices = materialize(term_slices(docs, text_col, lang_col, source_col), "terms")
+    kept = kept_terms(slices, min_docs)
+    groups, counts = frequencies(slices, kept)
+    discard(slices)
     pairs = pair_divergence(groups, counts).select("lang", "source", F.lit("pair").alias("part"),
                                                    F.col("other").alias("item"), "value")
-    terms = term_divergence(groups, counts).select("lang", "source", F.lit("term").alias("part"),
-                                           F.col("term").alias("item"), "value")
+    terms = term_divergence(groups, counts, kept, top_terms).select(
+        "lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), "value")
     order = Window.partitionBy("lang", "source").orderBy(F.col("value").desc(), "item")
     rank = F.row_number().over(order).alias("rank")
     ranked = materialize(pairs.select("*", rank).unionByName(terms.select("*", rank).where(F.col("rank") <= top_terms)),
                          "audit")
-    discard(lists, kept, groups, counts)
+    discard(kept, groups, counts)
     return ranked
 
 

@@ -271,6 +271,40 @@ def test_term_sums_of_slices(spark, monkeypatch, cut):
         assert len(rows) == len(want_n) + len(set(groups))
 
 
+def test_terms_are_written_once_for_a_language(spark, monkeypatch):
+    """Levels read a row for each term of a language, not one for each source; counts are joined by numbers."""
+    written = {}
+
+    def kept_aside(df, name):
+        written[name] = common.materialize(df, name)
+        return written[name]
+
+    monkeypatch.setattr(divergence, "materialize", kept_aside)
+    monkeypatch.setattr(divergence, "discard", lambda *tables: None)
+    texts = ["alpha beta gamma"] * 60
+    groups = [("xy"[i % 2], f"s{i % 6}") for i in range(60)]
+    common.prepare(spark)
+    assert divergence.audit(frame(spark, texts, None, *zip(*groups, strict=True)).coalesce(1)).count() > 0
+    assert written["terms"].count() == 2 * 3 + 2
+    assert all(t == "bigint" for c, t in written["frequencies"].dtypes if c != "lang")
+    assert written["frequencies"].count() == 6 * 3
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_divergence_of_many_equal_terms(spark, monkeypatch, broadcast):
+    """More terms than ranks have one value: the smallest in UTF-8 are taken."""
+    if not broadcast:
+        monkeypatch.setattr(common.is_bounded, "__defaults__", (0,))
+        monkeypatch.setattr(common.bounded, "__defaults__", (0,))
+    rng = random.Random(11)
+    words = [a + b for a in ["a", "É", "z", "ÿ", "語"] for b in "qrstuvw"]
+    texts = [" ".join(rng.sample(words, len(words))) for _ in range(24)] + ["aq zr"] * 12
+    sources = [f"s{i % 2}" for i in range(24)] + ["s2"] * 12
+    docs = frame(spark, texts, None, None, sources)
+    common.prepare(spark)
+    same_as_sql(duck({"documents": docs.select("doc_id", "text", "lang", "source")}), divergence.ORACLE, divergence.audit(docs))
+
+
 def test_divergence_of_no_rows(spark):
     assert divergence.audit(frame(spark, ["a"]).where("false")).collect() == []
 
