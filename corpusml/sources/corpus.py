@@ -101,12 +101,16 @@ def _empty_documents(spark: SparkSession, hashes: DataFrame, docs: DataFrame, ba
     return None if found.isEmpty() else found.select("hash")
 
 
+def _reading_tasks(spark: SparkSession, names: DataFrame) -> int:
+    return max(spark.sparkContext.defaultParallelism, -(-names.count() // NAMES_PER_TASK))
+
+
 def _listed(spark: SparkSession, hashes: DataFrame, base: str, kind: str) -> DataFrame:
     """``[hash, size]`` of the listed documents; a name of no document fails.
     The manifest says which files there are: the driver holds no folder's
     listing, whose size would be the number of documents."""
     hashes = written(hashes, "names")
-    tasks = max(spark.sparkContext.defaultParallelism, -(-hashes.count() // NAMES_PER_TASK))
+    tasks = _reading_tasks(spark, hashes)
     found = written(file_sizes(hashes.repartition(tasks, "hash"), base, kind), "sizes")
     bad = found.where("size IS NULL").first()
     if bad is not None:
@@ -139,16 +143,26 @@ def read_documents(spark: SparkSession, manifest: DataFrame, base="./data", kind
     is ``bytes`` or ``asm``; ``table`` is an ingested corpus to read instead
     of the files (zero-length files are still looked up at ``base``).
     ``prefilter`` drops most texts that are not listed before the join, for
-    manifests too big to broadcast (``likely_listed``)."""
+    manifests too big to broadcast (``likely_listed``).
+
+    Files that tasks can open by name are opened by the tasks that have the
+    manifest's lines: no join has texts, which Spark takes for 20 bytes each
+    and would collect on the driver to broadcast them."""
     if kind not in ("bytes", "asm"):
         raise ValueError(f"kind must be 'bytes' or 'asm', got {kind!r}")
     base = normalize_base(base, aliases)
     wanted = manifest.where(F.col("hash") != "")
-    texts = _texts(spark, wanted.select("hash").distinct(), base, kind, table)
-    if prefilter:
-        texts = likely_listed(texts, wanted, "hash")
+    hashes = wanted.select("hash").distinct()
     url = F.concat(F.lit(f"{base}/{kind}/"), F.col("hash"), F.lit(f".{kind}"))
     extra = [c for c in wanted.columns if c not in ("id", "hash")]
+    if not table and opens_by_name(base):
+        _listed(spark, hashes, base, kind)
+        lines = wanted.repartition(_reading_tasks(spark, wanted), "id", "hash")
+        text = text_of(spark, F.col("hash"), base, kind)
+        return lines.select("id", "hash", url.alias("url"), text.alias("text"), *extra)
+    texts = _texts(spark, hashes, base, kind, table)
+    if prefilter:
+        texts = likely_listed(texts, wanted, "hash")
     return wanted.join(texts, "hash").select("id", "hash", url.alias("url"), "text", *extra)
 
 

@@ -11,18 +11,14 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
 
 import pyarrow as pa
 from pyarrow import fs as arrow_fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from corpusml.session import package_on_workers
 
-FORMAT = "corpusml_documents"
-
 
 def document_names(spark: SparkSession, base: str, kind: str) -> DataFrame:
     """``[hash]`` of every document file of the folder, empty files too.
@@ -118,24 +114,22 @@ def text_of(spark: SparkSession, name: Column, base: str, kind: str) -> Column:
     return document_text(name).cast("string")
 
 
-@dataclass
-class Written(WriterCommitMessage):
-    files: int
-
-
-class DocumentFilesWriter(DataSourceArrowWriter):
-    """Every task writes the files of its own rows.  A file gets its name
-    only when it is whole, so a task that is lost and run again (or run
-    twice) leaves each document once."""
+def write_documents(docs: DataFrame, base: str, kind: str) -> None:
+    """``docs [hash, text]`` as one file ``{base}/{kind}/{hash}.{kind}`` per
+    row; a null text is an empty file.  Equal names have to hold equal texts:
+    the last one written stays.
 
-    def __init__(self, options):
-        self.url, self.kind = f"{options['path']}/{options['kind']}", options["kind"]
+    Every task writes the files of its own rows.  A file gets its name only
+    when it is whole, so a task that is lost and run again (or run twice)
+    leaves each document once.  A Python data source would do the same, but
+    keeps Python processes beside the driver to plan and commit the write."""
+    package_on_workers(docs.sparkSession)
+    url = f"{base}/{kind}"
 
-    def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
-        fs, folder = filesystem(self.url)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, folder = filesystem(url)
         fs.create_dir(folder, recursive=True)
-        files = 0
-        for batch in iterator:
+        for batch in batches:
             names, texts = batch.column("hash"), batch.column("text")
             for name, text in zip(names.to_pylist(), texts.to_pylist(), strict=True):
                 if not name or "/" in name or name[0] in "._":
@@ -143,34 +137,8 @@ class DocumentFilesWriter(DataSourceArrowWriter):
                 part = f"{folder}/.{name}.{uuid.uuid4().hex}"
                 with fs.open_output_stream(part) as out:
                     out.write((text or "").encode())
-                fs.move(part, f"{folder}/{name}.{self.kind}")
-                files += 1
-        return Written(files)
-
-    def commit(self, messages: list[Written | None]) -> None:
-        pass
+                fs.move(part, f"{folder}/{name}.{kind}")
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["files"])
 
-    def abort(self, messages: list[Written | None]) -> None:
-        pass
-
-
-class DocumentFiles(DataSource):
-    """Write-only data source ``corpusml_documents``: options ``path``, ``kind``."""
-
-    @classmethod
-    def name(cls) -> str:
-        return FORMAT
-
-    def writer(self, schema, overwrite: bool) -> DocumentFilesWriter:
-        return DocumentFilesWriter(self.options)
-
-
-def write_documents(docs: DataFrame, base: str, kind: str) -> None:
-    """``docs [hash, text]`` as one file ``{base}/{kind}/{hash}.{kind}`` per
-    row; a null text is an empty file.  Equal names have to hold equal texts:
-    the last one written stays."""
-    spark = docs.sparkSession
-    package_on_workers(spark)
-    spark.dataSource.register(DocumentFiles)
-    (docs.select(F.col("hash").cast("string"), F.col("text").cast("string")).write.format(FORMAT)
-     .option("kind", kind).mode("append").save(base))
+    texts = docs.select(F.col("hash").cast("string"), F.col("text").cast("string"))
+    texts.mapInArrow(run, "files long").write.format("noop").mode("overwrite").save()

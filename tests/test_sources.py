@@ -299,3 +299,35 @@ def test_listed_documents_need_no_listing_of_the_folder(spark, dataset, monkeypa
     assert [(r.id, r.text) for r in rows if r.hash != "h2"] == [(0, BYTES0), (2, BYTES0), (4, "")]
     joint = load_corpus(spark, f"{scratch}/train_x", f"{scratch}/train_y", root, "joint", vocabulary=["lea"])
     assert sorted(r.id for r in joint.select("id").collect()) == [0, 1, 2, 4]
+
+
+def moved(node) -> set[str]:
+    """Names of the columns that a plan shuffles or broadcasts."""
+    if node.nodeName() == "AdaptiveSparkPlan":
+        node = node.initialPlan()
+    own = {node.output().apply(i).name() for i in range(node.output().size())} if "Exchange" in node.nodeName() else set()
+    return own.union(*(moved(node.children().apply(i)) for i in range(node.children().size())))
+
+
+def test_texts_of_files_are_not_broadcast(spark, dataset):
+    """A manifest of many lines and few names: its texts look smaller than its lines."""
+    scratch, root = dataset
+    name = F.concat(F.lit("h"), (F.col("id") % 2 + 1).cast("string"))
+    manifest = spark.range(50_000).select("id", name.alias("hash"))
+    docs = read_documents(spark, manifest, root, "bytes")
+    assert "text" not in moved(docs._jdf.queryExecution().executedPlan())
+    assert [r.text == BYTES0 for r in docs.where("id < 3").orderBy("id").collect()] == [True, False, True]
+    assert docs.count() == 50_000
+
+
+def test_writing_documents_starts_no_python_beside_the_driver(spark, scratch, monkeypatch):
+    """Spark plans and commits a Python data source's write in Python processes of the driver."""
+    from pyspark.sql.datasource import DataSourceRegistration
+
+    def registered(*_):
+        raise AssertionError("a Python data source")
+
+    monkeypatch.setattr(DataSourceRegistration, "register", registered)
+    rows = spark.range(50).select(F.col("id").cast("string").alias("hash"), F.lit("AA").alias("text"))
+    write_documents(rows, f"file:{scratch}/out", "bytes")
+    assert sorted(os.listdir(f"{scratch}/out/bytes")) == sorted(f"{i}.bytes" for i in range(50))
